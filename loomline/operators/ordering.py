@@ -152,12 +152,15 @@ def hash_position(
     group: Sequence[str] = (),
     name: str = "position",
 ) -> DataFrame:
-    """0-based position in the order of the seeded hash, partitioned in that order."""
+    """0-based position in the order of the seeded hash.
+
+    One hash shuffle on the bucket. A range shuffle would read the table once
+    more to sample it, and the hash is uniform already.
+    """
     keyed = df.withColumn("_hash", seeded_hash(seed, id_col))
     keyed = keyed.withColumn("_bucket", hash_bucket("_hash"))
-    ranged = keyed.repartitionByRange(*group, "_bucket")
     return totals_before(
-        ranged, "_bucket", ["_hash", id_col], {name: ("sum", F.lit(1))},
+        keyed, "_bucket", ["_hash", id_col], {name: ("sum", F.lit(1))},
         group=group, few_buckets=True,
     ).drop("_hash", "_bucket")
 

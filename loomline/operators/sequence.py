@@ -18,7 +18,7 @@ from loomline.operators.ordering import hash_cutoff, hash_position, totals_befor
 
 
 def shuffle_documents(df: DataFrame, id_col="doc_id", seed: int | str = DEFAULT_SEED) -> DataFrame:
-    """Random order of documents: adds ``position`` and range-partitions by it."""
+    """Random order of documents: adds ``position``, the place of each in that order."""
     return hash_position(df, id_col, seed)
 
 
@@ -44,9 +44,8 @@ def document_spans(df: DataFrame, length: Column, id_col="doc_id", group: Sequen
     """
     keyed = df.withColumn("_hash", seeded_hash(seed, id_col))
     keyed = keyed.withColumn("_bucket", hash_bucket("_hash"))
-    ranged = keyed.repartitionByRange(*group, "_bucket")
     return totals_before(
-        ranged, "_bucket", ["_hash", id_col], {"start": ("sum", length.cast("bigint"))},
+        keyed, "_bucket", ["_hash", id_col], {"start": ("sum", length.cast("bigint"))},
         group=group, few_buckets=True,
     ).drop("_hash", "_bucket")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loomline.functions.hashing import DEFAULT_SEED, unit_draw
 from loomline.functions.tokenizers import words
 from loomline.operators.ordering import PART, ROW, global_rank, range_sorted, totals_before
+from loomline.session import materialize
 
 LN2 = 0.6931471805599453
 
@@ -54,7 +55,7 @@ def dominance_audit(df: DataFrame, text_col="text", split_col="split",
     ``share`` is that of the split's own top token. ``constant_share`` is that of
     the top token of the reference split: the accuracy of always predicting it.
     """
-    counts = word_counts(df, text_col, by=[split_col])
+    counts = materialize(word_counts(df, text_col, by=[split_col]))
     strongest = F.max_by("word", F.struct(F.col("n"), F.col("word")))
     constant = (
         counts.where(F.col(split_col) == reference_split).agg(strongest.alias("word")).scalar()
@@ -71,17 +72,25 @@ def dominance_audit(df: DataFrame, text_col="text", split_col="split",
     )
 
 
-def next_token_counts(df: DataFrame, text_col="text", by: Sequence[str] = ()) -> DataFrame:
+def next_token_counts(df: DataFrame, text_col="text", by: Sequence[str] = (),
+                      with_start: bool = False) -> DataFrame:
     """How often ``token`` is followed by ``next_token`` within a document.
 
     Pairs are made inside the row, so counting them is the only shuffle.
+    ``with_start`` also counts the first word of each document, after a NULL.
     """
     listed = df.select(*by, words(text_col).alias("_w"))
     n = F.size("_w")
-    followed = F.when(n > 1, F.arrays_zip(
-        F.slice("_w", F.lit(1), F.greatest(n - 1, F.lit(0))).alias("token"),
-        F.slice("_w", F.lit(2), F.greatest(n - 1, F.lit(0))).alias("next_token"),
-    ))
+    if with_start:
+        before = F.concat(F.array(F.lit(None).cast("string")), F.col("_w"))
+        followed = F.arrays_zip(
+            F.slice(before, F.lit(1), n).alias("token"), F.col("_w").alias("next_token")
+        )
+    else:
+        followed = F.when(n > 1, F.arrays_zip(
+            F.slice("_w", F.lit(1), F.greatest(n - 1, F.lit(0))).alias("token"),
+            F.slice("_w", F.lit(2), F.greatest(n - 1, F.lit(0))).alias("next_token"),
+        ))
     return (
         listed.select(*by, F.inline(followed).alias("token", "next_token"))
         .groupBy(*by, "token", "next_token").agg(F.count("*").alias("n"))
@@ -174,10 +183,12 @@ def perplexity_by_class(df: DataFrame, class_col="lang", text_col="text") -> Dat
 
     A pair costs ``ln(c(a) + V) - ln(c(a, b) + 1)``. The two terms are summed
     apart, each over rows that meet at most once per class, so no frequent
-    context becomes a hot join key.
+    context becomes a hot join key. The counted pairs are written once; the
+    texts are read once.
     """
-    per_class = next_token_counts(df, text_col, by=[class_col])
-    vocabulary = word_counts(df, text_col).agg(F.count("*")).scalar()
+    counted = materialize(next_token_counts(df, text_col, by=[class_col], with_start=True))
+    vocabulary = counted.agg(F.count_distinct("next_token")).scalar()
+    per_class = counted.where("token is not null")
 
     def shared(table: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
         return table.withColumn(name, F.sum("n").over(Window.partitionBy(*keys)))

@@ -57,15 +57,15 @@ STREAM = f"""{SPANS},
 stream as (
   select split, start + unnest(range(len(tokens))) as pos, unnest(tokens) as token from spans)"""
 
-TRAIN = f"""{STREAM},
-train as (select list(token order by pos) as tokens, count(*) as n from stream where split = 'train')"""
-
-DRAWN = f"""{TRAIN},
-drawn as (
-  select doc_id as draw, {h('42:block', 'doc_id')} % (n - {BLOCK}) as start, tokens
-  from documents, train),
+DRAWN = f"""{STREAM},
+train as (select pos, token from stream where split = 'train'),
+draws as (
+  select doc_id as draw, {h('42:block', 'doc_id')} % ((select count(*) from train) - {BLOCK}) as start
+  from documents),
+wanted as (select draw, start, start + unnest(range({BLOCK} + 1)) as pos from draws),
 windows as (
-  select draw, start, tokens[start + 1 : start + {BLOCK} + 1] as tokens from drawn)"""
+  select draw, start, list(token order by pos) as tokens
+  from wanted join train using (pos) group by draw, start)"""
 
 
 def fim(source: str, key: str) -> str:

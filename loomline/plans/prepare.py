@@ -11,18 +11,25 @@ from loomline.functions import fixed_values as fv
 from loomline.functions.hashing import DEFAULT_SEED
 from loomline.functions.tokenizers import BYTES
 from loomline.operators import caps, filters, sequence, stats, tokens
-from loomline.session import workspace
+from loomline.session import materialize, workspace
 from loomline.sources import samples, token_dataset, tree
 
 
 def flagship(documents: DataFrame, ratio: float = 0.05, seed: int | str = DEFAULT_SEED) -> DataFrame:
-    """Filter, split exactly, and count per split and language."""
+    """Filter, split exactly, and count per split and language.
+
+    The texts are read once. What the split and the counts need of the
+    survivors, an id and two sizes, is written and read instead.
+    """
     kept = filters.filter_char_length(
         filters.filter_byte_size(filters.filter_blank(documents)), high=fv.MAX_MULTILANG_CHARS
     )
-    split = sequence.split_train_val(kept, ratio, seed=seed)
-    size = F.octet_length("text")
-    return stats.corpus_stats(split, n_tokens=BYTES.count(F.col("text")), n_bytes=size)
+    sizes = materialize(kept.select(
+        "doc_id", "lang", BYTES.count(F.col("text")).alias("n_tokens"),
+        F.octet_length("text").alias("n_bytes"),
+    ))
+    split = sequence.split_train_val(sizes, ratio, seed=seed)
+    return stats.corpus_stats(split, F.col("n_tokens"), F.col("n_bytes"))
 
 
 def _finish(encoded: DataFrame, out: str, ratio: float | None, seed=DEFAULT_SEED, order=None,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.functions import fixed_values as fv
-from loomline.functions.hashing import DEFAULT_SEED, seeded_hash
+from loomline.functions.hashing import BUCKET_BITS, DEFAULT_SEED, hash_bucket, seeded_hash
 from loomline.sources.files import open_filesystem
 
 MAX_TOKEN = 65_535
@@ -80,15 +80,17 @@ def write_token_dataset(df: DataFrame, path: str, id_col="doc_id",
     attempts that counted.
     """
     if order is None:
+        order = ["_hash", "_id"]
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         keyed = df.select(
             "split", "tokens", seeded_hash(seed, id_col).alias("_hash"), F.col(id_col).alias("_id")
         )
-        order = ["_hash", "_id"]
+        # The hash is uniform, so its top bits are the part number: no sampling pass.
+        part = F.floor(hash_bucket("_hash") * F.lit(parts) / (1 << BUCKET_BITS)).cast("int")
+        placed = keyed.repartitionById(parts, part)
     else:
-        keyed = df.select("split", "tokens", *order)
-    ordered = keyed.repartitionByRange("split", *order).sortWithinPartitions(
-        "split", *order
-    ).select("split", "tokens")
+        placed = df.select("split", "tokens", *order).repartitionByRange("split", *order)
+    ordered = placed.sortWithinPartitions("split", *order).select("split", "tokens")
     manifest = ordered.mapInArrow(_part_writer(path), _MANIFEST)
     manifest.write.mode("overwrite").parquet(f"{path}/manifest")
 

@@ -58,6 +58,7 @@ if __name__ == "__main__":
     session = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
