@@ -22,12 +22,24 @@ def cap_examined(df: DataFrame, max_samples: int, id_col="doc_id", text_col="tex
     """Look at the first ``max_samples`` raw rows, then filter by length.
 
     The cap becomes a comparison with one id, found by counting ids. No sort of
-    the table, and the texts behind the cap are never read.
+    the table; the comparison is pushed into the scan.
     """
-    cutoff = smallest_ids(df, id_col, max_samples).select("cutoff").scalar()
-    return df.where(F.col(id_col) <= F.coalesce(cutoff, F.col(id_col))).where(
-        char_length_ok(F.col(text_col), low, high)
-    )
+    cutoff = smallest_ids(df, id_col, max_samples).select("cutoff").first()
+    examined = df if cutoff is None else df.where(F.col(id_col) <= cutoff[0])
+    return examined.where(char_length_ok(F.col(text_col), low, high))
+
+
+def within_cutoffs(df: DataFrame, ids: DataFrame, count, id_col: str, lang_col: str) -> DataFrame:
+    """Rows of ``df`` up to the ``count``-th id of ``ids`` in their language.
+
+    The cutoffs are one number per language, so they become part of the filter.
+    """
+    cutoffs = {row[lang_col]: row["cutoff"]
+               for row in smallest_ids(ids, id_col, count, group=lang_col).collect()}
+    if not cutoffs:
+        return df
+    cutoff = lookup(cutoffs, F.col(lang_col))
+    return df.where(cutoff.isNull() | (F.col(id_col) <= cutoff))
 
 
 def cap_per_language(df: DataFrame, max_per_language: int, languages: Sequence[str],
@@ -36,19 +48,13 @@ def cap_per_language(df: DataFrame, max_per_language: int, languages: Sequence[s
     """Filter by length first, then keep the first ``max_per_language`` rows of each language.
 
     The accepted (language, id) pairs are written once and counted; the texts
-    are not shuffled. The cutoff table has at most ``len(languages)`` rows, so
-    its broadcast is bounded by the argument.
+    are not shuffled.
     """
     accepted = df.where(F.col(lang_col).isin(list(languages))).where(
         char_length_ok(F.col(text_col), low, high)
     )
     ids = materialize(accepted.select(lang_col, id_col))
-    cutoffs = smallest_ids(ids, id_col, max_per_language, group=lang_col)
-    return (
-        accepted.join(F.broadcast(cutoffs), lang_col, "left")
-        .where(F.col("cutoff").isNull() | (F.col(id_col) <= F.col("cutoff")))
-        .drop("cutoff")
-    )
+    return within_cutoffs(accepted, ids, max_per_language, id_col, lang_col)
 
 
 def dataset_language(language: Column, names=fv.DATASET_LANGUAGE_NAMES) -> Column:

@@ -86,7 +86,9 @@ def totals_before(
         "*", *[_AGGREGATE[kind](value).over(inside).alias(name)
                for name, (kind, value) in totals.items()]
     )
-    joined = local.join(F.broadcast(carry) if few_buckets else carry, keys)
+    # Rows are partitioned by the keys already. The short table comes to them.
+    carry = F.broadcast(carry) if few_buckets else carry.hint("shuffle_hash")
+    joined = local.join(carry, keys)
     merged = {
         name: _MERGE[kind](F.col(carried[name]), F.col(name))
         for name, (kind, _) in totals.items()
@@ -165,31 +167,33 @@ def hash_position(
     ).drop("_hash", "_bucket")
 
 
-def hash_cutoff(df: DataFrame, id_col: str, seed: int | str, ratio: float) -> Column:
-    """(hash, id) of the last row of the first ``max(1, int(N * ratio))`` in hash order.
+def hash_cutoff(df: DataFrame, id_col: str, seed: int | str, ratio: float) -> tuple | None:
+    """(hash, id) of the last of the first ``max(1, int(N * ratio))`` rows in hash order.
 
-    A scalar struct: callers compare with it in a narrow map. Two passes over
-    the id column: one counts hash buckets, one ranks the only bucket that
-    holds the cut (N / 2^16 rows).
+    Two passes over the id column, each giving one row: one counts hash buckets,
+    one ranks the only bucket that holds the cut (N / 2^16 rows). The result is a
+    pair of literals, so that plans built on it stay small. None for an empty table.
     """
     keyed = df.select(seeded_hash(seed, id_col).alias("hash"), F.col(id_col).alias("id"))
     keyed = keyed.withColumn("bucket", hash_bucket("hash"))
     running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     wanted = F.greatest(F.lit(1), F.floor(F.sum("n").over(Window.partitionBy()) * F.lit(ratio)))
-    located = (
+    cut = (
         keyed.groupBy("bucket").agg(F.count("*").alias("n"))
         .select("bucket", "n", F.sum("n").over(running).alias("upto"), wanted.alias("wanted"))
         .where("upto >= wanted")
-        .agg(F.min(F.struct("bucket", (F.expr("wanted - upto + n")).alias("inside"))).alias("cut"))
+        .agg(F.min(F.struct("bucket", F.expr("wanted - upto + n").alias("inside"))).alias("cut"))
+        .select("cut.*").first()
     )
-    cut = located.select("cut").scalar()
-    return (
-        keyed.where(F.col("bucket") == cut.getField("bucket"))
+    if cut is None or cut["bucket"] is None:
+        return None
+    last = (
+        keyed.where(F.col("bucket") == cut["bucket"])
         .withColumn("nth", F.row_number().over(Window.orderBy("hash", "id")))
-        .where(F.col("nth") == cut.getField("inside"))
-        .select(F.struct("hash", "id"))
-        .scalar()
+        .where(F.col("nth") == cut["inside"])
+        .select("hash", "id").first()
     )
+    return last["hash"], last["id"]
 
 
 def smallest_ids(
@@ -204,16 +208,16 @@ def smallest_ids(
     """
     group_col = F.lit(0) if group is None else F.col(group)
     rows = df.select(group_col.alias("_g"), F.col(id_col).cast("bigint").alias("_id"))
-    lowest = rows.agg(F.min("_id")).scalar()
-    extent = rows.agg(F.max("_id") - F.min("_id")).scalar()
+    lowest, highest = rows.agg(F.min("_id"), F.max("_id")).first()
+    lowest = lowest or 0
     buckets = 1 << 16
-    wide = F.floor(extent / buckets) + 1
-    fine = F.floor(wide / buckets) + 1
-    offset = F.col("_id") - lowest
+    wide = ((highest or 0) - lowest) // buckets + 1
+    fine = wide // buckets + 1
+    offset = F.col("_id") - F.lit(lowest)
     rows = rows.select(
         "_g", "_id",
         F.floor(offset / wide).alias("_b1"),
-        F.floor(F.pmod(offset, wide) / fine).alias("_b2"),
+        F.floor(F.pmod(offset, F.lit(wide)) / fine).alias("_b2"),
     )
 
     def locate(source: DataFrame, bucket: str, need: Column) -> DataFrame:

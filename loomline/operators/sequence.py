@@ -26,13 +26,15 @@ def split_train_val(df: DataFrame, ratio: float = 0.05, id_col="doc_id",
                     seed: int | str = DEFAULT_SEED) -> DataFrame:
     """Exactly ``max(1, int(N * ratio))`` rows become ``val``: the first in shuffled order.
 
-    The cut is one scalar, so the table itself is not shuffled.
+    The cut is one pair of numbers, so the table itself is not shuffled. ``df``
+    is scanned for its ids to find it; give a table, not a long computation.
     """
     cut = hash_cutoff(df, id_col, seed, ratio)
+    if cut is None:
+        return df.withColumn("split", F.lit("train"))
     hashed = seeded_hash(seed, id_col)
-    in_val = (hashed < cut.getField("hash")) | (
-        (hashed == cut.getField("hash")) & (F.col(id_col) <= cut.getField("id"))
-    )
+    last_hash, last_id = (F.lit(value) for value in cut)
+    in_val = (hashed < last_hash) | ((hashed == last_hash) & (F.col(id_col) <= last_id))
     return df.withColumn("split", F.when(in_val, F.lit("val")).otherwise(F.lit("train")))
 
 
@@ -70,10 +72,11 @@ def pack_concat(spans: DataFrame, block_size: int, group: Sequence[str] = ("spli
     start, tokens = F.col("start"), F.col("tokens")
     end = start + F.size(tokens)
     block = F.col("block_no")
+    # No filter on the size: it would be pushed down and encode the text once more.
+    touched = F.when(F.size(tokens) > 0, F.sequence(
+        F.floor(start / block_size), F.floor((end - 1) / block_size)))
     pieces = (
-        spans.where(F.size(tokens) > 0)
-        .select(*group, "start", "tokens", F.explode(F.sequence(
-            F.floor(start / block_size), F.floor((end - 1) / block_size))).alias("block_no"))
+        spans.select(*group, "start", "tokens", F.explode(touched).alias("block_no"))
         .withColumn("_from", F.greatest(start, block * block_size))
         .withColumn("_to", F.least(end, (block + 1) * block_size))
         .select(*group, "block_no", "_from", F.slice(
@@ -107,14 +110,21 @@ def split_stream_at_eot(blocks: DataFrame, group: Sequence[str] = ("split",), eo
     ends = F.filter(
         F.transform(tokens, lambda t, i: F.when(t == eot, i + 1)), lambda i: i.isNotNull()
     )
-    marked = blocks.select(*keys, "tokens", ends.alias("_ends"))
-    marked = totals_before(
-        marked.withColumn("_bucket", F.floor(F.col("block_no") / 1024)), "_bucket", ["block_no"],
+    # Only the number of ends per block goes through the running sums, not the tokens.
+    counted = totals_before(
+        blocks.select(
+            *keys, F.size(F.filter(tokens, lambda t: t == eot)).cast("bigint").alias("_n"),
+            F.floor(F.col("block_no") / 1024).alias("_bucket"),
+        ),
+        "_bucket", ["block_no"],
         {
-            "_docs_before": ("sum", F.size("_ends").cast("bigint")),
-            "_last_cut": ("max", F.when(F.size("_ends") > 0, F.col("block_no"))),
+            "_docs_before": ("sum", F.col("_n")),
+            "_last_cut": ("max", F.when(F.col("_n") > 0, F.col("block_no"))),
         },
         group=group, fanout=4096,
+    ).drop("_n", "_bucket")
+    marked = blocks.select(*keys, "tokens", ends.alias("_ends")).join(
+        counted.hint("shuffle_hash"), keys
     )
     starts = F.concat(F.array(F.lit(0)), F.col("_ends"))
     stops = F.concat(F.col("_ends"), F.array(F.size("tokens")))

@@ -14,8 +14,8 @@ from pyspark.sql.types import StructType
 
 from loomline.functions import fixed_values as fv
 from loomline.functions.tokenizers import BYTES
+from loomline.operators.caps import within_cutoffs
 from loomline.operators.filters import char_length_ok, filter_char_length
-from loomline.operators.ordering import smallest_ids
 from loomline.operators.tokens import encode_document
 from loomline.session import materialize
 from loomline.sources.files import open_filesystem
@@ -101,12 +101,7 @@ def stream_cap_per_language(stream: DataFrame, out: str, checkpoint: str,
         )
         if room:
             ids = materialize(fitting.select(lang_col, id_col))
-            cutoffs = smallest_ids(ids, id_col, room, group=lang_col)
-            fitting = (
-                fitting.join(F.broadcast(cutoffs), lang_col, "left")
-                .where(F.col("cutoff").isNull() | (F.col(id_col) <= F.col("cutoff")))
-                .drop("cutoff")
-            )
+            fitting = within_cutoffs(fitting, ids, room, id_col, lang_col)
         target = f"{out}/batch={batch_id}"
         fitting.write.mode("overwrite").parquet(target)
         session.read.schema(fitting.schema).parquet(target).groupBy(lang_col).agg(
