@@ -13,11 +13,12 @@ from loomline.functions import fixed_values as fv
 # --- fixed values: path fragments that mark build products ---------------------
 SKIPPED_PATH_PARTS = ("__pycache__", ".egg-info")
 
-# A character cut at the end of a byte range: a valid start of a longer sequence.
+# A character cut at the end of a byte range: a start of a longer sequence that an
+# incremental UTF-8 decoder waits on (it notices a surrogate only when complete).
 _CUT_CHARACTER = (
-    "^(?:..)*?(?:"
+    "^(?:..)*?("
     "(?:C[2-9A-F]|D.|E.|F[0-4])"
-    "|(?:E0[AB].|E[1-9A-CEF][89AB].|ED[89].|F0[9AB].|F[1-3][89AB].|F48.)"
+    "|(?:E0[AB].|E[1-9A-F][89AB].|F0[9AB].|F[1-3][89AB].|F48.)"
     "|(?:F0[9AB].|F[1-3][89AB].|F48.)[89AB]."
     ")$"
 )
@@ -75,7 +76,7 @@ def utf8_head_ok(content: Column, probe: int = fv.UTF8_PROBE_BYTES, enough: int
     head = F.substring(content, 1, probe)
     tail = F.hex(F.substring(head, F.greatest(F.octet_length(head) - 2, F.lit(1)), F.lit(3)))
     cut_length = F.octet_length(
-        F.unhex(F.regexp_extract(tail, _CUT_CHARACTER.replace("*?(?:(?:", "*?((?:", 1), 1))
+        F.unhex(F.regexp_extract(tail, _CUT_CHARACTER, 1))
     )
     whole = F.substring(head, F.lit(1), F.octet_length(head) - cut_length)
     whole_ok = F.is_valid_utf8(whole.cast("string"))
