@@ -6,6 +6,7 @@ rows: every scan goes bucket by bucket within the run.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -77,9 +78,10 @@ def _decayed(df: DataFrame, run_col: str, beta: float, local: Column, width: int
     """Exponential average started at zero: adds ``_ema``.
 
     Inside a bucket of ``width`` steps a running sum of ``x * beta^-i`` is scaled
-    back. Older buckets arrive through their end values. Three of them are
-    enough: the fourth would weigh ``beta^(3 * width)``, far below the last bit.
+    back. Older buckets arrive through their end values, as many of them as can
+    still change the last bit of a double.
     """
+    reach = 1 + math.ceil(math.log(1e-20) / (width * math.log(beta)))
     at = F.pmod("step", F.lit(width))
     inside = (
         Window.partitionBy(run_col, "_bucket").orderBy("step")
@@ -94,7 +96,7 @@ def _decayed(df: DataFrame, run_col: str, beta: float, local: Column, width: int
         F.explode(F.array(*[
             F.struct((F.col("_bucket") + age).alias("_bucket"),
                      F.lit(beta ** (width * (age - 1))).alias("_fade"))
-            for age in (1, 2, 3)
+            for age in range(1, reach + 1)
         ])).alias("_to"),
     ).groupBy(run_col, F.col("_to._bucket").alias("_bucket")).agg(
         F.sum(F.col("_end") * F.col("_to._fade")).alias("_carry")
@@ -108,6 +110,11 @@ def _decayed(df: DataFrame, run_col: str, beta: float, local: Column, width: int
     )
 
 
+def _safe_width(beta: float, width: int) -> int:
+    """Bucket width for which ``beta^-width`` stays far from overflow."""
+    return max(1, min(width, int(460 / -math.log(beta))))
+
+
 def smoothed_loss(df: DataFrame, beta: float = 0.9, limit: float = 100.0, run_col="run",
                   loss_col="loss", width: int = 512) -> DataFrame:
     """Bias-corrected exponential average of the loss.
@@ -115,6 +122,7 @@ def smoothed_loss(df: DataFrame, beta: float = 0.9, limit: float = 100.0, run_co
     A run ends at its first NaN or too large loss: that row is marked
     ``failed`` and has no smoothed value, later rows are dropped.
     """
+    width = _safe_width(beta, width)
     loss = F.col(loss_col)
     bad = F.isnan(loss) | (loss > limit) | loss.isNull()
     flagged = df.withColumns({"_bucket": F.floor(F.col("step") / width), "failed": bad})
@@ -135,6 +143,7 @@ def smoothed_mfu(df: DataFrame, beta: float = 0.9, warmup: int = 5, run_col="run
 
     Without bias correction; -1 during the warm-up.
     """
+    width = _safe_width(beta, width)
     first = F.when(F.col("step") == warmup, F.col(mfu_col))
     local = F.coalesce(first, F.col(mfu_col) * (1 - beta))
     counted = df.where(F.col("step") >= warmup).withColumn(
