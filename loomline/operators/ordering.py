@@ -146,27 +146,34 @@ def rank_within(
     )
 
 
-def hash_position(
-    df: DataFrame,
+def in_hash_order(
+    ids: DataFrame,
     id_col: str,
     seed: int | str,
-    *,
+    totals: Mapping[str, tuple[str, Column]],
     group: Sequence[str] = (),
-    name: str = "position",
 ) -> DataFrame:
-    """0-based position in the order of the seeded hash.
+    """Running totals before each row in the order of the seeded hash of its id.
 
-    One hash shuffle on the bucket. A range shuffle would read the table once
-    more to sample it, and the hash is uniform already.
+    Meant for narrow tables. The hash is uniform: its top bits are the buckets.
     """
-    keyed = df.withColumn("_hash", seeded_hash(seed, id_col))
+    keyed = ids.withColumn("_hash", seeded_hash(seed, id_col))
     keyed = keyed.withColumn("_bucket", hash_bucket("_hash"))
     return totals_before(
-        keyed, "_bucket", ["_hash", id_col], {name: ("sum", F.lit(1))},
-        group=group, few_buckets=True,
+        keyed, "_bucket", ["_hash", id_col], totals, group=group, few_buckets=True
     ).drop("_hash", "_bucket")
 
 
+def hash_position(df: DataFrame, id_col: str, seed: int | str, name: str = "position") -> DataFrame:
+    """0-based position in the order of the seeded hash. Ids must be unique.
+
+    Positions are computed on the ids alone and joined back, so the wide rows
+    are shuffled once, evenly, and not sorted.
+    """
+    placed = in_hash_order(df.select(id_col), id_col, seed, {name: ("sum", F.lit(1))})
+    return df.join(placed.hint("shuffle_hash"), id_col)
+
+
 def hash_cutoff(df: DataFrame, id_col: str, seed: int | str, ratio: float) -> tuple | None:
     """(hash, id) of the last of the first ``max(1, int(N * ratio))`` rows in hash order.
 

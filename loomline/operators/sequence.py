@@ -8,13 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions import fixed_values as fv
-from loomline.functions.hashing import (
-    DEFAULT_SEED,
-    hash_bucket,
-    seeded_hash,
-    unit_draw,
-)
-from loomline.operators.ordering import hash_cutoff, hash_position, totals_before
+from loomline.functions.hashing import DEFAULT_SEED, seeded_hash, unit_draw
+from loomline.operators.ordering import hash_cutoff, hash_position, in_hash_order, totals_before
+from loomline.session import materialize
 
 
 def shuffle_documents(df: DataFrame, id_col="doc_id", seed: int | str = DEFAULT_SEED) -> DataFrame:
@@ -42,14 +38,15 @@ def document_spans(df: DataFrame, length: Column, id_col="doc_id", group: Sequen
                    seed: int | str = DEFAULT_SEED) -> DataFrame:
     """Add ``start``, the stream position of each document's first token.
 
-    The stream of a group is its documents in shuffled order.
+    The stream of a group is its documents in shuffled order. Ids and lengths
+    are written once and scanned; the documents themselves are shuffled once to
+    meet their position. Ids must be unique.
     """
-    keyed = df.withColumn("_hash", seeded_hash(seed, id_col))
-    keyed = keyed.withColumn("_bucket", hash_bucket("_hash"))
-    return totals_before(
-        keyed, "_bucket", ["_hash", id_col], {"start": ("sum", length.cast("bigint"))},
-        group=group, few_buckets=True,
-    ).drop("_hash", "_bucket")
+    lengths = materialize(df.select(*group, id_col, length.cast("bigint").alias("_length")))
+    starts = in_hash_order(
+        lengths, id_col, seed, {"start": ("sum", F.col("_length"))}, group
+    ).select(id_col, "start")
+    return df.join(starts.hint("shuffle_hash"), id_col)
 
 
 def flatten_token_stream(spans: DataFrame, group: Sequence[str] = ("split",)) -> DataFrame:

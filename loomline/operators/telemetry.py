@@ -127,7 +127,8 @@ def smoothed_loss(df: DataFrame, beta: float = 0.9, limit: float = 100.0, run_co
     bad = F.isnan(loss) | (loss > limit) | loss.isNull()
     flagged = df.withColumns({"_bucket": F.floor(F.col("step") / width), "failed": bad})
     flagged = totals_before(
-        flagged, "_bucket", ["step"], {"_bad_before": ("max", F.col("failed"))}, group=[run_col]
+        flagged, "_bucket", ["step"], {"_bad_before": ("max", F.col("failed"))}, group=[run_col],
+        fanout=4096,
     ).where(~F.coalesce("_bad_before", F.lit(False))).drop("_bad_before")
     weighted = F.when(F.col("failed"), 0.0).otherwise(loss * (1 - beta))
     averaged = _decayed(flagged, run_col, beta, weighted, width)
@@ -164,7 +165,7 @@ def best_checkpoint(evals: DataFrame, always_save: bool = True, run_col="run",
     loss = F.col(val_loss_col)
     scanned = totals_before(
         evals.withColumn("_bucket", F.floor(F.col("step") / width)), "_bucket", ["step"],
-        {"_best_before": ("min", loss)}, group=[run_col],
+        {"_best_before": ("min", loss)}, group=[run_col], fanout=4096,
     ).drop("_bucket")
     improved = F.col("_best_before").isNull() | (loss < F.col("_best_before"))
     return scanned.withColumns({

@@ -185,6 +185,7 @@ def conversation_context(turns: DataFrame, block_size: int, conv_col="conv_id",
     )
     said = totals_before(
         said, "_bucket", [turn_col], {"_spoken": ("max", F.col("_text") != "")}, group=[conv_col],
+        fanout=4096,
     )
     new_line = (F.col("_role") == "user") & F.coalesce("_spoken", F.lit(False))
     said = said.select(
@@ -193,7 +194,7 @@ def conversation_context(turns: DataFrame, block_size: int, conv_col="conv_id",
     )
     said = totals_before(
         said, "_bucket", [turn_col], {"_start": ("sum", F.char_length("_text").cast("bigint"))},
-        group=[conv_col],
+        group=[conv_col], fanout=4096,
     ).withColumn("_end", F.col("_start") + F.char_length("_text"))
 
     block = F.col("_block")

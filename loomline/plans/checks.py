@@ -506,7 +506,7 @@ select doc_id, len(tokens)::int as n_tokens, md5({joined('tokens')}) as tokens_m
 with hours as (
   select time_bucket(interval '1 hour', ts) as hour, count(*) as n, avg(value / 3) as loss
   from events group by 1)
-select epoch(hour)::bigint as window_start, n as n_steps, round(loss, 6) as mean_loss,
+select strftime(hour, '%Y-%m-%d %H:%M:%S') as window_start, n as n_steps, round(loss, 6) as mean_loss,
   round(n * {TOKENS_PER_STEP} / 3600.0::double, 6) as tokens_per_second
 from hours
 where hour + interval '1 hour' <= (select max(ts) from events) - interval '10 minutes'"""

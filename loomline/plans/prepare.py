@@ -104,6 +104,6 @@ def prepare_text_shards(spark: SparkSession, directory: str, out: str, *, pinned
         "split", "shard", "row_no", "tokens", "n_tokens"
     )
     return _finish(
-        encoded, out, None, order=["shard", "row_no"], vocab_size=fv.TEXT_VOCAB_SIZE,
+        encoded, out, None, order=("shard", "row_no"), vocab_size=fv.TEXT_VOCAB_SIZE,
         tokenizer=tokenizer.name, lang_col=None, shard_col="shard", source=directory,
     )

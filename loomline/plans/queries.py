@@ -601,7 +601,7 @@ def stream_run_metrics(spark, d):
     query = streams.stream_run_metrics(events, out, workspace(spark, "progress"), TOKENS_PER_STEP)
     query.awaitTermination()
     return spark.read.parquet(out).select(
-        F.unix_seconds("window_start").alias("window_start"),
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
         "n_steps", F.round("mean_loss", 6).alias("mean_loss"),
         F.round("tokens_per_second", 6).alias("tokens_per_second"),
     )

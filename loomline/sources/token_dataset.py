@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.functions import fixed_values as fv
-from loomline.functions.hashing import BUCKET_BITS, DEFAULT_SEED, hash_bucket, seeded_hash
+from loomline.functions.hashing import DEFAULT_SEED, HASH_BITS, seeded_hash
+from loomline.session import materialize
 from loomline.sources.files import open_filesystem
 
 MAX_TOKEN = 65_535
@@ -70,28 +71,51 @@ def _part_writer(folder: str):
     return write
 
 
+def _by_hash(df: DataFrame, id_col: str, seed: int | str, parts: int) -> DataFrame:
+    """Documents in shuffled order. The hash is uniform: its top bits give the part number."""
+    keyed = df.select(
+        "split", "tokens", seeded_hash(seed, id_col).alias("_hash"), F.col(id_col).alias("_id")
+    )
+    part = F.shiftright(F.shiftright("_hash", HASH_BITS - 32) * F.lit(parts).cast("bigint"), 32)
+    return keyed.repartitionById(parts, part.cast("int")).sortWithinPartitions(
+        "split", "_hash", "_id"
+    )
+
+
+def _by_unit(df: DataFrame, unit: str, row: str, parts: int) -> DataFrame:
+    """Documents in the order of (unit, row). A large unit becomes several parts.
+
+    A range shuffle would read the tokens once more to sample them. The part
+    is computed from the row counts of the units instead, one row per unit.
+    """
+    units = df.groupBy(unit).agg((F.max(row) + 1).alias("_rows"))
+    total = units.agg(F.sum("_rows")).first()[0] or 0
+    share = max(1, -(-total // parts))
+    earlier = Window.orderBy(unit).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = F.ceil(F.col("_rows") / share)
+    units = materialize(units.select(
+        unit, wanted.alias("_wanted"), F.coalesce(F.sum(wanted).over(earlier), F.lit(0)).alias("_first")
+    ))
+    count = units.agg(F.sum("_wanted")).first()[0] or 1
+    part = (F.col("_first") + F.floor(F.col(row) / share)).cast("int")
+    # As many rows as there are shard files, which the driver has listed before.
+    placed = df.select("split", "tokens", unit, row).join(F.broadcast(units), unit)
+    return placed.repartitionById(count, part).sortWithinPartitions("split", unit, row)
+
+
 def write_token_dataset(df: DataFrame, path: str, id_col="doc_id",
                         seed: int | str = DEFAULT_SEED,
-                        order: Sequence[str] | None = None) -> None:
+                        order: tuple[str, str] | None = None) -> None:
     """Write (split, tokens) as little-endian 16-bit part files.
 
-    Documents come in shuffled order, or in that of the ``order`` columns. Fails
-    if a token does not fit. The manifest lists only the files of the task
-    attempts that counted.
+    Documents come in shuffled order, or by ``order``: a column that names the
+    unit they belong to (a shard) and one with their row number in it. Fails if
+    a token does not fit. The manifest lists only the files of the task attempts
+    that counted.
     """
-    if order is None:
-        order = ["_hash", "_id"]
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        keyed = df.select(
-            "split", "tokens", seeded_hash(seed, id_col).alias("_hash"), F.col(id_col).alias("_id")
-        )
-        # The hash is uniform, so its top bits are the part number: no sampling pass.
-        part = F.floor(hash_bucket("_hash") * F.lit(parts) / (1 << BUCKET_BITS)).cast("int")
-        placed = keyed.repartitionById(parts, part)
-    else:
-        placed = df.select("split", "tokens", *order).repartitionByRange("split", *order)
-    ordered = placed.sortWithinPartitions("split", *order).select("split", "tokens")
-    manifest = ordered.mapInArrow(_part_writer(path), _MANIFEST)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = _by_hash(df, id_col, seed, parts) if order is None else _by_unit(df, *order, parts)
+    manifest = ordered.select("split", "tokens").mapInArrow(_part_writer(path), _MANIFEST)
     manifest.write.mode("overwrite").parquet(f"{path}/manifest")
 
 

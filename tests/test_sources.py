@@ -68,11 +68,22 @@ def test_flat_files_round_trip(spark, tmp_path):
 def test_column_order_of_flat_files(spark, tmp_path):
     df = spark.createDataFrame([("train", "b", 0, [3]), ("train", "a", 1, [2]), ("train", "a", 0, [1])],
                                "split string, shard string, row_no long, tokens array<int>")
-    token_dataset.write_token_dataset(df, str(tmp_path / "t"), order=["shard", "row_no"])
+    token_dataset.write_token_dataset(df, str(tmp_path / "t"), order=("shard", "row_no"))
     back = token_dataset.read_token_dataset(spark, str(tmp_path / "t")).orderBy("start").collect()
     assert [t for r in back for t in r.tokens] == [1, 2, 3]
 
 
+def test_one_large_unit_becomes_many_parts(spark, tmp_path):
+    rows = [("train", "m", i, [i]) for i in range(900)] + [("train", u, i, [1000 + i]) for u in "az" for i in range(5)]
+    df = spark.createDataFrame(rows, "split string, shard string, row_no long, tokens array<int>").repartition(3)
+    token_dataset.write_token_dataset(df, str(tmp_path / "t"), order=("shard", "row_no"))
+    manifest = token_dataset.read_manifest(spark, str(tmp_path / "t")).collect()
+    assert max(r.n_docs for r in manifest) <= 114 and len(manifest) >= 8
+    back = token_dataset.read_token_dataset(spark, str(tmp_path / "t")).orderBy("start").collect()
+    small = list(range(1000, 1005))
+    assert [t for r in back for t in r.tokens] == small + list(range(900)) + small
+
+
 def test_token_that_does_not_fit_fails(spark, tmp_path):
     df = spark.createDataFrame([(1, "train", [1, 65_536])], "doc_id long, split string, tokens array<int>")
     with pytest.raises(PySparkException):
