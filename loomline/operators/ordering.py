@@ -70,7 +70,7 @@ def totals_before(
             ],
         )
     else:
-        coarse = per_bucket.withColumn("_coarse", F.floor(F.col(bucket) / fanout))
+        coarse = materialize(per_bucket).withColumn("_coarse", F.floor(F.col(bucket) / fanout))
         carry = totals_before(
             coarse,
             "_coarse",

@@ -108,12 +108,12 @@ def split_stream_at_eot(blocks: DataFrame, group: Sequence[str] = ("split",), eo
         F.transform(tokens, lambda t, i: F.when(t == eot, i + 1)), lambda i: i.isNotNull()
     )
     # Only the number of ends per block goes through the running sums, not the tokens.
+    counts = materialize(blocks.select(
+        *keys, F.size(F.filter(tokens, lambda t: t == eot)).cast("bigint").alias("_n"),
+        F.floor(F.col("block_no") / 1024).alias("_bucket"),
+    ))
     counted = totals_before(
-        blocks.select(
-            *keys, F.size(F.filter(tokens, lambda t: t == eot)).cast("bigint").alias("_n"),
-            F.floor(F.col("block_no") / 1024).alias("_bucket"),
-        ),
-        "_bucket", ["block_no"],
+        counts, "_bucket", ["block_no"],
         {
             "_docs_before": ("sum", F.col("_n")),
             "_last_cut": ("max", F.when(F.col("_n") > 0, F.col("block_no"))),

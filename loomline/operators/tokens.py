@@ -12,6 +12,7 @@ from loomline.functions import fixed_values as fv
 from loomline.functions.lookup import lookup
 from loomline.functions.tokenizers import BYTES
 from loomline.operators.ordering import totals_before
+from loomline.session import materialize
 
 
 def extension(path: Column) -> Column:
@@ -172,34 +173,38 @@ def conversation_context(turns: DataFrame, block_size: int, conv_col="conv_id",
     A user turn starts on a new line unless nothing was said before; an answer
     follows its prompt directly.
 
-    No window holds a whole conversation. Each turn learns its character offset
-    by two-level running sums. Its text is then cut at multiples of the limit
-    and every piece sent to its own block and the next one, so a block gathers at
-    most twice the limit. The context of a turn is cut from exactly one block.
+    No window holds a whole conversation. The lengths of the turns are written
+    once and give each turn its character offset by two-level running sums. The texts
+    then meet their offset, are cut at multiples of the limit, and every piece
+    is sent to its own block and the next one, so a block gathers at most twice
+    the limit. The context of a turn is cut from exactly one block.
     """
     limit = 3 * block_size
     keys = [conv_col, turn_col]
-    said = turns.select(
-        *keys, F.col(role_col).alias("_role"), F.coalesce(text_col, F.lit("")).alias("_text"),
+    text = F.coalesce(text_col, F.lit(""))
+    lengths = materialize(turns.select(
+        *keys, (F.col(role_col) == "user").alias("_user"),
+        F.char_length(text).cast("bigint").alias("_length"),
         F.floor(F.col(turn_col) / turns_per_bucket).alias("_bucket"),
+    ))
+    spoken = totals_before(
+        lengths, "_bucket", [turn_col], {"_spoken": ("max", F.col("_length") > 0)},
+        group=[conv_col], fanout=4096,
     )
-    said = totals_before(
-        said, "_bucket", [turn_col], {"_spoken": ("max", F.col("_text") != "")}, group=[conv_col],
-        fanout=4096,
-    )
-    new_line = (F.col("_role") == "user") & F.coalesce("_spoken", F.lit(False))
-    said = said.select(
-        *keys, "_bucket",
-        F.when(new_line, F.concat(F.lit("\n"), "_text")).otherwise(F.col("_text")).alias("_text"),
-    )
-    said = totals_before(
-        said, "_bucket", [turn_col], {"_start": ("sum", F.char_length("_text").cast("bigint"))},
+    new_line = F.coalesce(F.col("_user") & F.col("_spoken"), F.lit(False))
+    sized = spoken.select(*keys, "_bucket", new_line.alias("_new_line"),
+                          (F.col("_length") + new_line.cast("int")).alias("_length"))
+    placed = materialize(totals_before(
+        sized, "_bucket", [turn_col], {"_start": ("sum", F.col("_length"))},
         group=[conv_col], fanout=4096,
-    ).withColumn("_end", F.col("_start") + F.char_length("_text"))
+    ).select(*keys, "_new_line", "_start", (F.col("_start") + F.col("_length")).alias("_end")))
 
     block = F.col("_block")
+    said = turns.select(*keys, text.alias("_text")).join(placed.hint("shuffle_hash"), keys)
     pieces = (
         said.where("_end > _start")
+        .withColumn("_text", F.when(F.col("_new_line"), F.concat(F.lit("\n"), "_text"))
+                    .otherwise(F.col("_text")))
         .withColumn("_block", F.explode(F.sequence(
             F.floor(F.col("_start") / limit), F.floor((F.col("_end") - 1) / limit))))
         .withColumn("_from", F.greatest(F.col("_start"), block * limit))
@@ -219,7 +224,7 @@ def conversation_context(turns: DataFrame, block_size: int, conv_col="conv_id",
                         lambda p: p["_piece"]), "",
         ).alias("_near")
     )
-    ends = said.select(
+    ends = placed.select(
         *keys, "_end", F.floor((F.greatest(F.col("_end"), F.lit(1)) - 1) / limit).alias("_block")
     )
     near_start = F.greatest(block - 1, F.lit(0)) * limit
