@@ -49,8 +49,8 @@ split_docs as (
 
 SPANS = f"""{SPLIT},
 spans as (
-  select *, sum(len(tokens)) over (partition by split order by {h(42, 'doc_id')}, doc_id)
-      - len(tokens) as start
+  select *, (sum(len(tokens)) over (partition by split order by {h(42, 'doc_id')}, doc_id)
+      - len(tokens))::bigint as start
   from (select doc_id, split, list_append({byte_list('text')}, {fv.EOT}) as tokens from split_docs))"""
 
 STREAM = f"""{SPANS},
