@@ -41,6 +41,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def many_documents(spark, d) -> DataFrame:
+    """The documents, for work that is heavy on the CPU."""
+    return samples.spread(documents(spark, d), "doc_id")
+
+
 def digest(token_list: str | Column) -> Column:
     token_list = F.col(token_list) if isinstance(token_list, str) else token_list
     return F.md5(F.concat_ws(" ", token_list.cast("array<string>")))
@@ -51,7 +56,7 @@ def as_text(token_list: str) -> Column:
 
 
 def code_documents(spark, d) -> DataFrame:
-    rows = documents(spark, d)
+    rows = many_documents(spark, d)
     return rows.withColumn("lang", lookup(CODE_LANGUAGE, F.col("lang")))
 
 
@@ -59,6 +64,10 @@ def split_documents(spark, d) -> DataFrame:
     return sequence.split_train_val(documents(spark, d), VAL_RATIO)
 
 
+def split_many(spark, d) -> DataFrame:
+    return sequence.split_train_val(many_documents(spark, d), VAL_RATIO)
+
+
 def spans(spark, d) -> DataFrame:
     """The token streams of both splits: documents with stream positions."""
     rows = split_documents(spark, d).select("doc_id", "split", "text")
@@ -85,7 +94,7 @@ def scored_words(spark, d) -> DataFrame:
     adds one end token with one nat and no bytes. Words are counted per batch
     before anything meets by word: at most 40 rows per word then.
     """
-    rows = split_documents(spark, d).withColumn("batch", F.pmod("doc_id", F.lit(20)))
+    rows = split_many(spark, d).withColumn("batch", F.pmod("doc_id", F.lit(20)))
     by_batch = materialize(stats.word_counts(rows, by=["split", "batch"]))
     total = by_batch.agg(F.sum("n")).scalar()
     overall = F.sum("n").over(Window.partitionBy("word"))
@@ -153,7 +162,7 @@ def combine_sources(spark, d):
 
 def _written(spark, d) -> str:
     out = workspace(spark, "tokens")
-    rows = split_documents(spark, d)
+    rows = split_many(spark, d)
     token_dataset.write_token_dataset(tokens.encode_document(rows, envelope="text"), out)
     return out
 
@@ -202,7 +211,7 @@ def _damaged(spark, d) -> DataFrame:
         .when(kind == 2, F.concat(raw, F.unhex(F.lit("E282"))))
         .otherwise(raw)
     )
-    return documents(spark, d).select("doc_id", content.alias("content"))
+    return many_documents(spark, d).select("doc_id", content.alias("content"))
 
 
 def filter_utf8(spark, d):
@@ -275,7 +284,7 @@ def encode_document(spark, d):
 
 
 def tokenize_corpus(spark, d):
-    done = tokens.tokenize_corpus(documents(spark, d))
+    done = tokens.tokenize_corpus(many_documents(spark, d))
     return done.select(
         "doc_id", "n_tokens", F.round("chars_per_token", 9).alias("chars_per_token"),
         digest("tokens").alias("tokens_md5"),
@@ -284,7 +293,7 @@ def tokenize_corpus(spark, d):
 
 def detokenize_audit(spark, d):
     """A language token is put behind a random byte; it may cut a character."""
-    encoded = tokens.tokenize_corpus(documents(spark, d).where("text != ''"))
+    encoded = tokens.tokenize_corpus(many_documents(spark, d).where("text != ''"))
     at = (F.pmod(seeded_hash("cut", "doc_id"), F.col("n_tokens")) + 1).cast("int")
     marked = encoded.withColumn("_at", at).withColumn("tokens", F.concat(
         F.slice("tokens", F.lit(1), F.col("_at")), F.array(F.lit(fv.OTHER_LANGUAGE)),
@@ -302,7 +311,7 @@ def build_completion_prompt(spark, d):
 
 
 def build_fim_prompt(spark, d):
-    rows = documents(spark, d).withColumn("_half", F.floor(F.char_length("text") / 2).cast("int"))
+    rows = many_documents(spark, d).withColumn("_half", F.floor(F.char_length("text") / 2).cast("int"))
     rows = rows.select(
         "doc_id", F.left("text", F.col("_half")).alias("prefix"),
         F.substring("text", F.col("_half") + 1, F.char_length("text")).alias("suffix"),
@@ -312,7 +321,7 @@ def build_fim_prompt(spark, d):
 
 def truncate_at_stop(spark, d):
     """Two sorts of generated output: tokens that may hold an end, text with blank lines."""
-    encoded = tokens.tokenize_corpus(documents(spark, d))
+    encoded = tokens.tokenize_corpus(many_documents(spark, d))
     stop = F.when(seeded_hash("stop", "doc_id") % 2 == 0, fv.EOT).otherwise(fv.CODE_END)
     at = F.pmod(seeded_hash("cut", "doc_id"), F.col("n_tokens") + 1).cast("int")
     rows = encoded.withColumn("_at", at).select(
@@ -381,7 +390,7 @@ def lm_pairs(spark, d):
 
 
 def fim_transform(spark, d):
-    done = sequence.fim_transform(tokens.tokenize_corpus(documents(spark, d)), "doc_id")
+    done = sequence.fim_transform(tokens.tokenize_corpus(many_documents(spark, d)), "doc_id")
     return done.select("doc_id", "mode", digest("tokens").alias("tokens_md5"))
 
 
@@ -417,27 +426,27 @@ def filter_funnel(spark, d):
 
 
 def token_frequency(spark, d):
-    return stats.token_frequency(documents(spark, d))
+    return stats.token_frequency(many_documents(spark, d))
 
 
 def dominance_audit(spark, d):
-    audit = stats.dominance_audit(split_documents(spark, d))
+    audit = stats.dominance_audit(split_many(spark, d))
     return audit.withColumns({
         "share": F.round("share", 9), "constant_share": F.round("constant_share", 9)
     })
 
 
 def next_token_counts(spark, d):
-    return stats.next_token_counts(documents(spark, d))
+    return stats.next_token_counts(many_documents(spark, d))
 
 
 def next_token_topk(spark, d):
-    top = stats.next_token_topk(stats.next_token_counts(documents(spark, d)))
+    top = stats.next_token_topk(stats.next_token_counts(many_documents(spark, d)))
     return top.withColumn("prob", F.round("prob", 9))
 
 
 def _word_scores(spark, d) -> DataFrame:
-    return stats.word_counts(documents(spark, d), by=["lang"]).select(
+    return stats.word_counts(many_documents(spark, d), by=["lang"]).select(
         F.col("lang").alias("grp"), F.col("word").alias("item"), F.ln("n").alias("logit"),
         (seeded_hash("seen", "word") % 10 == 0).alias("seen"),
     )
@@ -466,7 +475,7 @@ def split_loss(spark, d):
 
 
 def perplexity_by_class(spark, d):
-    return stats.perplexity_by_class(documents(spark, d)).select(
+    return stats.perplexity_by_class(many_documents(spark, d)).select(
         "lang", "n_pairs", F.round("mean_nats", 8).alias("mean_nats"),
         F.round("perplexity", 4).alias("perplexity"),
     )
@@ -485,7 +494,7 @@ def compression_report(spark, d):
 
 
 def token_budget(spark, d):
-    on_hand = documents(spark, d).agg(F.sum(F.size(stats.words("text")))).scalar()
+    on_hand = many_documents(spark, d).agg(F.sum(F.size(stats.words("text")))).scalar()
     runs = spark.createDataFrame(RUNS, "run string, n_params bigint")
     budget = stats.token_budget(runs, on_hand)
     return budget.withColumn("shortfall_factor", F.round("shortfall_factor", 6))
