@@ -19,12 +19,12 @@ def shared_dir(spark: SparkSession) -> str:
     folder. A cluster session without it is refused: a machine-local folder
     would be lost together with the executor that wrote it.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or getattr(context, "_loomline_dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="loomline-")
-        spark.conf.set(CHECKPOINT_DIR, configured)
+        configured = context._loomline_dir = tempfile.mkdtemp(prefix="loomline-")
     return configured.rstrip("/")
 
 

@@ -15,6 +15,8 @@ def open_filesystem(path: str) -> tuple[fs.FileSystem, str]:
     if "://" in path or path.startswith("file:"):
         if path.startswith("file:") and not path.startswith("file://"):
             path = "file://" + path[len("file:"):]
+        if path.startswith("s3a://"):  # the name Hadoop gives the same store
+            path = "s3" + path[len("s3a"):]
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
 

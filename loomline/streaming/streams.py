@@ -18,7 +18,6 @@ from loomline.operators.caps import within_cutoffs
 from loomline.operators.filters import char_length_ok, filter_char_length
 from loomline.operators.tokens import encode_document
 from loomline.session import materialize
-from loomline.sources.files import open_filesystem
 from loomline.sources.samples import with_content
 
 
@@ -84,13 +83,13 @@ def stream_cap_per_language(stream: DataFrame, out: str, checkpoint: str,
     """
     spark = stream.sparkSession
     state = f"{out}-accepted"
-    system, plain = open_filesystem(state)
-    system.create_dir(plain, recursive=True)
+    counts = f"{lang_col} string, n bigint"
+    spark.createDataFrame([], counts).write.mode("overwrite").parquet(f"{state}/batch=-1")
 
     def accept(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         before = (
-            session.read.schema(f"{lang_col} string, n bigint, batch bigint").parquet(state)
+            session.read.schema(f"{counts}, batch bigint").parquet(state)
             .where(F.col("batch") < batch_id).groupBy(lang_col).agg(F.sum("n").alias("n"))
         )
         used = {row[lang_col]: row["n"] for row in before.collect()}  # one row per language
