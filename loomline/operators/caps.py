@@ -99,11 +99,19 @@ def attempt_encode(content: Column, tokenizer) -> Column:
 
 
 def quarantine_failures(df: DataFrame, tokenizer, content_col="content") -> tuple[DataFrame, DataFrame]:
-    """(good rows with ``tokens``, rejected rows with ``error``)."""
+    """(good rows with ``tokens``, rejected rows with ``error`` and their content).
+
+    Every record is tried once; the outcome is written, and both tables read it.
+    """
+    others = [name for name in df.columns if name != content_col]
     tried = df.withColumn("_attempt", attempt_encode(F.col(content_col), tokenizer))
-    good = tried.where("_attempt.error is null").withColumn("tokens", F.col("_attempt.tokens"))
-    bad = tried.where("_attempt.error is not null").withColumn("error", F.col("_attempt.error"))
-    return good.drop("_attempt", content_col), bad.drop("_attempt")
+    failed = F.col("_attempt.error").isNotNull()
+    outcome = materialize(tried.select(
+        *others, F.when(failed, F.col(content_col)).alias(content_col),
+        F.col("_attempt.tokens").alias("tokens"), F.col("_attempt.error").alias("error"),
+    ))
+    good = outcome.where("error is null").select(*others, "tokens")
+    return good, outcome.where("error is not null").drop("tokens")
 
 
 def quarantine_report(df: DataFrame, tokenizer, content_col="content") -> DataFrame:
