@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from loomline.llm import bpe, language, mixing, quality, secrets
+from loomline.llm import bpe, embeddings, html, language, mixing, pii, quality, secrets
 
 
 def queries() -> dict:
     found = [
-        secrets.op3_secret_scan, language.op4_language_id, mixing.op5_mix_sources, bpe.op6_byte_bpe,
+        pii.op1_pii, html.op2_html_text, secrets.op3_secret_scan, language.op4_language_id,
+        mixing.op5_mix_sources, bpe.op6_byte_bpe, embeddings.op9_embedding_dedup,
         quality.op10_quality_rules,
     ]
     return {q.__name__: q for q in found}
