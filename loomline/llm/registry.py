@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from loomline.llm import bpe, embeddings, html, language, mixing, pii, quality, secrets
+from loomline.llm import bpe, embeddings, html, language, mixing, pii, quality, secrets, set_join
 
 
 def queries() -> dict:
     found = [
         pii.op1_pii, html.op2_html_text, secrets.op3_secret_scan, language.op4_language_id,
-        mixing.op5_mix_sources, bpe.op6_byte_bpe, embeddings.op9_embedding_dedup,
+        mixing.op5_mix_sources, bpe.op6_byte_bpe, set_join.op8_ngram_jaccard,
+        embeddings.op9_embedding_dedup,
         quality.op10_quality_rules,
     ]
     return {q.__name__: q for q in found}
