@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from loomline.functions.hashing import unit_draw
 from loomline.llm.common import only, slices
@@ -157,36 +156,55 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     return train([r[0] for r in rows], [r[1] for r in rows])
 
 
+def identified(docs: DataFrame, text: str, model: Model) -> Column:
+    """Struct (lang_pred, score, rejected) of a text column. The model, at most BUCKETS x labels numbers,
+    goes to every task."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf(T.StructType([
+        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+        T.StructField("rejected", T.BooleanType())]))
+    def predict(texts: pa.Array, letters: pa.Array) -> pa.Array:
+        learned, names, scores = shared.value, [], []
+        batch = pa.RecordBatch.from_arrays([texts], ["text"])
+        for piece in slices(iter([batch]), 1 << 20):
+            found, score = learned.predict(piece.column("text"))
+            names += found
+            scores.append(score)
+        some = letters.to_numpy(zero_copy_only=False).astype(bool)
+        score = np.where(some, np.clip(np.concatenate([np.zeros(0), *scores]), 0, 1), 0.0)
+        return pa.StructArray.from_arrays([
+            pa.array([x if ok else UNKNOWN for x, ok in zip(names, some)], pa.string()),
+            pa.array(score, pa.float64()), pa.array(~some | (score < learned.threshold), pa.bool_()),
+        ], ["lang_pred", "score", "rejected"])
+
+    column = F.col(text)
+    return predict(column, F.coalesce(column.rlike(r"\p{L}"), F.lit(False)))
+
+
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score (0 to 1) and rejected of every whole text.
 
     A text that is null or has no letter is ``und`` with score 0 and rejected. A text whose
     calibrated score is below the model's threshold keeps its language but is rejected. Only the
     text goes into a prediction. Rows stay as they are; repeated and empty input is no special
-    case. The model, at most BUCKETS x labels numbers, goes along with the task.
+    case.
     """
     model = model or fit(docs)
     rows = only(docs, "doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    marked = rows.select("doc_id", "text", F.coalesce(
-        F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
-    data = model
-    broadcast = docs.sparkSession.sparkContext.broadcast(data)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = broadcast.value
-        for piece in slices(batches, 1 << 20):
-            found, score = learned.predict(piece.column("text"))
-            letters = piece.column("letters").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([
-                piece.column("doc_id"),
-                pa.array([x if ok else UNKNOWN for x, ok in zip(found, letters)], pa.string()),
-                pa.array(np.where(letters, np.clip(score, 0, 1), 0.0), pa.float64()),
-                pa.array(~letters | (score < learned.threshold)),
-            ], ["doc_id", "lang_pred", "score", "rejected"])
-
-    named = marked.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
-    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+    return rows.select("doc_id", held_out().alias("held_out"),
+                       identified(rows, "text", model).alias("found")).select(
+        "doc_id", "held_out", "found.*")
+
+
+def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The rows of ``docs`` that the model doesn't reject, with the columns they have."""
+    model = model or fit(docs)
+    places = [f"_{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*places)
+    text = places[docs.columns.index("text")]
+    found = rows.withColumn("found", identified(rows, text, model))
+    return found.filter(~F.col("found.rejected")).select(*places).toDF(*docs.columns)
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from loomline.llm import bpe, embeddings, html, language, mixing, pii, quality, secrets, set_join
+from loomline.llm import bpe, embeddings, html, language, mixing, ngram_lm, pii, quality, secrets, set_join
 
 
 def queries() -> dict:
     found = [
         pii.op1_pii, html.op2_html_text, secrets.op3_secret_scan, language.op4_language_id,
-        mixing.op5_mix_sources, bpe.op6_byte_bpe, set_join.op8_ngram_jaccard,
+        mixing.op5_mix_sources, bpe.op6_byte_bpe, ngram_lm.op7_ngram_lm, set_join.op8_ngram_jaccard,
         embeddings.op9_embedding_dedup,
         quality.op10_quality_rules,
     ]

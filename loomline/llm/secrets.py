@@ -16,6 +16,7 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 #: Tokens that the randomness tests look at, if they hold a digit and a letter.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+MASK = "[SECRET]"
 KINDS = ["assign", "access", "hex", "random"]
 #: Alphabets by encoding; the first that holds all characters of a token is inferred.
 ALPHABETS = {
@@ -174,23 +175,15 @@ def cut_offs(tested: DataFrame, level: float = FALSE_DISCOVERIES) -> dict[str, f
     return {r[0]: r[1] for r in passed.groupBy("stratum").agg(F.max("largest_p")).collect()}
 
 
-def scan(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
-    """Find secrets in every text (null: empty).
-
-    Columns: doc_id, base and spans (arrays of kind, start, end; positions in code points, sorted
-    by start, then kind). base has the kinds assign, access and hex; spans has also ``random``: long
-    tokens with a digit and a letter that the battery does not reject and no base span meets.
-    Rows stay as they are, repeated ones and those without doc_id too; no texts are in the result.
-    An empty table gives an empty table.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = only(docs, "doc_id", "text").select("doc_id", text.alias("text"))
+def _scan(rows: DataFrame, level: float, drop: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``rows`` (text among them, not null) with base and spans."""
+    carried = rows.columns
     number = F.col("text").rlike("[0-9]")
     found = find_all(rows, {
         "assign": (ASSIGN, F.col("text").rlike("[:=]")),
         "access": (ACCESS, F.contains("text", F.lit("AKIA"))),
         "hex": (HEX, F.lit(True)),
-        "random": (TOKEN, number)}).drop("text")
+        "random": (TOKEN, number)})
     kept = {
         "assign": lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 1)) >= 12,
         "access": lambda s: F.lit(True), "hex": lambda s: F.lit(True),
@@ -200,12 +193,12 @@ def scan(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
         s["start"].alias("start"), F.lit(KINDS.index(k)).alias("place"), s["end"].alias("end"),
         F.lit(k).alias("kind"))
     sorted_ = found.select(
-        "doc_id",
+        *carried,
         F.array_sort(F.concat(*[F.transform(F.filter(k, kept[k]), named(k)) for k in KINDS[:3]])).alias("base"),
         F.filter("random", kept["random"]).alias("random"))
-    free = sorted_.select("doc_id", "base", F.filter("random", lambda r: ~F.exists(
+    free = sorted_.select(*carried, "base", F.filter("random", lambda r: ~F.exists(
         "base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))).alias("random"))
-    tested = written(free.select("doc_id", "base", F.filter(
+    tested = written(free.select(*[c for c in carried if c not in drop], "base", F.filter(
         F.transform("random", lambda r: F.struct(
             r["start"].alias("start"), F.lit(3).alias("place"), r["end"].alias("end"),
             F.lit("random").alias("kind"), randomness(r["match"]).alias("test"))),
@@ -220,10 +213,55 @@ def scan(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
     added = F.transform(F.filter("random", stands), lambda r: F.struct(*[
         r[c].alias(c) for c in ("start", "place", "end", "kind")]))
     return tested.select(
-        "doc_id", F.transform("base", strip).alias("base"),
+        *[c for c in carried if c not in drop], F.transform("base", strip).alias("base"),
         F.transform(F.array_sort(F.concat("base", added)), strip).alias("spans"))
 
 
+def scan(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
+    """Find secrets in every text (null: empty).
+
+    Columns: doc_id, base and spans (arrays of kind, start, end; positions in code points, sorted
+    by start, then kind). base has the kinds assign, access and hex; spans has also ``random``: long
+    tokens with a digit and a letter that the battery does not reject and no base span meets.
+    Rows stay as they are, repeated ones and those without doc_id too; no texts are in the result.
+    An empty table gives an empty table.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = only(docs, "doc_id", "text").select("doc_id", text.alias("text"))
+    return _scan(rows, level, drop=("text",))
+
+
+def redact(docs: DataFrame, mask: str = MASK, level: float = FALSE_DISCOVERIES) -> DataFrame:
+    """``docs`` with each secret (overlapping spans are one) replaced by ``mask``; n_chars follows the text.
+
+    All rows and columns stay; texts without a secret, and null ones, are as before. The table is
+    written once between the search and the replacement.
+    """
+    text_at = docs.columns.index("text")
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    found = _scan(rows.withColumn("text", F.coalesce(F.col(f"c{text_at}"), F.lit(""))), level, drop=("text",))
+    text = F.col(f"c{text_at}")
+    start = F.struct(F.lit(0).alias("upto"), F.lit("").alias("out"))
+
+    def step(a: Column, s: Column) -> Column:
+        new = s["start"] >= a["upto"]
+        return F.struct(
+            F.greatest(a["upto"], s["end"]).alias("upto"),
+            F.when(new, F.concat(a["out"], F.substring(text, a["upto"] + 1, s["start"] - a["upto"]),
+                                 F.lit(mask))).otherwise(a["out"]).alias("out"))
+
+    clean = F.aggregate("spans", start, step, lambda a: F.concat(
+        a["out"], F.substring(text, a["upto"] + 1, F.length(text))))
+    masked = found.withColumn("clean", F.when(F.size("spans") > 0, clean).otherwise(text))
+    columns = [F.col(f"c{i}") for i in range(len(docs.columns))]
+    columns[text_at] = F.col("clean")
+    if "n_chars" in docs.columns:
+        at = docs.columns.index("n_chars")
+        kind = docs.schema["n_chars"].dataType
+        columns[at] = F.when(F.size("spans") > 0, F.length("clean").cast(kind)).otherwise(columns[at])
+    return masked.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).toDF(*docs.columns)
+
+
 def _any(conditions: list[Column], none: Column) -> Column:
     out = none
     for c in conditions:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -320,5 +320,22 @@ def _links(candidates: DataFrame) -> DataFrame:
         cells.join(candidates, "fp").repartition("cell").sortWithinPartitions("cell", "n_shingles", "fp")))
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the document that names it.
+
+    Of rows with one doc_id (repeated rows) that with the smallest hash of its text stays; rows
+    without doc_id stay.
+    """
+    places = [f"_{i}" for i in range(len(docs.columns))]
+    doc_id, text = (places[docs.columns.index(c)] for c in ("doc_id", "text"))
+    gone = cluster(docs).filter("component_id != doc_id").select("doc_id").distinct()
+    rows = docs.toDF(*places)
+    left = rows.join(gone, rows[doc_id].cast("bigint") == gone["doc_id"], "left_anti")
+    alone = F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id())
+    first = Window.partitionBy(doc_id, "alone").orderBy(F.xxhash64(text))
+    return left.withColumn("alone", alone).withColumn("n", F.row_number().over(first)).filter(
+        "n = 1").select(*places).toDF(*docs.columns)
+
+
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     return cluster(spark.read.parquet(f"{sf_dir}/documents.parquet"))
