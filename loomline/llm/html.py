@@ -152,6 +152,16 @@ LABELLED = [
     (1, (120, .02, 60, 0, 90, 0, 1, 0, 1)), (1, (8, 1, 40, 0, 30, 0, 1, 0, 1)),
     (1, (2, 1, 50, .1, 2, 1, 1, 0, 1)), (1, (25, .4, 90, 0, 10, 0, 1, 0, 1)),
     (1, (300, 0, 5, 0, 9, 0, 1, 0, 1)), (1, (2, 0, 3, 1, 4, 0, 1, 0, 1)),
+    (1, (14, 0, 2, 1, 3, 1, 1, 0, 1)), (1, (5, 0, 1, 1, 200, 0, 1, 1, 1)),
+    (1, (33, 0, 1, 0, 1, 0, 1, 0, 1)), (1, (4, 0, 0, 0, 0, 0, 1, 0, 1)),
+    (1, (1, 0, 4, 0, 17, 0, 1, 0, 1)), (1, (11, .2, 2, .5, 9, 0, 1, 0, 1)),
+    (1, (2, .5, 9, 0, 5, .4, 1, 0, 1)), (1, (90, .3, 1, 1, 12, 0, 1, 0, 1)),
+    (1, (7, 0, 12, 0, 2, 1, 1, 1, 1)), (1, (18, 0, 3, 0, 100, .1, 1, 0, 1)),
+    (1, (150, 0, 150, 0, 150, 0, 1, 0, 1)), (1, (3, 1, 3, 1, 3, 1, 1, 0, 1)),
+    (1, (1, 0, 1, 0, 1, 0, 1, 0, 1)), (1, (45, .6, 20, 0, 8, 0, 1, 0, 1)),
+    (1, (10, 0, 2, 0, 13, 0, 1, 0, 1)), (1, (70, 0, 0, 0, 4, 1, 1, 0, 1)),
+    (1, (9, .1, 80, .1, 0, 0, 1, 0, 1)), (1, (26, 0, 6, .3, 70, .2, 1, 0, 1)),
+    (1, (2, 0, 2, 0, 55, 0, 1, 1, 1)), (1, (13, 0, 30, 0, 5, 0, 1, 0, 1)),
     # furniture of such pages: menus, adverts, notices, comments, footers
     (0, (1, 1, 0, 0, 1, 1, -1, 0, 1)), (0, (1, 1, 1, 1, 8, 0, -1, 0, 1)),
     (0, (8, 0, 1, 1, 6, 0, -1, 0, 1)), (0, (30, 0, 1, 1, 60, 0, -1, 0, 1)),

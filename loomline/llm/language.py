@@ -26,24 +26,25 @@ _MIX = np.uint32(0x9E3779B1)
 _STEPS = tuple(np.uint32(x) for x in (0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1))
 
 
-def subword_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash buckets of all byte n-grams of lower-cased texts (one order after the other), by text.
+def subword_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash buckets of the byte n-grams that begin at each byte of the lower-cased texts.
 
-    Returns an array (n, len(ORDERS)) for every byte position, and the texts' offsets. An n-gram
-    that would cross the text's end gets the bucket of what is there and of a gap.
+    Returns an array (bytes, len(ORDERS)), and where each text begins and ends in it. Between texts
+    stand as many spaces as an n-gram has bytes, so that none reaches into another text.
     """
     lower = pc.utf8_lower(pc.fill_null(texts, "")).cast(pa.large_binary())
     lengths = pc.binary_length(lower).to_numpy(zero_copy_only=False).astype(np.int64)
-    raw = np.frombuffer(b" ".join(lower.to_pylist()) + b"    ", np.uint8).astype(np.uint32)
-    starts = np.concatenate([[0], np.cumsum(lengths + 1)])  # each text ends with a gap
-    n = int(starts[-1])
+    gap = max(ORDERS)
+    raw = np.frombuffer((b" " * gap).join([*lower.to_pylist(), b" " * gap]), np.uint8).astype(np.uint32)
+    starts = np.concatenate([[0], np.cumsum(lengths + gap)])[:-1].astype(np.int64)
+    n = len(raw) - gap
     hashed, out = np.zeros(n, np.uint32), np.empty((n, len(ORDERS)), np.int32)
-    for k in range(max(ORDERS)):
+    for k in range(gap):
         hashed = (hashed ^ (raw[k:k + n] + np.uint32(1)) * _STEPS[k]) * _MIX
         hashed ^= hashed >> np.uint32(15)
         if k + 1 in ORDERS:
             out[:, ORDERS.index(k + 1)] = (hashed * _MIX) >> np.uint32(32 - 15)
-    return out, starts
+    return out, starts, starts + lengths
 
 
 @dataclass
@@ -58,11 +59,13 @@ class Model:
         """Mean over a text's subwords of embedding times weights, plus bias."""
         if not len(texts) or not self.labels:
             return np.zeros((len(texts), len(self.labels)))
-        buckets, starts = subword_buckets(texts)
+        buckets, starts, ends = subword_buckets(texts)
         total = np.zeros((len(texts), len(self.labels)))
+        spans = np.column_stack([starts, ends]).ravel()  # every second sum is that of a gap
         for k in range(len(ORDERS)):
-            total += np.add.reduceat(self.scores[buckets[:, k]], starts[:-1], axis=0)
-        return total / (np.diff(starts)[:, None] * len(ORDERS)) + self.bias
+            total += np.add.reduceat(self.scores[buckets[:, k]], spans, axis=0)[::2]
+        lengths = (ends - starts)[:, None]
+        return np.where(lengths > 0, total / (np.maximum(lengths, 1) * len(ORDERS)), 0) + self.bias
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """Best label and calibrated probability."""
@@ -95,8 +98,8 @@ def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOC
     calibrates = np.arange(len(texts)) % 5 == 4
     bags = []
     for t in texts:
-        buckets, _ = subword_buckets(pa.array([t], pa.string()))
-        ids, counts = np.unique(buckets, return_counts=True)
+        buckets, _, end = subword_buckets(pa.array([t], pa.string()))
+        ids, counts = np.unique(buckets[:end[0]], return_counts=True)
         bags.append((ids, (counts / counts.sum()).astype(np.float32)))
     learned = np.flatnonzero(~calibrates)
     for epoch in range(epochs):

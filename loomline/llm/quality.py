@@ -81,21 +81,25 @@ def _vote(good: Column, bad: Column) -> Column:
 
 
 def votes() -> dict[str, Column]:
-    """The rules, on the columns of ``measures``. Shares are of words, lines or characters."""
+    """The rules, on the columns of ``measures``. Shares are of words, lines or characters.
+
+    A rule that looks for one defect abstains where there is none: that is no evidence of quality.
+    Few symbols beside words, and function words as in running prose, are.
+    """
     c = F.col
     words, chars = F.greatest(c("n_words"), F.lit(1)), F.greatest(c("word_chars"), F.lit(1))
-    lines = F.greatest(c("n_lines"), F.lit(1))
+    lines, never = F.greatest(c("n_lines"), F.lit(1)), F.lit(False)
+    longer = c("n_words") >= 100
     return {
-        "length": _vote(c("n_words") >= 100, c("n_words") < MIN_WORDS),
-        "repetition": _vote(c("n_repeat_words") * 100 < words * 20,
-                            c("n_repeat_words") * 100 > words * 40),
-        "symbols": _vote(c("n_symbols") * 100 < words * 2, c("n_symbols") * 10 > words * 3),
-        "lines": _vote(c("n_dup_lines") == 0, c("n_dup_lines") * 10 > lines * 3),
-        "word_length": _vote((chars >= words * 3) & (chars <= words * 9),
-                             (chars < words * 2) | (chars > words * 14)),
-        "function_words": _vote(c("n_function") >= 3, c("n_function") < 1),
-        "capitals": _vote(c("n_capitals") * 10 < chars, c("n_capitals") * 10 > chars * 4),
-        "digits": _vote(c("n_digits") * 100 < chars * 5, c("n_digits") * 10 > chars * 3),
+        "length": _vote(never, c("n_words") < MIN_WORDS),
+        "symbols": _vote(c("n_symbols") * 50 <= words, c("n_symbols") * 5 > words),
+        "function_words": _vote(c("n_function") >= F.when(longer, 6).otherwise(3),
+                                c("n_function") <= F.when(longer, 3).otherwise(0)),
+        "word_length": _vote(never, (chars < words * 2) | (chars > words * 14)),
+        "repetition": _vote(never, c("n_repeat_words") * 100 > words * 30),
+        "lines": _vote(never, c("n_dup_lines") * 10 > lines * 3),
+        "capitals": _vote(never, c("n_capitals") * 10 > chars * 4),
+        "digits": _vote(never, c("n_digits") * 10 > chars * 3),
     }
 
 
