@@ -7,7 +7,7 @@ the bytes of ids inside a Python worker. ``ByteTokenizer`` needs no files;
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -43,12 +43,17 @@ class ByteTokenizer:
     name: str = "bytes"
 
     def encode(self, text: Column) -> Column:
+        tokenizer = self
+
         @F.arrow_udf(TOKENS)
         def byte_tokens(texts: pa.Array) -> pa.Array:
-            return utf8_code_units(texts)
+            return tokenizer.encode_batch(texts)
 
         return byte_tokens(text)
 
+    def encode_batch(self, texts: pa.Array) -> pa.Array:
+        return utf8_code_units(texts)
+
     def count(self, text: Column) -> Column:
         """Number of tokens, without encoding."""
         return F.octet_length(text)
@@ -78,12 +83,16 @@ class BpeTokenizer:
     """Byte-pair vocabulary: a published name, or a ranks file every worker can read.
 
     The encoder is built once per Python worker. Text that looks like a special
-    token is encoded as plain text.
+    token is encoded as plain text. A ranks file needs the pattern it was made with.
     """
 
     name: str = "gpt2"
     ranks_path: str | None = None
-    pattern: str | None = field(default=r"\s+\S+|\S+|\s+")
+    pattern: str | None = None
+
+    def __post_init__(self):
+        if self.ranks_path is not None and self.pattern is None:
+            raise ValueError("a ranks file needs its pattern")
 
     def _encoder(self):
         return _load_bpe(self.name, self.ranks_path, self.pattern)
@@ -93,14 +102,17 @@ class BpeTokenizer:
 
         @F.arrow_udf(TOKENS)
         def bpe_tokens(texts: pa.Array) -> pa.Array:
-            encoder = tokenizer._encoder()
-            return pa.array(
-                [None if t is None else encoder.encode_ordinary(t) for t in texts.to_pylist()],
-                pa.list_(pa.int32()),
-            )
+            return tokenizer.encode_batch(texts)
 
         return bpe_tokens(text)
 
+    def encode_batch(self, texts: pa.Array) -> pa.Array:
+        encoder = self._encoder()
+        return pa.array(
+            [None if t is None else encoder.encode_ordinary(t) for t in texts.to_pylist()],
+            pa.list_(pa.int32()),
+        )
+
     def count(self, text: Column) -> Column:
         return F.size(self.encode(text))
 

@@ -80,22 +80,40 @@ ATTEMPT = T.StructType([
 
 
 def attempt_encode(content: Column, tokenizer) -> Column:
-    """Decode and encode; a failing record gives an error name, not a failed job."""
+    """Decode and encode; a failing record gives an error name, not a failed job.
+
+    Valid text goes to the tokenizer batch by batch. Only if a batch fails, and
+    for bytes that are no text, records are tried one by one.
+    """
+    text = content.cast("string")
+    valid = F.coalesce(F.is_valid_utf8(text), F.lit(False))
 
     @F.arrow_udf(ATTEMPT)
-    def encode_or_explain(raw: pa.Array) -> pa.Array:
-        def one(value):
+    def encode_or_explain(texts: pa.Array, rejected: pa.Array) -> pa.Array:
+        errors = []
+        for value in rejected.to_pylist():
             try:
-                return {"tokens": tokenizer.encode_one(value.decode("utf-8")), "error": None}
-            except Exception as problem:  # any failure is a reject, whatever its kind
-                return {"tokens": None, "error": type(problem).__name__}
-
-        return pa.array(
-            [one(value) for value in raw.to_pylist()],
-            pa.struct([("tokens", pa.list_(pa.int32())), ("error", pa.string())]),
-        )
-
-    return encode_or_explain(content)
+                errors.append(None if value is None else value.decode("utf-8") and "InvalidText")
+            except UnicodeDecodeError as problem:
+                errors.append(type(problem).__name__)
+        try:
+            tokens = tokenizer.encode_batch(texts)
+        except Exception:  # one record or more: find out which
+            tokens = []
+            for i, value in enumerate(texts.to_pylist()):
+                try:
+                    tokens.append(None if value is None else tokenizer.encode_one(value))
+                except Exception as problem:  # any failure is a reject, whatever its kind
+                    tokens.append(None)
+                    errors[i] = type(problem).__name__
+            tokens = pa.array(tokens, pa.list_(pa.int32()))
+        missing = texts.is_null().to_pylist()
+        errors = [e or ("MissingContent" if m and r is None else None) for e, m, r in zip(
+            errors, missing, rejected.to_pylist())]
+        return pa.StructArray.from_arrays(
+            [tokens.cast(pa.list_(pa.int32())), pa.array(errors, pa.string())], ["tokens", "error"])
+
+    return encode_or_explain(F.when(valid, text), F.when(~valid, content))
 
 
 def quarantine_failures(df: DataFrame, tokenizer, content_col="content") -> tuple[DataFrame, DataFrame]:

@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomline.functions.hashing import hash_bucket, seeded_hash
+from loomline.functions.hashing import BUCKET_BITS, HASH_BITS, hash_bucket, seeded_hash
 from loomline.functions.lookup import lookup
 from loomline.session import materialize
 
@@ -156,11 +157,14 @@ def in_hash_order(
     """Running totals before each row in the order of the seeded hash of its id.
 
     Meant for narrow tables. The hash is uniform: its top bits are the buckets.
+    Their table is broadcast for the whole table or its two splits only, 2^17
+    rows at most; more groups are joined.
     """
     keyed = ids.withColumn("_hash", seeded_hash(seed, id_col))
     keyed = keyed.withColumn("_bucket", hash_bucket("_hash"))
     return totals_before(
-        keyed, "_bucket", ["_hash", id_col], totals, group=group, few_buckets=True
+        keyed, "_bucket", ["_hash", id_col], totals, group=group,
+        few_buckets=list(group) in ([], ["split"]),
     ).drop("_hash", "_bucket")
 
 
@@ -171,36 +175,54 @@ def hash_position(df: DataFrame, id_col: str, seed: int | str, name: str = "posi
     are shuffled once, evenly, and not sorted.
     """
     placed = in_hash_order(df.select(id_col), id_col, seed, {name: ("sum", F.lit(1))})
-    return df.join(placed.hint("shuffle_hash"), id_col)
+    return df.join(placed, id_col)
+
+
+def _single(rows: int, id_value) -> None:
+    if rows > 1:
+        raise ValueError(f"ids must be unique: {id_value} occurs {rows} times at the cut")
 
 
 def hash_cutoff(df: DataFrame, id_col: str, seed: int | str, ratio: float) -> tuple | None:
     """(hash, id) of the last of the first ``max(1, int(N * ratio))`` rows in hash order.
 
-    Two passes over the id column, each giving one row: one counts hash buckets,
-    one ranks the only bucket that holds the cut (N / 2^16 rows). The result is a
-    pair of literals, so that plans built on it stay small. None for an empty table.
+    Three passes over the id column: two count the rows by the upper and then
+    the next 16 bits of the hash, the last ranks the rows that have both in
+    common with the cut (N / 2^32). The result is a pair of literals, so that
+    plans built on it stay small. None for an empty table. An id that occurs
+    several times at the cut is refused: no exact split exists then.
     """
     keyed = df.select(seeded_hash(seed, id_col).alias("hash"), F.col(id_col).alias("id"))
-    keyed = keyed.withColumn("bucket", hash_bucket("hash"))
     running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.greatest(F.lit(1), F.floor(F.sum("n").over(Window.partitionBy()) * F.lit(ratio)))
-    cut = (
-        keyed.groupBy("bucket").agg(F.count("*").alias("n"))
-        .select("bucket", "n", F.sum("n").over(running).alias("upto"), wanted.alias("wanted"))
-        .where("upto >= wanted")
-        .agg(F.min(F.struct("bucket", F.expr("wanted - upto + n").alias("inside"))).alias("cut"))
-        .select("cut.*").first()
-    )
-    if cut is None or cut["bucket"] is None:
+
+    def locate(rows: DataFrame, shift: int, wanted: Column | None) -> tuple | None:
+        counted = rows.groupBy(F.shiftright("hash", shift).alias("bucket")).agg(F.count("*").alias("n"))
+        if wanted is None:
+            wanted = F.greatest(F.lit(1), F.floor(F.sum("n").over(Window.partitionBy()) * F.lit(ratio)))
+        cut = (
+            counted.select("bucket", "n", F.sum("n").over(running).alias("upto"), wanted.alias("wanted"))
+            .where("upto >= wanted")
+            .agg(F.min(F.struct("bucket", F.expr("wanted - upto + n").alias("inside"))).alias("cut"))
+            .select("cut.*").first()
+        )
+        return None if cut is None or cut["bucket"] is None else (cut["bucket"], cut["inside"])
+
+    shift = HASH_BITS - BUCKET_BITS
+    cut = locate(keyed, shift, None)
+    if cut is None:
         return None
-    last = (
-        keyed.where(F.col("bucket") == cut["bucket"])
-        .withColumn("nth", F.row_number().over(Window.orderBy("hash", "id")))
-        .where(F.col("nth") == cut["inside"])
-        .select("hash", "id").first()
+    for finer in (shift - BUCKET_BITS,):
+        keyed = keyed.where(F.shiftright("hash", shift) == cut[0])
+        cut, shift = locate(keyed, finer, F.lit(cut[1])), finer
+    rows = (
+        keyed.where(F.shiftright("hash", shift) == cut[0])
+        .groupBy("hash", "id").agg(F.count("*").alias("n"))
+        .withColumn("upto", F.sum("n").over(
+            Window.orderBy("hash", "id").rowsBetween(Window.unboundedPreceding, 0)))
+        .where(F.col("upto") >= cut[1]).orderBy("hash", "id").limit(1).first()
     )
-    return last["hash"], last["id"]
+    _single(rows["n"], rows["id"])
+    return rows["hash"], rows["id"]
 
 
 def smallest_ids(
@@ -209,44 +231,36 @@ def smallest_ids(
     """The id of the ``count``-th row in id order, per group: columns (group, cutoff).
 
     ``count`` may differ per group, as a small dictionary of positive numbers.
-    Groups with fewer rows are absent. Works by counting, not by sorting: two
-    histograms of 2^16 equal id ranges narrow the cut down to 2^-32 of the id
-    range, and only the rows there are ranked. Ids must be unique integers.
+    Groups with fewer rows are absent. Works by counting, not by sorting: the
+    ids' bits are counted 16 at a time from the first that differs at all, each
+    time among the ids that agree with the cut so far, until it is one id. Ids
+    must be integers; one that occurs several times at a cut is refused.
     """
+    kind = df.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer column, not {kind.simpleString()}")
     group_col = F.lit(0) if group is None else F.col(group)
-    rows = df.select(group_col.alias("_g"), F.col(id_col).cast("bigint").alias("_id"))
+    rows = df.select(group_col.alias("_g"), F.col(id_col).cast("bigint").alias("_id")).where("_id is not null")
     lowest, highest = rows.agg(F.min("_id"), F.max("_id")).first()
-    lowest = lowest or 0
-    buckets = 1 << 16
-    wide = ((highest or 0) - lowest) // buckets + 1
-    fine = wide // buckets + 1
-    offset = F.col("_id") - F.lit(lowest)
-    rows = rows.select(
-        "_g", "_id",
-        F.floor(offset / wide).alias("_b1"),
-        F.floor(F.pmod(offset, F.lit(wide)) / fine).alias("_b2"),
-    )
-
-    def locate(source: DataFrame, bucket: str, need: Column) -> DataFrame:
-        running = (
-            Window.partitionBy("_g").orderBy(bucket)
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
-        counted = source.groupBy("_g", bucket).agg(
-            F.count("*").alias("n"), F.max(need).alias("need")
-        )
-        upto = counted.withColumn("upto", F.sum("n").over(running)).where("upto >= need")
-        return upto.groupBy("_g").agg(
-            F.min(F.struct(F.col(bucket), F.expr("need - upto + n").alias("need"))).alias("cut")
-        ).select("_g", f"cut.{bucket}", "cut.need")
-
+    bits = 64 if (lowest or 0) < 0 <= (highest or 0) else ((lowest or 0) ^ (highest or 0)).bit_length()
     wanted = lookup(count, F.col("_g")) if isinstance(count, Mapping) else F.lit(count)
-    first = locate(rows, "_b1", wanted)
-    in_first = rows.join(first, ["_g", "_b1"])
-    second = locate(in_first, "_b2", F.col("need"))
-    in_second = in_first.drop("need").join(second, ["_g", "_b2"])
-    nth = F.row_number().over(Window.partitionBy("_g").orderBy("_id"))
-    return (
-        in_second.withColumn("_nth", nth).where("_nth = need")
-        .select(F.col("_g").alias(group or "_g"), F.col("_id").alias("cutoff"))
-    )
+    cut = rows.select("_g").distinct().select("_g", wanted.cast("bigint").alias("need"))
+    shift, agreed = max(bits, 1), None
+    while shift > 0:
+        shift = max(0, shift - BUCKET_BITS)
+        agreeing = rows.join(cut, "_g")
+        if agreed is not None:
+            agreeing = agreeing.where(F.col("_prefix") == F.shiftright("_id", agreed))
+        running = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        counted = agreeing.groupBy("_g", F.shiftright("_id", shift).alias("_b")).agg(
+            F.count("*").alias("n"), F.max("need").alias("need"))
+        cut = materialize(
+            counted.withColumn("upto", F.sum("n").over(running)).where("upto >= need")
+            .groupBy("_g").agg(F.min(F.struct(
+                F.col("_b"), F.expr("need - upto + n").alias("need"), F.col("n"))).alias("cut"))
+            .select("_g", F.col("cut._b").alias("_prefix"), "cut.need", "cut.n"))
+        agreed = shift
+    several = cut.where("n > 1").select("_prefix", "n").first()
+    if several is not None:
+        _single(several["n"], several["_prefix"])
+    return cut.select(F.col("_g").alias(group or "_g"), F.col("_prefix").alias("cutoff"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomline.functions import fixed_values as fv
 from loomline.functions.hashing import DEFAULT_SEED, seeded_hash, unit_draw
 from loomline.operators.ordering import hash_cutoff, hash_position, in_hash_order, totals_before
-from loomline.session import materialize
+from loomline.session import materialize, write_once
 
 
 def shuffle_documents(df: DataFrame, id_col="doc_id", seed: int | str = DEFAULT_SEED) -> DataFrame:
@@ -46,7 +46,7 @@ def document_spans(df: DataFrame, length: Column, id_col="doc_id", group: Sequen
     starts = in_hash_order(
         lengths, id_col, seed, {"start": ("sum", F.col("_length"))}, group
     ).select(id_col, "start")
-    return df.join(starts.hint("shuffle_hash"), id_col)
+    return df.join(starts, id_col)
 
 
 def flatten_token_stream(spans: DataFrame, group: Sequence[str] = ("split",)) -> DataFrame:
@@ -94,40 +94,44 @@ def blocks_of_stream(stream: DataFrame, block_size: int, group: Sequence[str] =
 
 
 def split_stream_at_eot(blocks: DataFrame, group: Sequence[str] = ("split",), eot: int = fv.EOT,
-                        blocks_per_segment: int = 256) -> DataFrame:
+                        blocks_per_piece: int = 256) -> DataFrame:
     """Recover documents from stream blocks; a tail without end token is one too.
 
     Blocks are cut at their end tokens, and a running count of end tokens numbers the
-    documents. A document that goes on for more than ``blocks_per_segment``
-    blocks comes as several rows (``segment`` 0, 1, ...), so a stream without
-    end tokens does not become one row.
+    documents. Every document comes as pieces (``doc_no``, ``piece_no``, tokens):
+    what lies in the block where it begins and the next ``blocks_per_piece - 1``
+    is piece 0, and so on, so a stream without end tokens does not become one
+    row. :func:`stream_documents` has one row per document.
+
+    ``blocks`` is written once, since two passes need it.
     """
+    blocks = write_once(blocks.select(*group, "block_no", "tokens"), "blocks")
     keys = [*group, "block_no"]
     tokens = F.col("tokens")
     ends = F.filter(
         F.transform(tokens, lambda t, i: F.when(t == eot, i + 1)), lambda i: i.isNotNull()
     )
     # Only the number of ends per block goes through the running sums, not the tokens.
+    n_ends = F.size(F.filter(tokens, lambda t: t == eot)).cast("bigint")
+    next_begins = F.col("block_no") + (F.element_at(tokens, -1) == eot).cast("bigint")
     counts = materialize(blocks.select(
-        *keys, F.size(F.filter(tokens, lambda t: t == eot)).cast("bigint").alias("_n"),
+        *keys, n_ends.alias("_n"), F.when(n_ends > 0, next_begins).alias("_next"),
         F.floor(F.col("block_no") / 1024).alias("_bucket"),
     ))
     counted = totals_before(
         counts, "_bucket", ["block_no"],
         {
             "_docs_before": ("sum", F.col("_n")),
-            "_last_cut": ("max", F.when(F.col("_n") > 0, F.col("block_no"))),
+            "_begun": ("max", F.col("_next")),
         },
         group=group, fanout=4096,
-    ).drop("_n", "_bucket")
-    marked = blocks.select(*keys, "tokens", ends.alias("_ends")).join(
-        counted.hint("shuffle_hash"), keys
-    )
+    ).drop("_n", "_next", "_bucket")
+    marked = blocks.select(*keys, "tokens", ends.alias("_ends")).join(counted, keys)
     starts = F.concat(F.array(F.lit(0)), F.col("_ends"))
     stops = F.concat(F.col("_ends"), F.array(F.size("tokens")))
     pieces = (
         marked.select(
-            *keys, "tokens", "_docs_before", "_last_cut",
+            *keys, "tokens", "_docs_before", "_begun",
             F.posexplode(F.arrays_zip(starts.alias("a"), stops.alias("b"))).alias("_nth", "_cut"),
         )
         .where("_cut.b > _cut.a")
@@ -135,16 +139,22 @@ def split_stream_at_eot(blocks: DataFrame, group: Sequence[str] = ("split",), eo
             *group, "block_no",
             (F.col("_docs_before") + F.col("_nth")).alias("doc_no"),
             F.when(F.col("_nth") > 0, F.lit(0)).otherwise(
-                F.floor((F.col("block_no") - F.coalesce("_last_cut", F.lit(0))) / blocks_per_segment)
-            ).cast("bigint").alias("segment"),
+                F.floor((F.col("block_no") - F.coalesce("_begun", F.lit(0))) / blocks_per_piece)
+            ).cast("bigint").alias("piece_no"),
             F.slice("tokens", F.col("_cut.a") + 1, F.col("_cut.b") - F.col("_cut.a")).alias("_piece"),
         )
     )
-    return pieces.groupBy(*group, "doc_no", "segment").agg(
+    return pieces.groupBy(*group, "doc_no", "piece_no").agg(
         _join_pieces("block_no", "_piece").alias("tokens")
     ).withColumn("n_tokens", F.size("tokens"))
 
 
+def stream_documents(pieces: DataFrame, group: Sequence[str] = ("split",)) -> DataFrame:
+    """One row per document of a split stream: its number of pieces and of tokens."""
+    return pieces.groupBy(*group, "doc_no").agg(
+        F.count("*").alias("n_pieces"), F.sum("n_tokens").alias("n_tokens"))
+
+
 def sample_blocks(blocks: DataFrame, draws: DataFrame, length: Column, block_size: int,
                   draw_col="draw", seed: int | str = DEFAULT_SEED) -> DataFrame:
     """For each draw a window of ``block_size + 1`` tokens at a random stream position.

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.operators.ordering import rank_within, totals_before
+from loomline.session import materialize
 
 # --- fixed values: shapes of the log lines -------------------------------------
 _NUMBER = r"([-+]?(?:\d+\.?\d*(?:[eE][-+]?\d+)?|nan|inf))"
@@ -23,7 +24,10 @@ LOG_SHAPES = {
         rf"^step (\d+) \({_NUMBER}%\) \| loss: {_NUMBER} \| lrm: {_NUMBER} \| dt: {_NUMBER}ms"
         rf" \| tok/sec: ([\d,]+) \| mfu: {_NUMBER}% \| epoch: (\d+) \| remaining: {_NUMBER}s$"
     ),
-    "summary": r"^([A-Za-z_]\w*):\s+(\S+)$",
+    "summary": (
+        r"^(val_bpb|training_seconds|total_seconds|peak_vram_mb|mfu_percent|total_tokens_M"
+        r"|num_steps|num_params_M|depth):\s+(\S+)$"
+    ),
 }
 LOG_FIELDS = {
     "iter": ["step", "loss", "time_ms", "mfu"],
@@ -74,14 +78,51 @@ def number_steps(df: DataFrame, order: Sequence[str], run_col="run") -> DataFram
     return rank_within(df, [run_col], list(order), "step")
 
 
+#: Bucket ends that are carried along in one step, and steps above each other: enough for 10^13 steps a run.
+_FANOUT, _LEVELS = 128, 5
+
+
+def _carried(ends: DataFrame, run_col: str, decay: float, level: int = 0) -> DataFrame:
+    """(run, _bucket, _carry): the average at the end of the bucket before, from all earlier ends.
+
+    ``ends`` has one value per bucket; each bucket multiplies what was before by
+    ``decay``. Buckets are folded in groups of ``_FANOUT``, the groups' own ends
+    by the same rule one level up, so no list is long and nothing is left out.
+    """
+    group = F.floor(F.col("_bucket") / _FANOUT)
+    lists = ends.groupBy(run_col, group.alias("_group")).agg(
+        F.array_sort(F.collect_list(F.struct("_bucket", "_end"))).alias("_ends"))
+    start = F.struct(
+        F.lit(0.0).alias("value"), (F.col("_group") * _FANOUT - 1).alias("at"),
+        F.array().cast("array<struct<_bucket:bigint,_carry:double>>").alias("out"))
+
+    def fold(a: Column, e: Column) -> Column:
+        before = a["value"] * F.pow(F.lit(decay), e["_bucket"] - 1 - a["at"])
+        return F.struct(
+            (before * decay + e["_end"]).alias("value"), e["_bucket"].alias("at"),
+            F.concat(a["out"], F.array(F.struct(
+                e["_bucket"].alias("_bucket"), before.alias("_carry")))).alias("out"))
+
+    folded = lists.select(run_col, "_group", F.aggregate("_ends", start, fold).alias("_f"))
+    inside = folded.select(run_col, "_group", F.inline("_f.out"))
+    if level + 1 == _LEVELS:
+        return inside.drop("_group")
+    tail = F.pow(F.lit(decay), F.col("_group") * _FANOUT + _FANOUT - 1 - F.col("_f.at"))
+    above = _carried(
+        folded.select(run_col, F.col("_group").alias("_bucket"), (F.col("_f.value") * tail).alias("_end")),
+        run_col, decay ** _FANOUT, level + 1,
+    ).select(run_col, F.col("_bucket").alias("_group"), F.col("_carry").alias("_above"))
+    since = F.pow(F.lit(decay), F.col("_bucket") - F.col("_group") * _FANOUT)
+    return inside.join(above, [run_col, "_group"]).select(
+        run_col, "_bucket", (F.col("_carry") + F.col("_above") * since).alias("_carry"))
+
+
 def _decayed(df: DataFrame, run_col: str, beta: float, local: Column, width: int) -> DataFrame:
     """Exponential average started at zero: adds ``_ema``.
 
     Inside a bucket of ``width`` steps a running sum of ``x * beta^-i`` is scaled
-    back. Older buckets arrive through their end values, as many of them as can
-    still change the last bit of a double.
+    back. Older buckets arrive through the average at their end, see ``_carried``.
     """
-    reach = 1 + math.ceil(math.log(1e-20) / (width * math.log(beta)))
     at = F.pmod("step", F.lit(width))
     inside = (
         Window.partitionBy(run_col, "_bucket").orderBy("step")
@@ -91,16 +132,7 @@ def _decayed(df: DataFrame, run_col: str, beta: float, local: Column, width: int
     ends = df.groupBy(run_col, "_bucket").agg(
         F.sum(local * F.pow(F.lit(beta), F.lit(width - 1) - at)).alias("_end")
     )
-    arriving = ends.select(
-        run_col, "_end",
-        F.explode(F.array(*[
-            F.struct((F.col("_bucket") + age).alias("_bucket"),
-                     F.lit(beta ** (width * (age - 1))).alias("_fade"))
-            for age in range(1, reach + 1)
-        ])).alias("_to"),
-    ).groupBy(run_col, F.col("_to._bucket").alias("_bucket")).agg(
-        F.sum(F.col("_end") * F.col("_to._fade")).alias("_carry")
-    )
+    arriving = _carried(materialize(ends), run_col, beta ** width)
     return (
         df.withColumn("_local", scaled)
         .join(arriving, [run_col, "_bucket"], "left")
@@ -160,14 +192,15 @@ def best_checkpoint(evals: DataFrame, always_save: bool = True, run_col="run",
     """Running best validation loss and whether a checkpoint is saved at each evaluation.
 
     Every evaluation is saved with ``always_save``, else only improvements.
-    Step 0 never is.
+    Step 0 never is. A NaN or missing loss is no improvement and no best loss.
     """
-    loss = F.col(val_loss_col)
+    loss = F.when(~F.isnan(val_loss_col), F.col(val_loss_col))
     scanned = totals_before(
         evals.withColumn("_bucket", F.floor(F.col("step") / width)), "_bucket", ["step"],
         {"_best_before": ("min", loss)}, group=[run_col], fanout=4096,
     ).drop("_bucket")
-    improved = F.col("_best_before").isNull() | (loss < F.col("_best_before"))
+    improved = loss.isNotNull() & (
+        F.col("_best_before").isNull() | (loss < F.col("_best_before")))
     return scanned.withColumns({
         "best_val_loss": F.least("_best_before", loss),
         "improved": improved,

@@ -200,7 +200,7 @@ def conversation_context(turns: DataFrame, block_size: int, conv_col="conv_id",
     ).select(*keys, "_new_line", "_start", (F.col("_start") + F.col("_length")).alias("_end")))
 
     block = F.col("_block")
-    said = turns.select(*keys, text.alias("_text")).join(placed.hint("shuffle_hash"), keys)
+    said = turns.select(*keys, text.alias("_text")).join(placed, keys)
     pieces = (
         said.where("_end > _start")
         .withColumn("_text", F.when(F.col("_new_line"), F.concat(F.lit("\n"), "_text"))

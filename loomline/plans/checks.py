@@ -58,14 +58,21 @@ stream as (
   select split, start + unnest(range(len(tokens))) as pos, unnest(tokens) as token from spans)"""
 
 DRAWN = f"""{STREAM},
-train as (select pos, token from stream where split = 'train'),
+sizes as (select split, count(*) as n from stream group by split),
 draws as (
-  select doc_id as draw, {h('42:block', 'doc_id')} % ((select count(*) from train) - {BLOCK}) as start
-  from documents),
-wanted as (select draw, start, start + unnest(range({BLOCK} + 1)) as pos from draws),
+  select doc_id as draw, split, {h('42:block', 'doc_id')} % (n - {BLOCK}) as start
+  from documents join sizes on split = case when doc_id % 4 = 0 then 'val' else 'train' end),
+wanted as (select draw, split, start, start + unnest(range({BLOCK} + 1)) as pos from draws),
 windows as (
-  select draw, start, list(token order by pos) as tokens
-  from wanted join train using (pos) group by draw, start)"""
+  select draw, split, start, list(token order by pos) as tokens
+  from wanted join stream using (split, pos) group by draw, split, start)"""
+
+PIECES = f""", numbered as (
+  select *, row_number() over (partition by split order by start) - 1 as doc_no from spans),
+pieces as (
+  select split, doc_no, start + unnest(range(len(tokens))) as pos, unnest(tokens) as token,
+    ((start + unnest(range(len(tokens)))) // {BLOCK} - start // {BLOCK}) // 8 as piece_no
+  from numbered)"""
 
 
 def fim(source: str, key: str) -> str:
@@ -242,6 +249,11 @@ select doc_id, dataset_lang, case dataset_lang when 'c++' then 'cpp' else datase
 from named where dataset_lang in ('python', 'c++', 'haskell', 'perl')"""
     q["quarantine_failures"] = f"""
 with {DAMAGED}
+select doc_id, case when kind >= 3 then md5({joined(byte_list('text'))}) end as tokens_md5,
+  case when kind < 3 then 'UnicodeDecodeError' end as error
+from damaged"""
+    q["quarantine_report"] = f"""
+with {DAMAGED}
 select case when kind < 3 then 'UnicodeDecodeError' else 'ok' end as outcome, count(*) as n_rows,
   coalesce(sum(n_bytes) filter (kind >= 3), 0)::bigint as n_tokens
 from damaged group by 1"""
@@ -320,11 +332,17 @@ select split, pos // 1024 as stretch, count(*) as n_tokens, sum(token)::bigint a
 from stream group by all"""
     q["split_stream_at_eot"] = f"""
 with {SPANS}
-select split, row_number() over (partition by split order by start) - 1 as doc_no,
-  0::bigint as segment, len(tokens)::int as n_tokens, md5({joined('tokens')}) as tokens_md5
-from spans"""
+{PIECES}
+select split, doc_no, piece_no, count(*)::int as n_tokens,
+  md5(string_agg(token::varchar, ' ' order by pos)) as tokens_md5
+from pieces group by split, doc_no, piece_no"""
+    q["stream_documents"] = f"""
+with {SPANS}
+{PIECES}
+select split, doc_no, count(distinct piece_no) as n_pieces, count(*) as n_tokens
+from pieces group by split, doc_no"""
     q["sample_blocks"] = f"""
-with {DRAWN} select draw, start, {joined('tokens')} as tokens_text from windows"""
+with {DRAWN} select split, draw, start, {joined('tokens')} as tokens_text from windows"""
     q["lm_pairs"] = f"""
 with {DRAWN}
 select draw, {joined(f'tokens[1:{BLOCK}]')} as x_text, {joined('tokens[2:]')} as y_text from windows"""
@@ -436,7 +454,7 @@ from (values {runs}) t(run, n_params), on_hand"""
     q["parse_run_log"] = """
 select event_id,
   case event_type when 'click' then 'iter' when 'view' then 'eval' when 'purchase' then 'step'
-    when 'signup' then 'summary' end as shape,
+    when 'signup' then case when event_id % 3 <> 1 then 'summary' end end as shape,
   case when event_type in ('click', 'view', 'purchase') then event_id end as step,
   case when event_type in ('click', 'purchase') then value end as loss,
   case when event_type = 'view' then value end as train_loss,
@@ -445,8 +463,8 @@ select event_id,
   case event_type when 'click' then 3.25::double when 'purchase' then 9.9::double end as mfu,
   case when event_type = 'purchase' then 1234567::bigint end as tok_per_sec,
   case when event_type = 'purchase' then 2::bigint end as epoch,
-  case when event_type = 'signup' then 'val_bpb' end as key,
-  case when event_type = 'signup' then printf('%.4f', value) end as value
+  case when event_type = 'signup' then case event_id % 3 when 0 then 'val_bpb' when 2 then 'depth' end end as key,
+  case when event_type = 'signup' and event_id % 3 <> 1 then printf('%.4f', value) end as value
 from events"""
     q["smoothed_loss"] = f"""
 with {STEPS},
@@ -468,11 +486,12 @@ select t.run, t.step, case when t.step < 5 then -1.0::double else
 from steps t join steps s on s.run = t.run and s.step <= t.step group by t.run, t.step"""
     q["best_checkpoint"] = f"""
 with {STEPS}, scanned as (
-  select run, step, loss as val_loss, min(loss) over (partition by run order by step
-    rows between unbounded preceding and 1 preceding) as before from steps)
-select run, step, val_loss, least(val_loss, before) as best_val_loss,
-  before is null or val_loss < before as improved,
-  (before is null or val_loss < before) and step > 0 as saved
+  select run, step, known as val_loss, min(known) over (partition by run order by step
+    rows between unbounded preceding and 1 preceding) as before
+  from (select run, step, case when step % 10 <> 0 then loss end as known from steps))
+select run, step, coalesce(val_loss, -1.0::double) as val_loss, least(val_loss, before) as best_val_loss,
+  coalesce(val_loss is not null and (before is null or val_loss < before), false) as improved,
+  coalesce(val_loss is not null and (before is null or val_loss < before), false) and step > 0 as saved
 from scanned"""
     q["throughput"] = f"""
 with {STEPS}
@@ -490,6 +509,67 @@ select run, round(t, 7) as train_loss, round(v, 7) as val_loss, round(v - t, 7)
   round(exp(t), 7) as train_perplexity, round(exp(v), 7) as val_perplexity
 from wide"""
 
+    # --- instruction data and prompts
+    q["dedup_exact"] = """
+select min(doc_id) as doc_id, arg_min(lang, doc_id) as lang from documents group by text"""
+    q["chat_template"] = """
+select conv_id, turn, '<|im_start|>' || role || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) as piece
+from conversations
+union all
+select conv_id, max(turn) + 1, '<|im_start|>assistant' || chr(10) from conversations group by conv_id"""
+    q["sft_examples"] = f"""
+with coded as (select conv_id, turn, role, {byte_list("coalesce(text, '')")} as tokens from conversations),
+pairs as (
+  select a.conv_id, a.turn, list_concat(a.tokens, b.tokens) as tokens,
+    list_concat(list_transform(a.tokens, lambda t: -1), b.tokens) as labels
+  from coded a join coded b on a.conv_id = b.conv_id and b.turn = a.turn + 1
+  where a.role = 'user' and b.role = 'assistant')
+select conv_id, turn, len(tokens)::int as n_tokens, md5({joined('tokens')}) as tokens_md5,
+  md5({joined('labels')}) as labels_md5 from pairs"""
+    q["best_worst_pairs"] = """
+with scored as (
+  select source, doc_id, len(string_split(text, ' '))::double / len(string_split(text, chr(10))) as score
+  from documents),
+placed as (
+  select *, row_number() over (partition by source order by score desc, doc_id) as b,
+    row_number() over (partition by source order by score, doc_id) as w from scored)
+select x.source, x.doc_id as chosen, y.doc_id as rejected, x.score as best_score, y.score as worst_score
+from placed x join placed y on x.source = y.source and x.b = 1 and y.w = 1 where x.score > y.score"""
+    q["stratified_holdout"] = f"""
+select doc_id, lang, row_number() over (
+  partition by lang order by {h('42:holdout', 'doc_id')}, doc_id) <= 50 as holdout from documents"""
+    q["chunk_sliding"] = f"""
+with coded as (select doc_id, {byte_list('text')} as tokens from documents where text <> ''),
+cut as (select doc_id, tokens, unnest(range(0, len(tokens), 256)) as start from coded),
+chunks as (select doc_id, start, tokens[start + 1 : start + 512] as chunk from cut)
+select doc_id, (start // 256)::int as chunk_no, start::int as start, len(chunk)::int as n_tokens,
+  md5({joined('chunk')}) as chunk_md5 from chunks"""
+    retrieved = f"""
+ranked as (
+  select source, doc_id, split_part(text, chr(10), 1) as chunk,
+    row_number() over (partition by source order by {h('rank', 'doc_id')}, doc_id) as rank from documents),
+sized as (
+  select *, sum(octet_length(encode(chunk))) over (partition by source order by rank) as running
+  from ranked where rank <= 20),
+kept as (select * from sized where running <= 1024 - 256 - octet_length(encode(source)))"""
+    q["context_budget"] = f"""
+with {retrieved} select source, rank::int as rank, doc_id, running::bigint as running from kept"""
+    q["assemble_rag_prompt"] = f"""
+with {retrieved}
+select source, count(*) as n_chunks, '参考资料：' || chr(10) || string_agg(chunk, chr(10) order by rank)
+  || chr(10) || chr(10) || '问题：' || source || chr(10) || '回答：' as prompt
+from kept group by source"""
+    q["index_upsert_delete"] = """
+with versions as (
+  select doc_id, text, 0 as version from documents
+  union all
+  select case when doc_id % 2 = 0 then doc_id else -doc_id end, text || '!', 1 from documents where doc_id % 7 = 0)
+select doc_id, max(version)::int as version, md5(arg_max(text, version)) as text_md5 from versions
+where doc_id not in (select doc_id from documents where doc_id % 11 = 0) group by doc_id"""
+    q["eval_matrix"] = "select event_type, " + ", ".join(
+        f"round(avg(({h('correct', 'event_id')} % 3 = 0)::int::double) filter (user_id % 4 = {s}), 9) as system_{s}"
+        for s in range(4)) + " from events group by event_type"
+
     # --- streaming
     q["stream_shards"] = """
 select source, count(*) as n_rows,

@@ -15,9 +15,9 @@ from loomline.functions import fixed_values as fv
 from loomline.functions.hashing import seeded_hash
 from loomline.functions.lookup import lookup
 from loomline.functions.tokenizers import BYTES
-from loomline.operators import caps, filters, sequence, stats, telemetry, tokens
+from loomline.operators import caps, filters, records, sequence, stats, telemetry, tokens
 from loomline.plans import prepare
-from loomline.session import materialize, workspace
+from loomline.session import materialize, workspace, write_once
 from loomline.sources import samples, token_dataset, tree
 from loomline.sources.files import write_text_files
 from loomline.streaming import streams
@@ -42,8 +42,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def many_documents(spark, d) -> DataFrame:
-    """The documents, for work that is heavy on the CPU."""
-    return samples.spread(documents(spark, d), "doc_id")
+    """The documents, for work that is heavy on the CPU: dealt out evenly, whatever the files."""
+    return documents(spark, d).repartition(spark.sparkContext.defaultParallelism, "doc_id")
 
 
 def digest(token_list: str | Column) -> Column:
@@ -259,6 +259,12 @@ def select_languages(spark, d):
 
 
 def quarantine_failures(spark, d):
+    good, rejected = caps.quarantine_failures(_damaged(spark, d), BYTES)
+    passed = good.select("doc_id", digest("tokens").alias("tokens_md5"), F.lit(None).cast("string").alias("error"))
+    return passed.unionByName(rejected.select("doc_id", F.lit(None).cast("string").alias("tokens_md5"), "error"))
+
+
+def quarantine_report(spark, d):
     return caps.quarantine_report(_damaged(spark, d), BYTES)
 
 
@@ -363,25 +369,37 @@ def flatten_token_stream(spark, d):
 
 
 def split_stream_at_eot(spark, d):
-    stream = sequence.pack_concat(spans(spark, d), 4096)
-    found = sequence.split_stream_at_eot(stream)
+    """Pieces of eight blocks, so that many documents have several."""
+    found = sequence.split_stream_at_eot(blocks(spark, d), blocks_per_piece=8)
     return found.select(
-        "split", "doc_no", "segment", "n_tokens", digest("tokens").alias("tokens_md5")
+        "split", "doc_no", "piece_no", "n_tokens", digest("tokens").alias("tokens_md5")
     )
 
 
+def stream_documents(spark, d):
+    found = sequence.split_stream_at_eot(blocks(spark, d), blocks_per_piece=8)
+    return sequence.stream_documents(found)
+
+
 def _windows(spark, d) -> DataFrame:
-    train = spans(spark, d).where("split = 'train'")
-    length = (
-        split_documents(spark, d).where("split = 'train'")
-        .agg(F.sum(BYTES.count(F.col("text")) + 1)).scalar()
-    )
+    """One window per document: of the validation stream for every fourth, else of the training stream."""
+    rows = split_documents(spark, d)
+    lengths = {r[0]: r[1] for r in rows.groupBy("split").agg(
+        F.sum(BYTES.count(F.col("text")) + 1)).collect()}
+    placed = sequence.document_spans(rows.select("doc_id", "split", "text"), BYTES.count(F.col("text")) + 1)
+    packed = write_once(sequence.pack_concat(tokens.encode_document(placed, envelope="text"), BLOCK), "packed")
     draws = documents(spark, d).select(F.col("doc_id").alias("draw"))
-    return sequence.sample_blocks(sequence.pack_concat(train, BLOCK), draws, length, BLOCK)
+    drawn = [
+        sequence.sample_blocks(
+            packed.where(F.col("split") == split), draws.where(chosen), F.lit(lengths[split]), BLOCK
+        ).withColumn("split", F.lit(split))
+        for split, chosen in (("train", "draw % 4 <> 0"), ("val", "draw % 4 = 0"))
+    ]
+    return drawn[0].unionByName(drawn[1])
 
 
 def sample_blocks(spark, d):
-    return _windows(spark, d).select("draw", "start", as_text("tokens").alias("tokens_text"))
+    return _windows(spark, d).select("split", "draw", "start", as_text("tokens").alias("tokens_text"))
 
 
 def lm_pairs(spark, d):
@@ -516,7 +534,9 @@ def parse_run_log(spark, d):
             F.lit("\rstep "), F.lpad(number, 5, "0"), F.lit(" (12.5%) | loss: "), value,
             F.lit(" | lrm: 0.50 | dt: 812ms | tok/sec: 1,234,567 | mfu: 9.9% | epoch: 2"
                   " | remaining: 77s    ")))
-        .when(F.col("event_type") == "signup", F.concat(F.lit("val_bpb:          "), value))
+        .when(F.col("event_type") == "signup", F.concat(
+            F.when(F.col("event_id") % 3 == 0, "val_bpb:          ")
+            .when(F.col("event_id") % 3 == 1, "Error: ").otherwise("depth:            "), value))
         .otherwise(F.concat(F.lit("Traceback "), number, F.lit(": loss "), value))
     )
     lines = table(spark, d, "events").select("event_id", line.alias("line"))
@@ -537,9 +557,13 @@ def smoothed_mfu(spark, d):
 
 
 def best_checkpoint(spark, d):
-    evals = events_as_steps(spark, d).withColumnRenamed("loss", "val_loss")
+    """Evaluations whose number ends in 0, the first one too, have no loss (NaN)."""
+    lost = F.col("step") % 10 == 0
+    evals = events_as_steps(spark, d).select(
+        "run", "step", F.when(lost, float("nan")).otherwise(F.col("loss")).alias("val_loss"))
     done = telemetry.best_checkpoint(evals, always_save=False)
-    return done.select("run", "step", "val_loss", "best_val_loss", "improved", "saved")
+    return done.select("run", "step", F.nanvl("val_loss", F.lit(-1.0)).alias("val_loss"),
+                       "best_val_loss", "improved", "saved")
 
 
 def throughput(spark, d):
@@ -560,11 +584,93 @@ def run_comparison(spark, d):
     return done.select("run", *[F.round(c, 7).alias(c) for c in done.columns if c != "run"])
 
 
+# --- instruction data and prompts --------------------------------------------------
+
+
+def dedup_exact(spark, d):
+    return records.dedup_exact(documents(spark, d)).select("doc_id", "lang")
+
+
+def chat_template(spark, d):
+    return records.chat_template(table(spark, d, "conversations"))
+
+
+def sft_examples(spark, d):
+    done = records.sft_examples(table(spark, d, "conversations"), BYTES)
+    return done.select("conv_id", "turn", F.size("tokens").alias("n_tokens"),
+                       digest("tokens").alias("tokens_md5"), digest("labels").alias("labels_md5"))
+
+
+def best_worst_pairs(spark, d):
+    """Documents of a source as answers, scored by words per line."""
+    scored = documents(spark, d).select(
+        "source", "doc_id", (F.size(F.split("text", " ")) * 1.0 / F.size(F.split("text", "\n"))).alias("score"))
+    return records.best_worst_pairs(scored, "source", "doc_id", "score")
+
+
+def stratified_holdout(spark, d):
+    return records.stratified_holdout(documents(spark, d), ["lang"], 50).select("doc_id", "lang", "holdout")
+
+
+def chunk_sliding(spark, d):
+    done = records.chunk_sliding(tokens.tokenize_corpus(many_documents(spark, d)))
+    return done.select("doc_id", "chunk_no", "start", F.size("chunk").alias("n_tokens"),
+                       digest("chunk").alias("chunk_md5"))
+
+
+def _retrieved(spark, d) -> DataFrame:
+    """Twenty documents per source (the question) in hash order; a line is what is retrieved of each."""
+    rows = documents(spark, d).select(
+        "source", "doc_id", F.substring_index("text", "\n", 1).alias("chunk"))
+    ranked = records.top_ranked(rows, "source", [seeded_hash("rank", "doc_id"), "doc_id"], 20)
+    sized = ranked.withColumn("length", F.octet_length("chunk"))
+    return records.context_budget(sized, "source", "length", query_length=F.octet_length("source"))
+
+
+def context_budget(spark, d):
+    return _retrieved(spark, d).select("source", "rank", "doc_id", "running")
+
+
+def assemble_rag_prompt(spark, d):
+    return records.assemble_rag_prompt(_retrieved(spark, d), "source", "chunk")
+
+
+def index_upsert_delete(spark, d):
+    index = documents(spark, d).select("doc_id", "text", F.lit(0).alias("version"))
+    new = documents(spark, d).where("doc_id % 7 = 0").select(
+        F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")).otherwise(-F.col("doc_id")).alias("doc_id"),
+        F.concat("text", F.lit("!")).alias("text"), F.lit(1).alias("version"))
+    gone = documents(spark, d).where("doc_id % 11 = 0")
+    return records.index_upsert_delete(index, new, gone).select(
+        "doc_id", "version", F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
+
+
+def eval_matrix(spark, d):
+    results = table(spark, d, "events").select(
+        "event_type", (F.col("user_id") % 4).cast("int").alias("system"),
+        (seeded_hash("correct", "event_id") % 3 == 0).alias("correct"))
+    done = records.eval_matrix(results, "event_type", "system", "correct", [0, 1, 2, 3])
+    return done.select("event_type", *[F.round(F.col(str(s)), 9).alias(f"system_{s}") for s in range(4)])
+
+
 # --- streaming ------------------------------------------------------------------
 
 
+def _arriving(spark, rows: DataFrame, order: str, batches: int = 6) -> DataFrame:
+    """Stream of a table that comes as ``batches`` files in the given order, one file per micro-batch."""
+    landing = workspace(spark, "landing")
+    cuts = rows.select(F.col(order).cast("double").alias("at")).approxQuantile(
+        "at", [i / batches for i in range(1, batches)], 0.001)
+    for i, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
+        at = F.col(order).cast("double")
+        wanted = F.lit(True) if low is None else at > low
+        part = rows.where(wanted if high is None else wanted & (at <= high))
+        part.coalesce(1).write.parquet(f"{landing}/arrival={i}")
+    return streams.read_arriving(spark, landing, rows.schema, "*.parquet", files_per_batch=1).select(*rows.columns)
+
+
 def _documents_stream(spark, d) -> DataFrame:
-    return streams.read_arriving(spark, d, documents(spark, d).schema, "documents.parquet")
+    return _arriving(spark, documents(spark, d), "doc_id")
 
 
 def stream_shards(spark, d):
@@ -579,7 +685,7 @@ def stream_shards(spark, d):
     query.awaitTermination()
     ingested = spark.read.parquet(out)
     by_source = ingested.groupBy("source").agg(F.count("*").alias("n_rows"))
-    ready = streams.shard_status(ingested.withColumn("shard", F.col("source")), 20)
+    ready = streams.shard_status(ingested, 20)
     return by_source.withColumn("ready", ready.select("ready").scalar())
 
 
@@ -602,10 +708,10 @@ def stream_cap_per_language(spark, d):
 
 
 def stream_run_metrics(spark, d):
-    schema = table(spark, d, "events").schema
-    events = streams.read_arriving(spark, d, schema, "events.parquet").select(
+    rows = table(spark, d, "events").select(
         F.col("ts").cast("timestamp").alias("ts"), (F.col("value") / 3).alias("loss")
     )
+    events = _arriving(spark, rows, "ts")
     out = workspace(spark, "metrics")
     query = streams.stream_run_metrics(events, out, workspace(spark, "progress"), TOKENS_PER_STEP)
     query.awaitTermination()
@@ -620,14 +726,16 @@ REGISTERED = [
     scan_code_tree, scan_samples, select_shards, combine_sources, write_token_dataset,
     read_token_dataset, corpus_meta,
     filter_paths, filter_byte_size, filter_utf8, filter_char_length, filter_blank, cap_examined,
-    cap_per_language, select_languages, quarantine_failures,
+    cap_per_language, select_languages, quarantine_failures, quarantine_report,
     detect_language, lang_token_id, encode_document, tokenize_corpus, detokenize_audit,
     build_completion_prompt, build_fim_prompt, truncate_at_stop, conversation_context,
-    shuffle_documents, split_train_val, flatten_token_stream, split_stream_at_eot, sample_blocks,
-    lm_pairs, fim_transform, fim_pad_mask, pack_concat,
+    shuffle_documents, split_train_val, flatten_token_stream, split_stream_at_eot, stream_documents,
+    sample_blocks, lm_pairs, fim_transform, fim_pad_mask, pack_concat,
     corpus_stats, filter_funnel, token_frequency, dominance_audit, next_token_counts,
     next_token_topk, sample_candidates, sample_candidates_open, sample_candidates_greedy,
     split_loss, perplexity_by_class, bits_per_byte, compression_report, token_budget,
     parse_run_log, smoothed_loss, smoothed_mfu, best_checkpoint, throughput, run_comparison,
+    dedup_exact, chat_template, sft_examples, best_worst_pairs, stratified_holdout, chunk_sliding,
+    context_budget, assemble_rag_prompt, index_upsert_delete, eval_matrix,
     stream_shards, stream_prepare, stream_cap_per_language, stream_run_metrics,
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -22,15 +23,55 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_DIR, None) or getattr(context, "_loomline_dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         configured = context._loomline_dir = tempfile.mkdtemp(prefix="loomline-")
     return configured.rstrip("/")
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:
-    """A new, unique folder path below the shared folder."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, unique folder path below the shared folder, deleted when the application ends."""
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _hadoop(spark, path, "deleteOnExit")
+    return path
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme: one without means the default file system, for Spark and for tasks alike.
+
+    A cluster whose default is the local disk is refused: every executor would
+    see another folder. Name the scheme (``file://``) where the folder is mounted everywhere.
+    """
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return path
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(context._jsc.hadoopConfiguration())
+    full = system.makeQualified(target).toString()
+    if full.startswith("file:") and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError(f"{path} would be a local folder of each machine; name its scheme")
+    return full.removeprefix("file:") if full.startswith("file:") else full
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a workspace folder as soon as its job no longer needs it."""
+    _hadoop(spark, path, "delete", True)
+
+
+def _hadoop(spark: SparkSession, path: str, method: str, *arguments) -> None:
+    jvm = getattr(spark.sparkContext, "_jvm", None)
+    if jvm is None:
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    getattr(system, method)(target, *arguments)
+
+
+def write_once(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to Parquet in a workspace folder and read back: for wide tables that several passes need."""
+    path = workspace(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:

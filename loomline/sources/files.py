@@ -9,9 +9,15 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomline.session import qualified
+
 
 def open_filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and plain path of a URI; a path without a scheme is a mounted folder."""
+    """File system and plain path of a URI.
+
+    Callers on the driver pass paths through ``session.qualified`` first. A path
+    that has no scheme then is a mounted folder.
+    """
     if "://" in path or path.startswith("file:"):
         if path.startswith("file:") and not path.startswith("file://"):
             path = "file://" + path[len("file:"):]
@@ -24,6 +30,8 @@ def open_filesystem(path: str) -> tuple[fs.FileSystem, str]:
 def write_text_files(df: DataFrame, root: str, path_col="path", text_col="text") -> int:
     """Write each row as a UTF-8 file below ``root``, from the tasks. Returns the file count."""
 
+    root = qualified(df.sparkSession, root)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, plain = open_filesystem(root)
         written, folders = 0, set()

@@ -22,18 +22,6 @@ def scan_samples(spark: SparkSession, path: str, format: str = "parquet", schema
     return with_content(reader.load(path), content_col)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-heavy work more tasks when the files give fewer than there are cores.
-
-    A parquet file of one row group is decoded by one task, whatever its size.
-    A table with tasks enough comes back as it is, without a shuffle. For tables
-    as read: asking a computed one for its tasks would run part of it.
-    """
-    tasks = df.rdd.getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if tasks >= cores else df.repartition(min(cores, 4 * tasks), key)
-
-
 def combine_sources(local: DataFrame | None, remote: DataFrame | None) -> DataFrame:
     """Local rows and remote rows in one table with their ``origin``; either may be left out."""
     parts = []

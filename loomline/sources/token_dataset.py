@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions import fixed_values as fv
 from loomline.functions.hashing import DEFAULT_SEED, HASH_BITS, seeded_hash
-from loomline.session import materialize
+from loomline.session import materialize, qualified
 from loomline.sources.files import open_filesystem
 
 MAX_TOKEN = 65_535
@@ -113,6 +113,7 @@ def write_token_dataset(df: DataFrame, path: str, id_col="doc_id",
     a token does not fit. The manifest lists only the files of the task attempts
     that counted.
     """
+    path = qualified(df.sparkSession, path)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = _by_hash(df, id_col, seed, parts) if order is None else _by_unit(df, *order, parts)
     manifest = ordered.select("split", "tokens").mapInArrow(_part_writer(path), _MANIFEST)
@@ -121,6 +122,7 @@ def write_token_dataset(df: DataFrame, path: str, id_col="doc_id",
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Part files with the stream position of their first token. One row per part file."""
+    path = qualified(spark, path)
     parts = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
     earlier = (
         Window.partitionBy("split").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -154,6 +156,7 @@ def read_token_dataset(spark: SparkSession, path: str, chunk_tokens: int = 1 <<
 
     Big part files are read as many ranges in parallel.
     """
+    path = qualified(spark, path)
     ranges = (
         read_manifest(spark, path).where("n_tokens > 0")
         .withColumn("skip", F.explode(F.sequence(

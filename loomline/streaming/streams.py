@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from loomline.functions import fixed_values as fv
@@ -42,9 +42,12 @@ def _append(stream: DataFrame, out: str, checkpoint: str, once: bool) -> Streami
 def stream_shards(spark: SparkSession, directory: str, schema, out: str, checkpoint: str, *,
                   once: bool = True, glob: str | None = "*.parquet",
                   files_per_batch: int | None = None) -> StreamingQuery:
-    """Pick up shards as they arrive, with the shard name on every row; done ones are skipped."""
+    """Pick up shards as they arrive, with the shard's path on every row; done ones are skipped.
+
+    Files of one write have equal names in every partition folder, so the whole path is the identity.
+    """
     arriving = read_arriving(spark, directory, schema, glob, files_per_batch)
-    named = arriving.withColumn("shard", F.col("_metadata.file_name"))
+    named = arriving.withColumn("shard", F.col("_metadata.file_path"))
     return _append(named, out, checkpoint, once)
 
 
@@ -76,8 +79,8 @@ def stream_cap_per_language(stream: DataFrame, out: str, checkpoint: str,
                             high: int = fv.MAX_MULTILANG_CHARS, once: bool = True) -> StreamingQuery:
     """Accept rows of a language until ``max_per_language`` have been accepted.
 
-    Accepted counts are a table written once per micro-batch, one row per
-    language. Within a batch the cap is an id cutoff found by counting, so a
+    Accepted counts so far are a table written once per micro-batch, one row per
+    language; a batch reads that of the batch before it, not all. Within a batch the cap is an id cutoff found by counting, so a
     frequent language is not funnelled through one keyed state. Replaying a
     batch rewrites the same folders.
     """
@@ -88,10 +91,7 @@ def stream_cap_per_language(stream: DataFrame, out: str, checkpoint: str,
 
     def accept(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        before = (
-            session.read.schema(f"{counts}, batch bigint").parquet(state)
-            .where(F.col("batch") < batch_id).groupBy(lang_col).agg(F.sum("n").alias("n"))
-        )
+        before = session.read.schema(counts).parquet(f"{state}/batch={batch_id - 1}")
         used = {row[lang_col]: row["n"] for row in before.collect()}  # one row per language
         room = {lang: max_per_language - used.get(lang, 0) for lang in languages}
         room = {lang: n for lang, n in room.items() if n > 0}
@@ -103,9 +103,10 @@ def stream_cap_per_language(stream: DataFrame, out: str, checkpoint: str,
             fitting = within_cutoffs(fitting, ids, room, id_col, lang_col)
         target = f"{out}/batch={batch_id}"
         fitting.write.mode("overwrite").parquet(target)
-        session.read.schema(fitting.schema).parquet(target).groupBy(lang_col).agg(
+        accepted = session.read.schema(fitting.schema).parquet(target).groupBy(lang_col).agg(
             F.count("*").alias("n")
-        ).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        )
+        accepted.union(before).groupBy(lang_col).agg(F.sum("n").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(accept).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -132,13 +133,34 @@ def stream_run_metrics(steps: DataFrame, out: str, checkpoint: str, tokens_per_s
     return _append(windowed_metrics(steps, tokens_per_step, **options), out, checkpoint, once)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped because they came after the watermark.
+class LateRows(StreamingQueryListener):
+    """Counts what all queries of a session drop for coming after the watermark, from every progress report.
 
-    Counted after partial aggregation, as Spark reports it.
+    ``recentProgress`` forgets all but the last reports; a listener sees each.
+    Spark reports rows after partial aggregation: late rows of one window and
+    task count once, so this is a lower bound, and 0 only if nothing was dropped.
     """
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.dropped[str(progress.id)] = self.dropped.get(str(progress.id), 0) + sum(
+            operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def count_late_rows(spark: SparkSession) -> LateRows:
+    """Start counting; ``dropped`` of the result has a number per query id."""
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    return listener

@@ -126,4 +126,4 @@ def test_quarantine_keeps_the_job_running(spark):
     good, bad = caps.quarantine_failures(df, BYTES)
     assert [(r.id, r.tokens) for r in good.collect()] == [(1, list(b"fine"))]
     assert {(r.id, r.error) for r in bad.collect()} == {
-        (2, "UnicodeDecodeError"), (3, "AttributeError")}
+        (2, "UnicodeDecodeError"), (3, "MissingContent")}

@@ -84,3 +84,22 @@ def test_hash_cutoff_and_position(spark, n):
 
 def test_hash_cutoff_of_nothing(spark):
     assert ordering.hash_cutoff(spark.range(0), "id", 7, 0.05) is None
+
+
+def test_smallest_ids_with_an_outlier_and_negative_ids(spark):
+    for ids in (list(range(3000)) + [1 << 62], [-5, -(1 << 62), 3, 9, 1 << 61]):
+        df = spark.createDataFrame([(i,) for i in ids], "id long")
+        for count in (1, 2, len(ids) - 1, len(ids)):
+            assert ordering.smallest_ids(df, "id", count).first().cutoff == sorted(ids)[count - 1]
+        assert ordering.smallest_ids(df, "id", len(ids) + 1).first() is None
+
+
+def test_repeated_and_text_ids_are_refused_where_they_matter(spark):
+    twice = spark.createDataFrame([(1,), (2,), (2,), (3,)], "id long")
+    assert ordering.smallest_ids(twice, "id", 1).first().cutoff == 1
+    with pytest.raises(ValueError, match="unique"):
+        ordering.smallest_ids(twice, "id", 2)
+    with pytest.raises(TypeError, match="integer"):
+        ordering.smallest_ids(spark.createDataFrame([("a",)], "id string"), "id", 1)
+    with pytest.raises(ValueError, match="unique"):
+        ordering.hash_cutoff(spark.createDataFrame([(7,)] * 6, "id long"), "id", 42, 0.5)

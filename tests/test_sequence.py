@@ -75,19 +75,25 @@ def test_split_stream_recovers_documents(spark, size):
             current = []
     expected.append(current)
     got = {}
-    for r in sorted(found, key=lambda r: (r.doc_no, r.segment)):
+    for r in sorted(found, key=lambda r: (r.doc_no, r.piece_no)):
         got.setdefault(r.doc_no, []).extend(r.tokens)
     assert [got[i] for i in sorted(got)] == expected
+    small = sequence.split_stream_at_eot(sequence.blocks_of_stream(stream, size), blocks_per_piece=2)
+    sizes = {r.doc_no: (r.n_tokens, r.n_pieces) for r in sequence.stream_documents(small).collect()}
+    starts = [sum(map(len, expected[:i])) for i in range(len(expected))]
+    assert sizes == {
+        i: (len(t), ((starts[i] + len(t) - 1) // size - starts[i] // size) // 2 + 1)
+        for i, t in enumerate(expected)}
 
 
-def test_a_stream_without_ends_comes_in_segments(spark):
+def test_a_stream_without_ends_comes_in_pieces(spark):
     stream = spark.createDataFrame(
         [("train", p, p % 7) for p in range(1000)], "split string, pos long, token int")
     found = sequence.split_stream_at_eot(
-        sequence.blocks_of_stream(stream, 10), blocks_per_segment=8).collect()
+        sequence.blocks_of_stream(stream, 10), blocks_per_piece=8).collect()
     assert {r.doc_no for r in found} == {0}
     assert max(r.n_tokens for r in found) == 80
-    joined = [t for r in sorted(found, key=lambda r: r.segment) for t in r.tokens]
+    joined = [t for r in sorted(found, key=lambda r: r.piece_no) for t in r.tokens]
     assert joined == [p % 7 for p in range(1000)]
 
 

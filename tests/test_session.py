@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -25,3 +26,30 @@ def test_local_mode_falls_back_to_one_temporary_folder():
     local = fake("local[2]", {})
     assert session.shared_dir(local) == session.shared_dir(local)
     assert session.workspace(local, "a") != session.workspace(local, "a")
+
+
+def test_paths_without_a_scheme_mean_the_default_file_system(spark, monkeypatch):
+    from loomline import session as ours
+    assert ours.qualified(spark, "s3a://a/b") == "s3a://a/b"
+    assert ours.qualified(spark, "/tmp/x") == "/tmp/x"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.viewfs.mounttable.store.link./in", "file:///tmp")
+    conf.set("fs.defaultFS", "viewfs://store/")
+    try:
+        assert ours.qualified(spark, "/in/x") == "viewfs://store/in/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda _: "local-cluster[2,1,512]"))
+    with pytest.raises(ValueError, match="scheme"):
+        ours.qualified(spark, "/tmp/x")
+    assert ours.qualified(spark, "file:///tmp/x") == "file:///tmp/x"
+
+
+def test_workspace_folders_can_be_discarded(spark):
+    from loomline import session as ours
+    table = ours.write_once(spark.range(3), "kept")
+    path = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(path)
+    ours.discard(spark, path)
+    assert not os.path.isdir(path)

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -89,10 +90,15 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
         query.awaitTermination()
         return query
 
+    late = streams.count_late_rows(spark)
     run()
     put(spark, landing, "b.parquet", at(3, 135, 300), schema)
     query = run()
-    assert streams.late_rows(query) == 1
+    until = time.time() + 20
+    while late.dropped.get(str(query.id), 0) < 1 and time.time() < until:
+        time.sleep(0.1)  # reports come a moment later
+    spark.streams.removeListener(late)
+    assert late.dropped[str(query.id)] == 1
     rows = {r.window_start.hour: r for r in spark.read.parquet(out).collect()}
     assert rows[0].n_steps == 2 and rows[0].mean_loss == 1.5 and rows[0].tokens_per_second == 20.0
     assert rows[2].n_steps == 2 and 5 not in rows

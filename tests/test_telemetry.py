@@ -18,18 +18,21 @@ def test_parse_good_and_broken_lines(spark):
         "val_bpb 0.000812",
         "step 1: train loss nan, val loss inf",
         "",
+        "Killed: 9",
+        "Error: OOM",
+        "depth:            8",
     ]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, line string")
     rows = {r.i: r for r in telemetry.parse_run_log(df).collect()}
-    assert [rows[i]["shape"] for i in range(10)] == [
-        "iter", None, "eval", None, "step", None, "summary", None, "eval", None]
+    assert [rows[i]["shape"] for i in range(13)] == [
+        "iter", None, "eval", None, "step", None, "summary", None, "eval", None, None, None, "summary"]
     assert (rows[0].step, rows[0].loss, rows[0].time_ms, rows[0].mfu) == (10, 2.5, 812.34, -100.0)
     assert (rows[2].train_loss, rows[2].val_loss) == (1.7, 1.9)
     assert (rows[4].step, rows[4].tok_per_sec, rows[4].epoch, rows[4].remaining_s) == (12, 1730, 1, 86000.0)
     assert (rows[6].key, rows[6]["value"]) == ("val_bpb", "0.000812")
     assert math.isnan(rows[8].train_loss) and math.isinf(rows[8].val_loss)
     counts = {r["shape"]: r.n_lines for r in telemetry.log_shape_counts(telemetry.parse_run_log(df)).collect()}
-    assert counts["unparsed"] == 5
+    assert counts["unparsed"] == 7
 
 
 def loop(values, beta=0.9):
@@ -86,6 +89,27 @@ def test_best_checkpoint(spark):
     assert [r.saved for r in better] == [False, True, False, False, True]
 
 
+def test_nan_is_no_best_loss(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [("r", i, v) for i, v in enumerate([nan, 3.0, nan, 2.0, None, 2.5])], "run string, step long, val_loss double")
+    rows = telemetry.best_checkpoint(df, always_save=False, width=2).orderBy("step").collect()
+    assert [r.best_val_loss for r in rows] == [None, 3.0, 3.0, 2.0, 2.0, 2.0]
+    assert [r.improved for r in rows] == [False, True, False, True, False, False]
+    assert [r.saved for r in rows] == [False, True, False, True, False, False]
+
+
+@pytest.mark.parametrize("beta,width", [(0.9, 8), (0.999, 4)])
+def test_an_early_giant_is_not_forgotten(spark, beta, width):
+    values = [1e30] + [1e-3] * 900
+    df = spark.createDataFrame([("r", i, v) for i, v in enumerate(values)], "run string, step long, mfu double")
+    got = {r.step: r.running_mfu for r in telemetry.smoothed_mfu(df, beta=beta, warmup=0, width=width).collect()}
+    running = None
+    for step, value in enumerate(values):
+        running = value if running is None else beta * running + (1 - beta) * value
+        assert got[step] == pytest.approx(running, rel=1e-9)
+
+
 def test_throughput_leaves_out_the_first_steps(spark):
     rows = [("r", i, 100.0 if i <= 10 else 0.5) for i in range(21)] + [("short", 0, 1.0)]
     df = spark.createDataFrame(rows, "run string, step long, seconds double")

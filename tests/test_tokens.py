@@ -14,7 +14,7 @@ def bpe(tmp_path_factory):
     path = tmp_path_factory.mktemp("ranks") / "ranks.tiktoken"
     pieces = [bytes([b]) for b in range(256)] + [b"ab", b"abc", b" a"]
     path.write_bytes(b"".join(base64.b64encode(p) + b" %d\n" % i for i, p in enumerate(pieces)))
-    return BpeTokenizer("small", str(path))
+    return BpeTokenizer("small", str(path), r"\s+\S+|\S+|\s+")
 
 
 def test_fixed_tables():
@@ -74,7 +74,7 @@ def test_bpe_ids_must_stay_below_the_special_ones(tmp_path):
     path = tmp_path / "ranks"
     path.write_bytes(base64.b64encode(b"a") + b" 50256\n")
     with pytest.raises(ValueError):
-        BpeTokenizer("big", str(path)).encode_one("a")
+        BpeTokenizer("big", str(path), r"\S+|\s+").encode_one("a")
 
 
 def test_decode_cut_character(spark):
