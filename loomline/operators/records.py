@@ -5,12 +5,13 @@ Columns are named by arguments. Nulls are ordinary values unless a docstring say
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomline.functions.hashing import DEFAULT_SEED, seeded_hash
+from loomline.functions.hashing import DEFAULT_SEED, seeded_hash, unit_draw
+from loomline.functions.lookup import lookup
 
 # --- fixed values: conversation markers and the prompt's wording ---------------
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
@@ -136,3 +137,90 @@ def eval_matrix(results: DataFrame, group_col: str, system_col: str, correct_col
     """Accuracy of each system in each group of questions, side by side."""
     return results.groupBy(group_col).pivot(system_col, list(systems)).agg(
         F.avg(F.col(correct_col).cast("double")))
+
+
+def mix_by_ratio(df: DataFrame, ratios: Mapping[str, float], source_col="source", id_col="doc_id",
+                 seed: int | str = DEFAULT_SEED) -> DataFrame:
+    """Keep a share of each source, by the hash of the id, and add ``mix_order`` to interleave them.
+
+    Sources without a ratio are left out. Rows sorted by ``mix_order`` are a random mixture.
+    """
+    share = lookup({k: float(v) for k, v in ratios.items()}, F.col(source_col))
+    kept = df.where(unit_draw(f"{seed}:mix", id_col) < share)
+    return kept.withColumn("mix_order", seeded_hash(f"{seed}:order", id_col))
+
+
+def flag_boilerplate(df: DataFrame, min_documents: int, id_col="doc_id", text_col="text") -> DataFrame:
+    """Per document its distinct non-blank lines, and how many of them ``min_documents`` or more documents have.
+
+    Lines are counted by hash with map-side combine. Only lines that are common
+    come back to the documents, which a very common line reaches by a join that can be split.
+    """
+    lines = df.select(id_col, F.explode(F.array_distinct(F.filter(
+        F.transform(F.split(F.coalesce(text_col, F.lit("")), "\n"), F.trim), lambda x: x != ""))).alias("_line"))
+    hashed = lines.select(id_col, F.xxhash64("_line").alias("_line"))
+    common = hashed.groupBy("_line").agg(F.count("*").alias("_n")).where(
+        F.col("_n") >= min_documents).select("_line", F.lit(1).alias("_common"))
+    return hashed.join(common, "_line", "left").groupBy(id_col).agg(
+        F.count("*").alias("n_lines"), F.count("_common").alias("n_common"))
+
+
+def license_gate(df: DataFrame, allowed: Mapping[str, str], denied: Mapping[str, str],
+                 text_col="text") -> DataFrame:
+    """Add ``license`` (the first pattern's name that matches, denied ones first) and ``verdict``.
+
+    ``verdict`` is ``deny``, ``allow`` or, without a licence text, ``unknown``.
+    """
+    name, verdict = F.lit(None).cast("string"), F.lit("unknown")
+    for patterns, outcome in ((allowed, "allow"), (denied, "deny")):
+        for key, pattern in reversed(patterns.items()):
+            found = F.coalesce(F.col(text_col).rlike(pattern), F.lit(False))
+            name, verdict = F.when(found, key).otherwise(name), F.when(found, outcome).otherwise(verdict)
+    return df.withColumns({"license": name, "verdict": verdict})
+
+
+def rejection_sample(results: DataFrame, keys: Sequence[str], passed_col: str) -> DataFrame:
+    """Per solution the number of tests and ``kept``: it passes all; the others are the negatives."""
+    passed = F.coalesce(F.col(passed_col), F.lit(False))
+    return results.groupBy(*keys).agg(F.count("*").alias("n_tests"), F.bool_and(passed).alias("kept"))
+
+
+def error_histogram(results: DataFrame, message_col: str) -> DataFrame:
+    """Kinds of exception (the name before the first colon of the last line) with count and share."""
+    kind = F.regexp_extract(F.substring_index(message_col, "\n", -1), r"^([A-Za-z_][\w.]*(?:Error|Exception))(?::|$)", 1)
+    counted = results.where(F.col(message_col).isNotNull()).groupBy(
+        F.when(kind == "", "other").otherwise(kind).alias("kind")).agg(F.count("*").alias("n"))
+    # one row per kind: few
+    return counted.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+
+
+def behavior_clusters(results: DataFrame, task_col: str, solution_col: str, test_col: str,
+                      output_col: str) -> DataFrame:
+    """Solutions of a task with the same output on every test: ``cluster`` is the smallest of them.
+
+    A solution's behaviour is an order-free sum of hashes, so its outputs are combined before the shuffle.
+    """
+    one = F.xxhash64(test_col, output_col).cast("decimal(20,0)")
+    behaviour = results.groupBy(task_col, solution_col).agg(
+        F.sum(one).alias("_sum"), F.count("*").alias("_n"))
+    same = behaviour.groupBy(task_col, "_sum", "_n").agg(
+        F.min(solution_col).alias("cluster"), F.count("*").alias("size"))
+    return behaviour.join(same, [task_col, "_sum", "_n"]).select(task_col, solution_col, "cluster", "size")
+
+
+def disagreement_select(first: DataFrame, second: DataFrame, id_col: str, score_col: str,
+                        threshold: float) -> DataFrame:
+    """Samples that two critics score more than ``threshold`` apart."""
+    both = first.select(id_col, F.col(score_col).alias("first_score")).join(
+        second.select(id_col, F.col(score_col).alias("second_score")), id_col)
+    apart = F.abs(F.col("first_score") - F.col("second_score"))
+    return both.withColumn("difference", apart).where(F.col("difference") > threshold)
+
+
+def citation_precision(cited: DataFrame, retrieved: DataFrame, query_col: str, fact_col: str) -> DataFrame:
+    """Per query: cited facts, those among what was retrieved, and their share."""
+    there = retrieved.select(query_col, fact_col, F.lit(1).alias("_there")).distinct()
+    facts = cited.select(query_col, fact_col).distinct().join(there, [query_col, fact_col], "left")
+    return facts.groupBy(query_col).agg(
+        F.count("*").alias("n_cited"), F.count("_there").alias("n_found")).withColumn(
+        "precision", F.col("n_found") / F.col("n_cited"))

@@ -570,6 +570,54 @@ where doc_id not in (select doc_id from documents where doc_id % 11 = 0) group b
         f"round(avg(({h('correct', 'event_id')} % 3 = 0)::int::double) filter (user_id % 4 = {s}), 9) as system_{s}"
         for s in range(4)) + " from events group by event_type"
 
+    q["mix_by_ratio"] = f"""
+select doc_id, source, {h('42:order', 'doc_id')} as mix_order from documents
+where {u('42:mix', 'doc_id')} < case source
+  when 'src0' then 0.1::double when 'src1' then 0.5 when 'src2' then 0.5 when 'src3' then 1.0 end"""
+    q["flag_boilerplate"] = """
+with lines as (
+  select distinct doc_id, trim(unnest(string_split(text, chr(10))), ' ') as line from documents),
+kept as (select * from lines where line <> ''),
+common as (select line from kept group by line having count(*) >= 3)
+select doc_id, count(*) as n_lines, count(common.line) as n_common
+from kept left join common using (line) group by doc_id"""
+    q["license_gate"] = """
+select doc_id,
+  case when contains(text, 'General Public License') then 'gpl' when contains(text, 'CC BY-NC') then 'noncommercial'
+    when contains(text, 'Apache License') then 'apache' when contains(text, 'MIT License') then 'mit' end as license,
+  case when contains(text, 'General Public License') or contains(text, 'CC BY-NC') then 'deny'
+    when contains(text, 'Apache License') or contains(text, 'MIT License') then 'allow' else 'unknown' end as verdict
+from documents"""
+    ran = f"""
+ran as (
+  select user_id as task, event_id % 5 as solution, event_id, event_type as test,
+    {h('fails', 'event_id')} % 4 <> 0 as passed from events)"""
+    q["rejection_sample"] = f"""
+with {ran} select task, solution, count(*) as n_tests, bool_and(passed) as kept from ran group by task, solution"""
+    q["error_histogram"] = f"""
+with {ran}, kinds as (
+  select case event_id % 3 when 0 then 'ValueError' when 1 then 'KeyError' else 'other' end as kind
+  from ran where not passed)
+select kind, count(*) as n, round(count(*) / (sum(count(*)) over ())::double, 9) as share from kinds group by kind"""
+    q["behavior_clusters"] = f"""
+with {ran}, outputs as (
+  select task, solution, test, bool_or(passed)::varchar as output from ran group by all),
+behaviour as (
+  select task, solution, string_agg(test || '=' || output, ',' order by test) as b from outputs group by all)
+select task, solution, min(solution) over (partition by task, b) as cluster,
+  count(*) over (partition by task, b) as size from behaviour"""
+    q["disagreement_select"] = f"""
+with scored as (
+  select doc_id, ({h('critic1', 'doc_id')} % 101)::double as first_score,
+    ({h('critic2', 'doc_id')} % 101)::double as second_score from documents)
+select *, abs(first_score - second_score) as difference from scored where abs(first_score - second_score) > 40"""
+    q["citation_precision"] = f"""
+with cited as (select distinct doc_id, unnest({word_list('text')}) as fact from documents),
+there as (select distinct doc_id, unnest({word_list("split_part(text, chr(10), 1)")}) as fact, true as found from documents)
+select doc_id, count(*) as n_cited, count(found) as n_found,
+  round(count(found) / count(*)::double, 9) as precision
+from cited left join there using (doc_id, fact) group by doc_id"""
+
     # --- streaming
     q["stream_shards"] = """
 select source, count(*) as n_rows,

@@ -653,6 +653,65 @@ def eval_matrix(spark, d):
     return done.select("event_type", *[F.round(F.col(str(s)), 9).alias(f"system_{s}") for s in range(4)])
 
 
+MIX = {"src0": 0.1, "src1": 0.5, "src2": 0.5, "src3": 1.0}
+ALLOWED = {"apache": "Apache License", "mit": "MIT License"}
+DENIED = {"gpl": "General Public License", "noncommercial": "CC BY-NC"}
+
+
+def mix_by_ratio(spark, d):
+    return records.mix_by_ratio(documents(spark, d), MIX).select("doc_id", "source", "mix_order")
+
+
+def flag_boilerplate(spark, d):
+    return records.flag_boilerplate(documents(spark, d), 3)
+
+
+def license_gate(spark, d):
+    return records.license_gate(documents(spark, d), ALLOWED, DENIED).select("doc_id", "license", "verdict")
+
+
+def _test_results(spark, d) -> DataFrame:
+    """Events as test runs: the user is the task, the session-like remainder the solution."""
+    fails = seeded_hash("fails", "event_id") % 4
+    return table(spark, d, "events").select(
+        F.col("user_id").alias("task"), (F.col("event_id") % 5).alias("solution"), "event_id",
+        F.col("event_type").alias("test"), (fails != 0).alias("passed"),
+        F.when(fails == 0, F.concat(F.lit("Traceback\n"), F.when(F.col("event_id") % 3 == 0, "ValueError: x")
+               .when(F.col("event_id") % 3 == 1, "KeyError").otherwise("Killed"))).alias("message"))
+
+
+def rejection_sample(spark, d):
+    return records.rejection_sample(_test_results(spark, d), ["task", "solution"], "passed")
+
+
+def error_histogram(spark, d):
+    done = records.error_histogram(_test_results(spark, d), "message")
+    return done.withColumn("share", F.round("share", 9))
+
+
+def behavior_clusters(spark, d):
+    """Outputs are whether a test was ever passed."""
+    ran = _test_results(spark, d).groupBy("task", "solution", "test").agg(
+        F.max("passed").cast("string").alias("output"))
+    return records.behavior_clusters(ran, "task", "solution", "test", "output")
+
+
+def disagreement_select(spark, d):
+    rows = documents(spark, d)
+    critics = [rows.select("doc_id", (seeded_hash(f"critic{i}", "doc_id") % 101).cast("double").alias("score"))
+               for i in (1, 2)]
+    return records.disagreement_select(*critics, "doc_id", "score", 40.0)
+
+
+def citation_precision(spark, d):
+    """A document's words are the facts cited, its first line is what was retrieved."""
+    rows = documents(spark, d).select("doc_id", "text")
+    cited = rows.select("doc_id", F.explode(stats.words("text")).alias("fact"))
+    there = rows.select("doc_id", F.explode(stats.words(F.substring_index("text", "\n", 1))).alias("fact"))
+    done = records.citation_precision(cited, there, "doc_id", "fact")
+    return done.withColumn("precision", F.round("precision", 9))
+
+
 # --- streaming ------------------------------------------------------------------
 
 
@@ -736,6 +795,8 @@ REGISTERED = [
     split_loss, perplexity_by_class, bits_per_byte, compression_report, token_budget,
     parse_run_log, smoothed_loss, smoothed_mfu, best_checkpoint, throughput, run_comparison,
     dedup_exact, chat_template, sft_examples, best_worst_pairs, stratified_holdout, chunk_sliding,
-    context_budget, assemble_rag_prompt, index_upsert_delete, eval_matrix,
+    context_budget, assemble_rag_prompt, index_upsert_delete, eval_matrix, mix_by_ratio,
+    flag_boilerplate, license_gate, rejection_sample, error_histogram, behavior_clusters,
+    disagreement_select, citation_precision,
     stream_shards, stream_prepare, stream_cap_per_language, stream_run_metrics,
 ]
