@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import math
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +17,8 @@ from loomline.session import workspace
 #: White space that separates words, and the same as a Java or Python pattern.
 WORD_SPACE = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
+#: Rows of a batch between the JVM and Python.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,14 +76,32 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20, column: str =
             yield batch.slice(at)
 
 
-def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[
-        [Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]:
-    """A function for ``mapInArrow`` that works on pieces of a few MB of text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
-            yield work(piece)
+def release_memory() -> None:
+    """Give back what a Python worker no longer uses: it lives on, idle, beside the next tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
-    return run
+
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Send texts to Python in batches of at most ``rows`` rows from now on, unless the session has fewer.
+
+    A batch stands several times in memory outside the heap, in the executor and in its workers.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+def in_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` in small batches; the worker gives memory back at the end of a task."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(wrapped, schema)
 
 
 def span_digest(spans: Column) -> Column:
