@@ -40,7 +40,7 @@ def test_paths_without_a_scheme_mean_the_default_file_system(spark, monkeypatch)
         assert ours.qualified(spark, "/in/x") == "viewfs://store/in/x"
     finally:
         conf.set("fs.defaultFS", before)
-    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda _: "local-cluster[2,1,512]"))
+    monkeypatch.setattr(spark.sparkContext, "master", "local-cluster[2,1,512]")
     with pytest.raises(ValueError, match="scheme"):
         ours.qualified(spark, "/tmp/x")
     assert ours.qualified(spark, "file:///tmp/x") == "file:///tmp/x"
