@@ -9,9 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loomline.llm.common import only, parts, slices, text_bytes, written
+from loomline.llm.common import in_batches, only, parts, release_memory, slices, text_bytes, written
 from loomline.llm.graph import components
 from loomline.llm.words import mix, pack, shingle_sets, unpack
 from loomline.session import materialize
@@ -20,7 +19,7 @@ SHINGLE = 5
 #: 100 * intersection >= PERCENT * union
 PERCENT = 75
 #: Text whose shingles a task counts together before they are dealt out.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Text per share of the hash space (a power of two of shares is used).
 SHARE_BYTES = 16 << 20
 #: Bits of a shingle's hash by which it is dealt out and compared.
@@ -50,7 +49,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                  pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64())],
                 ["doc_id", "n_shingles", "fp"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, fp bigint")
+    return in_batches(docs, run, "doc_id bigint, n_shingles bigint, fp bigint")
 
 
 def _deal(docs: DataFrame, bits: int) -> DataFrame:
@@ -93,14 +92,11 @@ def _deal(docs: DataFrame, bits: int) -> DataFrame:
                 held, size = {}, 0
         yield from emit(held)
 
-    return docs.select("text").mapInArrow(run, "share int, sets binary, hashes binary, who binary")
+    return in_batches(docs.select("text"), run, "share int, sets binary, hashes binary, who binary")
 
 
 def _shared(dealt: DataFrame) -> DataFrame:
-    """(fp, shingles, sets): per share and set the shingles that other sets have too, and in how many.
-
-    A row's shingles ascend and are packed; sets are 32-bit counts.
-    """
+    """(fp, shingle, n_sets) of every set's shingles that other sets have too, and how many sets have each."""
     def run(rows: pa.Table) -> pa.Table:
         hashes, fps = [], []
         for s, h, w in zip(*(rows[c].to_pylist() for c in ("sets", "hashes", "who"))):
@@ -115,35 +111,17 @@ def _shared(dealt: DataFrame) -> DataFrame:
         new = np.ones(len(hashes), bool)  # equal sets of other chunks are the same set
         new[1:] = (hashes[1:] != hashes[:-1]) | (fps[1:] != fps[:-1])
         hashes, fps = hashes[new], fps[new]
-        starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-        count = np.repeat(np.diff(np.append(starts, len(hashes))), np.diff(np.append(starts, len(hashes))))
+        runs = np.diff(np.append(np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])), len(hashes)))
+        count = np.repeat(runs, runs)
         several = count > 1
-        hashes, fps, count = hashes[several], fps[several], count[several].astype(np.int32)
-        order = np.argsort(fps, kind="stable")  # hashes of a set still ascend
-        hashes, fps, count = hashes[order], fps[order], count[order]
-        starts = np.flatnonzero(np.append(True, fps[1:] != fps[:-1])) if len(fps) else np.zeros(0, int)
-        ends = np.append(starts[1:], len(fps))
-        return pa.table({
-            "fp": pa.array(fps[starts]), "n_shared": pa.array((ends - starts).astype(np.int32)),
-            "shingles": pa.array([pack(hashes[a:b]) for a, b in zip(starts, ends)], pa.binary()),
-            "counts": pa.array([count[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())})
-
-    return dealt.groupBy("share").applyInArrow(
-        run, "fp bigint, n_shared int, shingles binary, counts binary")
-
+        hashes, fps, count = hashes[several].astype(np.int64), fps[several], count[several].astype(np.int32)
+        order = np.argsort(fps, kind="stable")  # columns with like neighbours take less room
+        found = pa.table({"fp": fps[order], "shingle": hashes[order], "n_sets": count[order]})
+        del hashes, fps, count, new, runs, several, order
+        release_memory()
+        return found
 
-_order_schema = pa.list_(pa.int64())
-
-
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def _in_order(pieces: pa.Array) -> pa.Array:
-    """A set's shared shingles, those in the fewest sets first, then by hash."""
-    out = []
-    for row in pieces.to_pylist():
-        hashes = np.concatenate([unpack(p["shingles"]) for p in row])
-        counts = np.concatenate([np.frombuffer(p["counts"], np.int32) for p in row])
-        out.append(hashes[np.lexsort((hashes, counts))].astype(np.int64))
-    return pa.array(out, _order_schema)
+    return dealt.groupBy("share").applyInArrow(run, "fp bigint, shingle bigint, n_sets int")
 
 
 class Joiner:
@@ -183,6 +161,31 @@ class Joiner:
             blocks = self.index[shingle] = {r: sorted(e) for r, e in merged.items()}
         return blocks or {}
 
+    def _compare(self, x: int, y: int) -> int:
+        """Common elements of two sets; a link joins their components, else the number is kept."""
+        self.compared += 1
+        common = len(self.items[x] & self.items[y])
+        if common >= least_overlap(self.sizes[x], self.sizes[y], self.percent):
+            self.links.append((x, y))
+            self.root[self.find(x)] = self.find(y)
+        else:
+            self.failed[y][x] = common
+        return common
+
+    def _leader(self, y: int, smallest: int, prefix: list[int]) -> tuple[int, int, set[int]]:
+        """(leader or -1, elements beyond it, sets compared): the last set of a block that y meets most often."""
+        met: dict[int, int] = {}
+        for shingle in prefix:
+            for block in self._blocks(shingle).values():
+                if block[-1][0] >= smallest:
+                    met[block[-1][1]] = met.get(block[-1][1], 0) + 1
+        if not met:
+            return -1, 0, set()
+        x = max(met, key=lambda i: (met[i], i))
+        common = self._compare(x, y)
+        linked = x not in self.failed[y]
+        return (x if linked else -1), len(self.items[y]) - common, {x}
+
     def add(self, size: int, ordered: list[int]) -> None:
         """Add a set of ``size`` elements of which ``ordered`` may be shared, rarest first."""
         y = len(self.sizes)
@@ -193,7 +196,7 @@ class Joiner:
         self.failed.append({})
         smallest = -(-self.percent * size // 100)
         prefix = ordered[:max(0, len(ordered) - smallest + 1)]
-        leader, beyond, tested = -1, 0, set()
+        leader, beyond, tested = self._leader(y, smallest, prefix)
         for place, shingle in enumerate(prefix):
             for r, block in self._blocks(shingle).items():
                 if self.find(r) == self.find(y):
@@ -211,15 +214,11 @@ class Joiner:
                         if known is not None and known + beyond < needed:
                             self.derived += 1
                             continue
-                    self.compared += 1
-                    common = len(items & self.items[x])
+                    common = self._compare(x, y)
                     if common >= needed:
-                        self.links.append((x, y))
-                        self.root[self.find(x)] = self.find(y)
                         if leader < 0:
                             leader, beyond = x, len(ordered) - common
                         break
-                    self.failed[y][x] = common
         mine = self.find(y)
         for place, shingle in enumerate(prefix):
             block = self._blocks(shingle)
@@ -253,7 +252,7 @@ def _join_pieces(cells: DataFrame) -> DataFrame:
                     held.append((fp, n, ordered))
         yield from finish(held)
 
-    return cells.mapInArrow(run, "a bigint, b bigint")
+    return in_batches(cells, run, "a bigint, b bigint")
 
 
 def cluster(docs: DataFrame) -> DataFrame:
@@ -279,12 +278,12 @@ def cluster(docs: DataFrame) -> DataFrame:
     classes = named.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"))
     bits = min(24, (parts(text_bytes(rows), SHARE_BYTES) - 1).bit_length())
     shared = written(_shared(_deal(rows.filter("doc_id is not null"), bits)), "set-join-shared")
-    enough = shared.groupBy("fp").agg(F.sum("n_shared").alias("n_shared")).join(classes, "fp").filter(
+    enough = shared.groupBy("fp").agg(F.count(F.lit(1)).alias("n_shared")).join(classes, "fp").filter(
         F.col("n_shared") * 100 >= F.col("n_shingles") * PERCENT).select("fp", "n_shingles")
+    rarest_first = F.array_sort(F.collect_list(F.struct("n_sets", "shingle")))  # of one text
     candidates = written(
-        shared.join(enough, "fp").groupBy("fp", "n_shingles").agg(
-            F.collect_list(F.struct("shingles", "counts")).alias("pieces"))
-        .select("fp", "n_shingles", _in_order(F.col("pieces")).alias("ordered")), "set-join-sets")
+        shared.join(enough, "fp").groupBy("fp", "n_shingles").agg(rarest_first["shingle"].alias("ordered")),
+        "set-join-sets")
     links = _links(candidates)
     names = classes.select("fp", "rep")
     edges = links.join(names.withColumnsRenamed({"fp": "a", "rep": "ra"}), "a").join(
