@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,10 +15,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import only, slices
+from loomline.llm.common import bound_batches, in_batches, only, slices
 
-#: Words that a worker keeps encoded; a full memory is emptied, so it is bounded and only saves time.
-MEMORY = 600_000
+#: Pre-tokens that a worker keeps encoded, and a share of it words; a full memory is emptied, so
+#: it is bounded and only saves time.
+MEMORY = 400_000
 
 
 class PerfectHash:
@@ -82,7 +84,7 @@ class Bpe:
             raise ValueError("the vocabulary lacks single bytes")
         self.split = regex.compile(pattern).findall
         self.tokens = list(ranks)
-        self.ids = np.array(list(ranks.values()), np.int64)
+        self.ids = list(ranks.values())
         self.whole = PerfectHash(self.tokens)
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
@@ -137,7 +139,7 @@ class Bpe:
         ids = self.ids
         for p, b, k in zip(new, raw, numbers):
             found = [ids[k]] if self.tokens[k] == b else self.merge(b)
-            self.pieces[p] = np.array(found, np.int32).tobytes()
+            self.pieces[p] = array("i", found).tobytes()
 
     def _encoded(self, text: str) -> bytes:
         """Ids of a text as 32-bit numbers, without the memory of words."""
@@ -162,8 +164,9 @@ class Bpe:
             self.words[w] = None
 
     def encode(self, text: str) -> bytes:
-        if len(self.pieces) > MEMORY or len(self.words) > MEMORY:
+        if len(self.pieces) > MEMORY:
             self.pieces.clear()
+        if len(self.words) > MEMORY // 2:
             self.words.clear()
         first, *words = text.split(" ")
         if not words or not first or first[-1].isspace():
@@ -205,11 +208,13 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 [piece.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))],
                 ["doc_id", "ids"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return in_batches(rows, run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """Add decoded (binary) to rows that have ids; null ids give null, unknown ones an error."""
+    bound_batches(encoded.sparkSession)
+
     @F.arrow_udf("binary")
     def decoded(column: pa.Array) -> pa.Array:
         bpe = worker_bpe(path, pattern)

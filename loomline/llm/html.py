@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loomline.llm.common import only, slices
+from loomline.llm.common import in_batches, only, slices
 
 #: Elements that end a text block where they begin and end.
 BLOCK_TAGS = frozenset(
@@ -273,7 +273,7 @@ def extract(pages: DataFrame, tree: Tree | None = None) -> DataFrame:
                 [piece.column("page_id"), piece.column("url"), pa.array(texts, pa.string())],
                 ["page_id", "url", "text"])
 
-    return rows.mapInArrow(run, f"page_id {kind}, url string, text string")
+    return in_batches(rows, run, f"page_id {kind}, url string, text string")
 
 
 def op2_html_text(spark, sf_dir: str) -> DataFrame:

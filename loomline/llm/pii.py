@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import only, slices, span_digest, written
+from loomline.llm.common import in_batches, only, slices, span_digest, written
 from loomline.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -152,8 +152,7 @@ def read(docs: DataFrame) -> DataFrame:
                 [piece.column("doc_id"), pa.array(named, _BASE), pa.array(seen, _OCCURRENCES)],
                 ["doc_id", "base", "occurrences"])
 
-    return rows.mapInArrow(
-        run, f"doc_id {kind}, base array<struct<start:int,place:int,end:int>>, occurrences "
+    return in_batches(rows, run, f"doc_id {kind}, base array<struct<start:int,place:int,end:int>>, occurrences "
         "array<struct<start:int,end:int,kind:string,context:string,instance:string,seed:boolean,shape:string>>")
 
 
