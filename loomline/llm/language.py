@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomline.functions.hashing import unit_draw
-from loomline.llm.common import only, slices
+from loomline.llm.common import bound_batches, only, release_memory, slices
 
 UNKNOWN = "und"
 #: The model is fitted on at most so many texts of a language, chosen by the hash of doc_id.
@@ -22,6 +22,8 @@ ORDERS = (2, 3, 4)
 EPOCHS, RATE = 12, 0.5
 #: A text is rejected if its calibrated score is one that at most this share of right calibration texts fall below.
 REJECTED_SHARE = 0.001
+#: ... and that is below so many times the score of a guess: short or mixed texts of known languages stay.
+LITTLE = 1.25
 _MIX = np.uint32(0x9E3779B1)
 _STEPS = tuple(np.uint32(x) for x in (0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1))
 
@@ -84,7 +86,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOC
     """Stochastic gradient descent; every fifth text calibrates and isn't learned from.
 
     The temperature (1 at least) minimises the log loss of the calibration texts, the threshold is the score
-    that REJECTED_SHARE of those predicted rightly fall below, 0.5 at most. Without rows there are
+    that REJECTED_SHARE of those predicted rightly fall below, LITTLE above chance at most. Without rows there are
     no labels and every text is rejected.
     """
     names = sorted(set(labels))
@@ -100,7 +102,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOC
     for t in texts:
         buckets, _, end = subword_buckets(pa.array([t], pa.string()))
         ids, counts = np.unique(buckets[:end[0]], return_counts=True)
-        bags.append((ids, (counts / counts.sum()).astype(np.float32)))
+        bags.append((ids.astype(np.int32), (counts / counts.sum()).astype(np.float32)))
     learned = np.flatnonzero(~calibrates)
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
@@ -124,7 +126,8 @@ def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOC
     model.temperature = float(min(losses, key=losses.get))
     p = softmax(z / model.temperature)
     right = p.max(1)[p.argmax(1) == own]
-    model.threshold = float(min(0.5, np.quantile(right, REJECTED_SHARE))) if len(right) else 0.5
+    chance = LITTLE / len(names)
+    model.threshold = float(min(chance, np.quantile(right, REJECTED_SHARE))) if len(right) else chance
     return model
 
 
@@ -156,13 +159,17 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
         F.col("doc_id").isNotNull() & ~held_out() & F.col("lang").isNotNull()
         & F.col("text").rlike(r"\p{L}"))
     rows = sample(known, per_language)
-    return train([r[0] for r in rows], [r[1] for r in rows])
+    model = train([r[0] for r in rows], [r[1] for r in rows])
+    del rows
+    release_memory()  # the driver's Python goes on for as long as the application
+    return model
 
 
 def identified(docs: DataFrame, text: str, model: Model) -> Column:
     """Struct (lang_pred, score, rejected) of a text column. The model, at most BUCKETS x labels numbers,
     goes to every task."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    bound_batches(docs.sparkSession)
 
     @F.arrow_udf(T.StructType([
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
