@@ -19,7 +19,7 @@ from loomline.llm.common import bound_batches, in_batches, only, slices
 
 #: Pre-tokens that a worker keeps encoded, and a share of it words; a full memory is emptied, so
 #: it is bounded and only saves time.
-MEMORY = 400_000
+MEMORY = 600_000
 
 
 class PerfectHash:
@@ -166,7 +166,7 @@ class Bpe:
     def encode(self, text: str) -> bytes:
         if len(self.pieces) > MEMORY:
             self.pieces.clear()
-        if len(self.words) > MEMORY // 2:
+        if len(self.words) > MEMORY * 2 // 3:
             self.words.clear()
         first, *words = text.split(" ")
         if not words or not first or first[-1].isspace():
