@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ BLOCK_TAGS = frozenset(
 DROPPED = "script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas|audio|video|title|button"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
+#: Elements around the whole page: their names speak of the page, not of a part of it.
+ROOT_TAGS = frozenset(("html", "body"))
 FURNITURE_TAGS = frozenset("nav header footer aside form menu dialog".split())
 #: Words of class, id and role that name a part around the article; a name is cut at other
 #: characters than letters and where a capital follows a small letter.
@@ -32,6 +34,14 @@ FURNITURE_NAMES = frozenset(
     "pagination paywall popup promo promotion related reply replies search share sharing sidebar signup "
     "skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split())
 ARTICLE_NAMES = frozenset("article content entry main post story".split())
+#: Parts whose articles are other people's or other pages'; of those only <main> is the article again.
+OTHERS_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments disqus promo promotion related reply "
+    "replies sidebar sponsor sponsored widget".split())
+#: has-comments, no-sidebar, tag-notice: what follows these words in a class is said about the element.
+ABOUT = frozenset("has no not with without hide hides hidden show shows is category tag term topic author".split())
+#: comments-open, sidebar-layout: a class that ends so names a state or the whole page.
+STATES = frozenset("closed disabled enabled layout off on open page template theme".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -42,6 +52,10 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
+#: Furniture by degrees: a wrapper that only its name or <form> makes furniture, a part of OTHERS_NAMES, a tag.
+WRAPPER, OTHERS, SEMANTIC = -1, -2, -3
+
+
 @dataclass
 class Block:
     text: str
@@ -49,16 +63,50 @@ class Block:
     linked: int  # words inside links
     place: int  # 1: nearest named part is the article, -1: page furniture, 0: neither
     heading: int
+    wrapped: bool = False  # furniture by nothing but the name of a wrapper
+
 
+def _names(attributes: str) -> tuple[set[str], set[str]]:
+    """Words that name an element, and those among them that stand alone in class, id or role.
 
-def _place(tag: str, attributes: str) -> int:
-    """What a tag says about its content: 1 article, -1 furniture, 0 nothing."""
-    if tag in FURNITURE_TAGS:
-        return -1
-    names = {w.lower() for m in _NAMES.findall(attributes) for w in _WORDS.findall(m)} if "=" in attributes else ()
-    if FURNITURE_NAMES.intersection(names):
-        return -1
-    return 1 if tag in ARTICLE_TAGS or ARTICLE_NAMES.intersection(names) else 0
+    Words that say something about the element (ABOUT, STATES) and what they speak of are left out.
+    """
+    names: set[str] = set()
+    alone: set[str] = set()
+    for value in _NAMES.findall(attributes) if "=" in attributes else ():
+        for token in value.strip("\"'").split():
+            found = [w.lower() for w in _WORDS.findall(token)]
+            if not found or len(found) > 1 and found[-1] in STATES:
+                continue
+            about = next((i for i, w in enumerate(found) if w in ABOUT), len(found))
+            names.update(found[:about])
+            if len(found) == 1:
+                alone.update(found)
+    return names, alone
+
+
+def _place(tag: str, attributes: str, around: int) -> int:
+    """What a tag makes of its content: 1 article, 0 neither, WRAPPER, OTHERS or SEMANTIC furniture.
+
+    Tags win over names. The article can stand in a WRAPPER; the word content alone does not say that
+    it does, there the blocks themselves decide. Nothing is the article again inside other furniture.
+    """
+    if around == SEMANTIC or tag in ROOT_TAGS:
+        return around
+    if tag in FURNITURE_TAGS and tag != "form":
+        return SEMANTIC
+    names, alone = _names(attributes)
+    if tag == "main" or around > OTHERS and tag == "article":
+        return 1
+    if OTHERS_NAMES.intersection(names):
+        return OTHERS
+    if tag == "form" or FURNITURE_NAMES.intersection(names):
+        return min(around, WRAPPER)
+    if around < 0:
+        if around == WRAPPER and (ARTICLE_NAMES - {"content"}).intersection(alone):
+            return 1
+        return 0 if around == WRAPPER and "content" in alone else around
+    return 1 if ARTICLE_NAMES.intersection(names) else around
 
 
 def blocks(page: str) -> list[Block]:
@@ -81,7 +129,7 @@ def blocks(page: str) -> list[Block]:
             linked = len("".join(p for p, in_link in pieces if in_link).split())
             place = open_tags[-1][1] if open_tags else 0
             heading = int(any(len(t) == 2 and t[0] == "h" and t[1].isdigit() for t, _ in open_tags))
-            out.append(Block(text, len(text.split()), linked, place, heading))
+            out.append(Block(text, len(text.split()), linked, max(place, -1), heading, place == WRAPPER))
         pieces.clear()
 
     def add(raw: str) -> None:
@@ -109,9 +157,7 @@ def blocks(page: str) -> list[Block]:
             if tag == "p" and open_tags and open_tags[-1][0] == "p":
                 open_tags.pop()
             around = open_tags[-1][1] if open_tags else 0
-            own = _place(tag, m.group(4))
-            # nothing inside page furniture is the article again
-            open_tags.append((tag, around if around < 0 or own == 0 else own))
+            open_tags.append((tag, _place(tag, m.group(4), around)))
             links += tag == "a"
         elif any(t == tag for t, _ in open_tags):
             while open_tags:
@@ -200,6 +246,10 @@ LABELLED = [
     (0, (12, .5, 40, 0, 22, 0, 0, 0, 0)), (0, (80, .8, 100, 0, 1, 1, 0, 0, 0)),
     (0, (3, 0, 2, 1, 4, 0, 0, 0, 0)), (0, (7, 0, 4, 0, 3, 0, 0, 0, 0)),
     (0, (2, 0, 5, .5, 1, 1, 0, 0, 0)), (0, (6, 0, 0, 0, 3, 1, 0, 0, 0)),
+    # long blocks with few links under a wrapper whose name says nothing (place 0), and in the article under it
+    (1, (110, 0, 3, 1, 85, .02, 0, 0, 0)), (1, (85, .02, 110, 0, 4, .5, 0, 0, 0)),
+    (1, (240, .01, 6, 0, 3, 1, 0, 0, 0)), (1, (95, .05, 3, 1, 130, 0, 1, 0, 1)),
+    (1, (130, 0, 95, .05, 5, 1, 1, 0, 1)), (1, (180, .02, 2, 1, 4, 1, 1, 0, 1)),
 ]
 
 
@@ -251,8 +301,12 @@ def train(labelled=None) -> Tree:
 
 
 def main_text(page: str, tree: Tree) -> str:
+    """The page's main blocks; if names of wrappers leave none, their blocks are judged without the names."""
     found = blocks(page)
     chosen = tree.predict(features(found))
+    if not chosen.any() and any(b.wrapped for b in found):
+        found = [replace(b, place=0) if b.wrapped else b for b in found]
+        chosen = tree.predict(features(found))
     return "\n".join(b.text for b, keep in zip(found, chosen) if keep)
 
 

@@ -235,6 +235,32 @@ def test_html_main_text():
     assert html.main_text(plain_page, tree) == " ".join(("many plain words stand here " * 12).split())
 
 
+LONG = " ".join(["plain words of a long text without any link stand here"] * 9)
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><article>{}</article></body>", "<html class='sticky-header'><body><main>{}</main>",
+    "<main class='content no-sidebar'><p>{}</p></main>", "<article class='post comments-open'><p>{}</p></article>",
+    "<article class='tag-notice'><p>{}</p></article>", "<body class='has-sidebar'><div><p>{}</p></div></body>",
+    "<div class='content has-comments'><p>{}</p></div>", "<div class='post category-promo'><p>{}</p></div>",
+    "<div class='sticky-header'><article><p>{}</p></article></div>", "<div class='social'><div class='post'>{}</div></div>",
+    "<div class='sidebar-layout'><div><p>{}</p></div></div>", "<form action='/'><article>{}</article></form>",
+    "<div class='banner'><div class='content'>{}</div></div>", "<div class='page-header-top'><p>{}</p></div>",
+    "<div class='sidebar-right'><main>{}</main></div>"])
+def test_html_names_do_not_hide_a_whole_article(page):
+    assert html.main_text(page.format(LONG), html.train()) == LONG
+
+
+@pytest.mark.parametrize("part", [
+    "<div class='comment-list'><article class='comment'><p>{}</p></article></div>", "<div class='site-footer'>{}</div>",
+    "<div class='sidebar'><div class='post'>{}</div></div>", "<nav><article>{}</article></nav>",
+    "<div class='cookie-notice'><div class='content'>{}</div></div>", "<section id='comments'><div class='content'>{}</div></section>",
+    "<aside><main>{}</main></aside>", "<div class='post-comments'>{}</div>"])
+def test_html_furniture_beside_an_article_stays_out(part):
+    page = "<body class='has-sidebar'><article><p>" + LONG + "</p></article>" + part.format("other " * 60) + "</body>"
+    assert html.main_text(page, html.train()) == LONG
+
+
 def test_html_tree_fits_its_table():
     rows = np.array([x for _, x in html.LABELLED], float)
     right = html.train().predict(rows) == np.array([y for y, _ in html.LABELLED])
