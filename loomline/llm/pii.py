@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -13,10 +14,13 @@ from loomline.llm.common import in_batches, only, slices, span_digest, written
 from loomline.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
-#: A pattern is taken up if so many distinct seeds stand behind it and its score reaches the bound.
+#: A pattern is taken up if so many distinct known instances stand behind it and its score reaches the bound.
 LEAST_SEEDS = 5
 LEAST_SCORE = 0.8
-ROUNDS = 3
+#: What an unknown instance counts against a pattern, where a known one counts up to 1 for it.
+UNKNOWN_WEIGHT = 0.05
+#: Digits that a run of groups has at most to be one identifier; longer ones are lists of numbers.
+MOST_RUN_DIGITS = 32
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -77,6 +81,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 _DIGIT = re.compile(r"[0-9]+|@")
+#: Groups of digits over several words, as people write numbers.
+_RUN = re.compile(
+    r"""(?<![^\s"'(\[{<:=,;+])\(?[0-9]++(?![\w@])(?:[\x20().-]{1,3}+[0-9]++(?![\w@]))++""")
 
 
 def _shape(instance: str) -> str:
@@ -84,6 +91,11 @@ def _shape(instance: str) -> str:
     return re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "9", instance)))[:40]
 
 
+def _name(instance: str) -> str:
+    """What an instance is joined by: long ones go by their hash."""
+    return instance if len(instance) <= 64 else hashlib.sha256(instance.encode("utf-8", "replace")).hexdigest()
+
+
 def _context(text: str, start: int) -> str | None:
     """The two words before a position, lower-cased, digits as 9; None without a word before."""
     left = text[max(0, start - 120):start]
@@ -97,8 +109,8 @@ def _context(text: str, start: int) -> str | None:
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     """Seeds, and other tokens that hold a digit or an @, each with the words before it.
 
-    A token is cut at white space and freed from punctuation around it. Tokens that meet a base
-    span and those with fewer than six characters or four digits (without an @) are left out.
+    A token is cut at white space and freed from punctuation around it; groups of digits joined by
+    spaces, dots, hyphens or brackets are one token. Those that meet a base span are left out.
     """
     out = []
     for start, kind, end in base:
@@ -106,29 +118,41 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
         if context:
             out.append((start, end, KINDS[kind], context, text[start:end].lower(), True))
     taken, i, done = sorted((a, b) for a, _, b in base), 0, -1
-    for m in _DIGIT.finditer(text):
-        if m.start() < done:
-            continue
-        start = m.start()
-        while start > 0 and text[start - 1] not in _SPACE and start > done:
-            start -= 1
-        word = _WORD.match(text, start)
-        done = word.end()
-        token = word.group()
-        lead = len(token) - len(token.lstrip("\"'([{<.,:;!?+="))
-        body = token[lead:].rstrip("\"')]}>.,:;!?=")
-        start, end = start + lead, start + lead + len(body)
-        if len(body) < 6 or len(body) > 64 or not ("@" in body or sum("0" <= c <= "9" for c in body) >= 4):
-            continue
+    runs = _RUN.finditer(text)
+    run = next(runs, None)
+
+    def free(start: int, end: int) -> bool:
+        nonlocal i
         while i < len(taken) and taken[i][1] <= start:
             i += 1
-        if any(a < end and start < b for a, b in taken[i:i + 4]):
+        return not any(a < end and start < b for a, b in taken[i:i + 4])
+
+    for m in _DIGIT.finditer(text):
+        if m.start() < done:
             continue
+        while run and run.end() <= m.start():
+            run = next(runs, None)
+        if run and done <= run.start() <= m.start() and " " in run.group() \
+                and len(_digits(run.group())) <= MOST_RUN_DIGITS and free(*run.span()):
+            start, end = run.span()
+            body, done = run.group(), end
+        else:
+            start = m.start()
+            while start > 0 and text[start - 1] not in _SPACE and start > done:
+                start -= 1
+            word = _WORD.match(text, start)
+            done = word.end()
+            token = word.group()
+            lead = len(token) - len(token.lstrip("\"'([{<.,:;!?+="))
+            body = token[lead:].rstrip("\"')]}>.,:;!?=")
+            start, end = start + lead, start + lead + len(body)
+            if not _DIGIT.search(body) or not free(start, end):
+                continue
         context = _context(text, start)
         if context:
             out.append((start, end, None, context, body.lower(), False))
     names = ("start", "end", "kind", "context", "instance", "seed")
-    return [dict(zip(names, x)) | {"shape": _shape(x[4])} for x in out]
+    return [dict(zip(names, x)) | {"instance": _name(x[4]), "shape": _shape(x[4][:4096])} for x in out]
 
 
 _OCCURRENCES = pa.list_(pa.struct([
@@ -167,41 +191,59 @@ def edges(found: DataFrame) -> DataFrame:
         F.max("seed").alias("seed"), F.max("kind").alias("kind"), F.count(F.lit(1)).alias("n"))
 
 
-def bootstrap(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Patterns with kind and score, from the graph's edges, for a fixed number of rounds.
+def bootstrap(graph: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """Patterns that are taken up, with kind and score, from the graph's edges.
 
-    Seeds have score 1, other instances 0 at first. A pattern's score is the mean of its distinct
-    instances' scores, damped by one unknown instance, and 0 with fewer than LEAST_SEEDS distinct
-    instances of score 1. An instance that is no seed has the mean score of its patterns. A context
-    that is seen with one kind of seed only gives that kind. Contexts alone are patterns too: shape
-    '' stands for any, so that identifiers of unseen shapes are found.
+    An instance is known if it is a seed (weight 1), or stands with a pattern that is taken up (weight:
+    the best such score), of one kind only. For a pattern only what another context made known counts, so
+    none confirms itself. A pattern's score is the weight of its known instances over that weight, one, and
+    UNKNOWN_WEIGHT for every other instance; it is taken up with LEAST_SEEDS known instances, all of one
+    kind, and ``least_score``. Every round looks at all patterns again, until one takes up no new pattern,
+    and so no new instance. What is taken up stays, so this ends. Contexts alone are patterns too:
+    shape '' stands for any, so that identifiers of unseen shapes are found.
     """
     either = graph.select(
         F.col("context"), F.explode(F.array(F.lit(""), F.col("shape"))).alias("shape"),
         "instance", "seed", "kind", "n")
     links = materialize(either.groupBy("context", "shape", "instance").agg(
         F.max("seed").alias("seed"), F.max("kind").alias("kind"), F.min("kind").alias("other_kind")))
-    # Only patterns with enough seeds can ever score; others can't lend an instance anything.
-    able = links.groupBy("context", "shape").agg(
-        F.count(F.when(F.col("seed"), 1)).alias("seeds"),
-        F.max("kind").alias("pattern_kind"), F.min("other_kind").alias("least_kind"),
-    ).filter((F.col("seeds") >= LEAST_SEEDS) & (F.col("pattern_kind") == F.col("least_kind")))
-    linked = materialize(links.join(able, ["context", "shape"]).select(
-        "context", "shape", "instance", "seed", "pattern_kind"))
-    scores = linked.select("instance", F.col("seed").cast("double").alias("score")) \
-        .groupBy("instance").agg(F.max("score").alias("score"))
-    patterns = None
-    for _ in range(rounds):
-        patterns = materialize(linked.join(scores, "instance").groupBy(
-            "context", "shape", "pattern_kind").agg(
-                (F.sum("score") / (F.count(F.lit(1)) + 1)).alias("score")))
-        scores = linked.join(patterns, ["context", "shape", "pattern_kind"]).groupBy("instance").agg(
-            F.max(F.when(F.col("seed"), 1.0)).alias("own"), F.avg("score").alias("mean")).select(
-            "instance", F.coalesce("own", "mean").alias("score"))
-    return patterns.withColumnRenamed("pattern_kind", "kind")
-
-
-def find(docs: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_SCORE) -> DataFrame:
+    known, taken, before = None, None, 0
+    while True:
+        seen = links.withColumns({
+            "most": F.col("kind"), "least": F.col("other_kind"),
+            "weight": F.when(F.col("seed"), 1.0)})
+        if known is not None:
+            elsewhere = ~F.col("seed") & ((F.col("first") != F.col("context")) | (F.col("last") != F.col("context")))
+            seen = links.join(known, "instance", "left").withColumns({
+                "most": F.coalesce("kind", F.when(elsewhere, F.col("known_kind"))),
+                "least": F.coalesce("other_kind", F.when(elsewhere, F.col("known_kind"))),
+                "weight": F.when(F.col("seed"), 1.0).when(elsewhere, F.col("known_weight"))})
+        rated = seen.groupBy("context", "shape").agg(
+            F.count("weight").alias("n_known"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("sum"),
+            F.count(F.lit(1)).alias("n"), F.max("most").alias("new_kind"), F.min("least").alias("least_kind"),
+        ).filter((F.col("n_known") >= LEAST_SEEDS) & (F.col("new_kind") == F.col("least_kind"))).select(
+            "context", "shape", "new_kind",
+            (F.col("sum") / (F.col("sum") + 1 + UNKNOWN_WEIGHT * (F.col("n") - F.col("n_known")))).alias("new_score"),
+        ).filter(F.col("new_score") >= least_score)
+        if taken is None:
+            taken = rated.select("context", "shape", F.col("new_kind").alias("kind"), F.col("new_score").alias("score"))
+        else:
+            taken = taken.join(rated, ["context", "shape"], "full").select(
+                "context", "shape", F.coalesce("kind", "new_kind").alias("kind"),
+                F.coalesce("score", "new_score").alias("score"))
+        taken = materialize(taken)
+        n = taken.count()
+        if n == before:
+            return taken
+        before = n
+        known = materialize(links.filter(~F.col("seed")).select("context", "shape", "instance").join(
+            taken, ["context", "shape"]).groupBy("instance").agg(
+                F.max("kind").alias("known_kind"), F.min("kind").alias("other"), F.max("score").alias("known_weight"),
+                F.min("context").alias("first"), F.max("context").alias("last"),
+            ).filter("known_kind = other").drop("other"))
+
+
+def find(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """Personal data of every whole text: doc_id, base and spans (arrays of kind, start, end).
 
     Positions are code points; both arrays are sorted by start, then by the kinds' order. base are
@@ -213,7 +255,7 @@ def find(docs: DataFrame, rounds: int = ROUNDS, least_score: float = LEAST_SCORE
     discovered tokens meet by joins on the context, which are as small as the tokens are rare.
     """
     seen = written(read(docs).select(F.monotonically_increasing_id().alias("row"), "*"), "pii")
-    patterns = bootstrap(edges(seen), rounds).filter(F.col("score") >= least_score)
+    patterns = bootstrap(edges(seen), least_score)
     tokens = seen.select("row", F.explode("occurrences").alias("o")).filter("not o.seed").select(
         "row", "o.context", F.explode(F.array(F.lit(""), F.col("o.shape"))).alias("shape"),
         "o.start", "o.end")

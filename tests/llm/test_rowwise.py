@@ -81,6 +81,35 @@ def test_pii_discovers_unseen_identifiers_behind_known_contexts(spark):
     assert all(not got[i].spans for i in range(32, len(tried)))
 
 
+def test_pii_discoveries_lead_to_new_patterns(spark):
+    """Contexts without a seed are learned from what another context discovered, in several steps."""
+    mails = [f"please write to user{i}@mail{i}.example.org today" for i in range(60)]
+    first = [f"please write to user{i}(at)home{i} today" for i in range(8)]
+    second = [f"her account is user{i}(at)home{i} there" for i in range(8)] + [
+        f"her account is other{i}(at)work{i} there" for i in range(8)]
+    third = [f"known here as other{i}(at)work{i} only" for i in range(8)] + ["known here as last(at)place1 only"]
+    clean = [f"the order number {10**6 + i} was sent" for i in range(30)]
+    got = [r.spans for r in sorted(pii.find(frame(spark, mails + first + second + third + clean)).collect(),
+                                   key=lambda r: r.doc_id)]
+    assert all(len(x) == 1 and x[0]["kind"] == "email" for x in got[:-30]) and not any(got[-30:])
+
+
+@pytest.mark.parametrize("seeds, unseen, found", [(5, 5, True), (100, 150, True), (300, 900, True), (6, 400, False)])
+def test_pii_score_of_unseen_instances(spark, seeds, unseen, found):
+    tried = [f"please write to u{i}@m{i}.example.org today" for i in range(seeds)]
+    tried += [f"please write to u{i}(at)m{i} today" for i in range(unseen)]
+    got = pii.find(frame(spark, tried)).filter("size(spans) > 0").count()
+    assert got == seeds + unseen * found
+
+
+def test_pii_instances_of_any_length_and_of_digit_groups(spark):
+    tried = [f"call me at +49 30 {1000000 + i} today" for i in range(40)]
+    unseen = ["(030) 123 45 67", "030.123 4567", "a1", "x" * 100 + "9"]
+    tried += [f"call me at {x} today" for x in unseen]
+    got = {r.doc_id: plain(r.spans) for r in pii.find(frame(spark, tried)).collect()}
+    assert [got[40 + i] for i in range(len(unseen))] == [[("phone", 11, 11 + len(x))] for x in unseen]
+
+
 def test_secret_base_is_the_patterns(spark, texts):
     tried = random_texts(["token", "Secret", "api_key", "APIKEY", "password", "=", ":", " ", '"', "'", "AKIA", "Z9",
                           "0a", "deadbeef", "x", ".", "token=api:", "K"]) + list(texts.values())
