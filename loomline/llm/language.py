@@ -20,10 +20,13 @@ SAMPLE_PER_LANGUAGE = 600
 BUCKETS, DIMENSIONS = 1 << 15, 16
 ORDERS = (2, 3, 4)
 EPOCHS, RATE = 12, 0.5
-#: A text is rejected if its calibrated score is one that at most this share of right calibration texts fall below.
+#: A text is rejected if at most this share of right calibration texts have so low a score, or so many n-grams that
+#: were never learned from.
 REJECTED_SHARE = 0.001
-#: ... and that is below so many times the score of a guess: short or mixed texts of known languages stay.
-LITTLE = 1.25
+#: So many more calibration texts are assumed with score 0 and nothing learned: few texts are no ground for rejection.
+ASSUMED = 5
+#: Bits of the table of learned n-grams (of four bytes), and n-grams that every text is given: short texts stay.
+SEEN_BITS, GIVEN = 20, 8
 _MIX = np.uint32(0x9E3779B1)
 _STEPS = tuple(np.uint32(x) for x in (0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1))
 
@@ -49,6 +52,26 @@ def subword_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return out, starts, starts + lengths
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*b"abcdefghijklmnopqrstuvwxyz '", *range(128, 256)]] = True
+
+
+def letter_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the four bytes from each byte of the lower-cased texts on, whether they are letters and single
+    spaces only, and where each text begins and ends."""
+    lower = pc.utf8_lower(pc.fill_null(texts, "")).cast(pa.large_binary())
+    lengths = pc.binary_length(lower).to_numpy(zero_copy_only=False).astype(np.int64)
+    raw = np.frombuffer(b"    ".join([*lower.to_pylist(), b"    "]), np.uint8)
+    starts = np.concatenate([[0], np.cumsum(lengths + 4)])[:-1].astype(np.int64)
+    n = len(raw) - 4
+    hashed, letters = np.zeros(n, np.uint32), (raw[:n] != 32) | (raw[1:n + 1] != 32)
+    for k in range(4):
+        hashed = (hashed ^ (raw[k:k + n].astype(np.uint32) + np.uint32(1)) * _STEPS[k]) * _MIX
+        hashed ^= hashed >> np.uint32(15)
+        letters &= _LETTER[raw[k:k + n]]
+    return (hashed * _MIX) >> np.uint32(32 - SEEN_BITS), letters, starts, starts + lengths
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -56,6 +79,18 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    seen: np.ndarray | None = None  # by hash: whether the n-gram was learned from
+    strangest: float = 1.0
+
+    def strange(self, texts: pa.Array) -> np.ndarray:
+        """Share of a text's n-grams of letters that were never learned from."""
+        if self.seen is None or not len(texts):
+            return np.zeros(len(texts))
+        hashed, letters, starts, ends = letter_grams(texts)
+        spans = np.column_stack([starts, ends]).ravel()
+        count = lambda x: np.where(
+            ends > starts, np.add.reduceat(np.append(x, False).astype(np.int64), spans)[::2], 0)
+        return count(letters & ~self.seen[hashed]) / (count(letters) + GIVEN)
 
     def logits(self, texts: pa.Array) -> np.ndarray:
         """Mean over a text's subwords of embedding times weights, plus bias."""
@@ -85,9 +120,10 @@ def softmax(x: np.ndarray) -> np.ndarray:
 def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOCHS) -> Model:
     """Stochastic gradient descent; every fifth text calibrates and isn't learned from.
 
-    The temperature (1 at least) minimises the log loss of the calibration texts, the threshold is the score
-    that REJECTED_SHARE of those predicted rightly fall below, LITTLE above chance at most. Without rows there are
-    no labels and every text is rejected.
+    The temperature (1 at least) minimises the log loss of the calibration texts. REJECTED_SHARE of those
+    predicted rightly fall below the threshold, and as many have a greater share of n-grams that were never
+    learned from than the bound for it; both give way by ASSUMED texts. Without rows there are no labels and
+    every text is rejected.
     """
     names = sorted(set(labels))
     rng = np.random.default_rng(seed)
@@ -125,9 +161,16 @@ def train(texts: list[str], labels: list[str], seed: int = 7, epochs: int = EPOC
               for t in np.geomspace(1, 20, 40)}
     model.temperature = float(min(losses, key=losses.get))
     p = softmax(z / model.temperature)
-    right = p.max(1)[p.argmax(1) == own]
-    chance = LITTLE / len(names)
-    model.threshold = float(min(chance, np.quantile(right, REJECTED_SHARE))) if len(right) else chance
+    model.seen = np.zeros(1 << SEEN_BITS, bool)
+    for i in learned:
+        hashed, letters, _, _ = letter_grams(pa.array([texts[i]], pa.string()))
+        model.seen[hashed[letters]] = True
+    right = np.flatnonzero(p.argmax(1) == own)
+    if calibrates.any() and len(right):
+        strange = np.array([model.strange(pa.array([texts[checked[i]]], pa.string()))[0] for i in right])
+        sure = len(right) / (len(right) + ASSUMED)
+        model.threshold = float(np.quantile(p.max(1)[right], REJECTED_SHARE)) * sure
+        model.strangest = float(np.quantile(strange, 1 - REJECTED_SHARE)) * sure + 1 - sure
     return model
 
 
@@ -166,8 +209,8 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
 
 
 def identified(docs: DataFrame, text: str, model: Model) -> Column:
-    """Struct (lang_pred, score, rejected) of a text column. The model, at most BUCKETS x labels numbers,
-    goes to every task."""
+    """Struct (lang_pred, score, rejected) of a text column. The model, at most BUCKETS x labels numbers
+    and a table of 2^SEEN_BITS bytes, goes to every task."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     bound_batches(docs.sparkSession)
 
@@ -175,17 +218,20 @@ def identified(docs: DataFrame, text: str, model: Model) -> Column:
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("rejected", T.BooleanType())]))
     def predict(texts: pa.Array, letters: pa.Array) -> pa.Array:
-        learned, names, scores = shared.value, [], []
+        learned, names, scores, strange = shared.value, [], [], []
         batch = pa.RecordBatch.from_arrays([texts], ["text"])
         for piece in slices(iter([batch]), 1 << 20):
             found, score = learned.predict(piece.column("text"))
             names += found
             scores.append(score)
+            strange.append(learned.strange(piece.column("text")))
         some = letters.to_numpy(zero_copy_only=False).astype(bool)
         score = np.where(some, np.clip(np.concatenate([np.zeros(0), *scores]), 0, 1), 0.0)
         return pa.StructArray.from_arrays([
             pa.array([x if ok else UNKNOWN for x, ok in zip(names, some)], pa.string()),
-            pa.array(score, pa.float64()), pa.array(~some | (score < learned.threshold), pa.bool_()),
+            pa.array(score, pa.float64()), pa.array(
+                ~some | (score < learned.threshold)
+                | (np.concatenate([np.zeros(0), *strange]) > learned.strangest), pa.bool_()),
         ], ["lang_pred", "score", "rejected"])
 
     column = F.col(text)
@@ -196,7 +242,8 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score (0 to 1) and rejected of every whole text.
 
     A text that is null or has no letter is ``und`` with score 0 and rejected. A text whose
-    calibrated score is below the model's threshold keeps its language but is rejected. Only the
+    calibrated score is below the model's threshold, or with too many n-grams that the model never
+    learned from, keeps its language but is rejected. Only the
     text goes into a prediction. Rows stay as they are; repeated and empty input is no special
     case.
     """

@@ -152,6 +152,19 @@ def test_language_held_out_accuracy_and_inputs(spark):
     assert all(0 <= r.score <= 1 for r in found) and sum(r.rejected for r in found) < 5
 
 
+def test_language_rejects_what_was_not_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(4)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(200)) for _ in range(100)]
+    for left_out in ("fr", "de"):
+        model = language.fit(docs.filter(f"lang != '{left_out}'"))
+        got = language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+        unlearned = [r.rejected for r in got if r.lang == left_out]
+        learned = [r.rejected for r in got if r.lang != left_out]
+        assert np.mean(unlearned) > 0.9 and np.mean(learned) < 0.01
+        assert language.identify(frame(spark, noise), model).filter("rejected").count() == 100
+
+
 def test_language_without_letters_or_training(spark, odd, nothing):
     got = {(r.doc_id, r.lang_pred, r.rejected) for r in language.identify(odd).collect()}
     assert {(1, "und", True), (2, "und", True), (3, "und", True), (7, "und", True)} <= got
