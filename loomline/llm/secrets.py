@@ -14,8 +14,12 @@ ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
           r"([A-Za-z0-9+/_.=-]+)")
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-#: Tokens that the randomness tests look at, if they hold a digit and a letter.
+#: Tokens that the randomness tests look at, if WORTH fits, and what stands in them between the separators of either
+#: encoding or both: a key in a path, or behind a name, is tested alone too.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+PARTS = {"url": r"[A-Za-z0-9_-]{20,}={0,2}", "std": r"[A-Za-z0-9+/]{20,}={0,2}", "bare": r"[A-Za-z0-9]{20,}={0,2}"}
+#: A digit and a letter, or letters of both cases as no word has them: five small and five capital ones.
+WORTH = r"^(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])|^(?=(?:[^a-z]*[a-z]){5})(?=(?:[^A-Z]*[A-Z]){5})"
 MASK = "[SECRET]"
 KINDS = ["assign", "access", "hex", "random"]
 #: Alphabets by encoding; the first that holds all characters of a token is inferred.
@@ -28,6 +32,7 @@ ALPHABETS = {
     "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
 #: Share of wrong rejections among the tokens that are rejected as not random.
 FALSE_DISCOVERIES = 0.01
@@ -178,16 +183,17 @@ def cut_offs(tested: DataFrame, level: float = FALSE_DISCOVERIES) -> dict[str, f
 def _scan(rows: DataFrame, level: float, drop: tuple[str, ...] = ()) -> DataFrame:
     """The columns of ``rows`` (text among them, not null) with base and spans."""
     carried = rows.columns
-    number = F.col("text").rlike("[0-9]")
+    token = F.col("text").rlike(TOKEN)
+    divided = token & F.col("text").rlike("[+/_-]")
     found = find_all(rows, {
         "assign": (ASSIGN, F.col("text").rlike("[:=]")),
         "access": (ACCESS, F.contains("text", F.lit("AKIA"))),
         "hex": (HEX, F.lit(True)),
-        "random": (TOKEN, number)})
+        "random": (TOKEN, token)} | {k: (p, divided) for k, p in PARTS.items()})
     kept = {
         "assign": lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 1)) >= 12,
         "access": lambda s: F.lit(True), "hex": lambda s: F.lit(True),
-        "random": lambda s: s["match"].rlike("[0-9]") & s["match"].rlike("[A-Za-z]"),
+        "random": lambda s: s["match"].rlike(WORTH),
     }
     named = lambda k: lambda s: F.struct(
         s["start"].alias("start"), F.lit(KINDS.index(k)).alias("place"), s["end"].alias("end"),
@@ -195,7 +201,7 @@ def _scan(rows: DataFrame, level: float, drop: tuple[str, ...] = ()) -> DataFram
     sorted_ = found.select(
         *carried,
         F.array_sort(F.concat(*[F.transform(F.filter(k, kept[k]), named(k)) for k in KINDS[:3]])).alias("base"),
-        F.filter("random", kept["random"]).alias("random"))
+        F.filter(F.array_distinct(F.concat("random", *PARTS)), kept["random"]).alias("random"))
     free = sorted_.select(*carried, "base", F.filter("random", lambda r: ~F.exists(
         "base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))).alias("random"))
     tested = written(free.select(*[c for c in carried if c not in drop], "base", F.filter(
@@ -210,9 +216,12 @@ def _scan(rows: DataFrame, level: float, drop: tuple[str, ...] = ()) -> DataFram
         rejected), rejected)
     strip = lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
-    added = F.transform(F.filter("random", stands), lambda r: F.struct(*[
+    # of tokens in one another only the longest
+    longest = lambda r: ~F.exists("standing", lambda o: (
+        o["start"] <= r["start"]) & (r["end"] <= o["end"]) & (o["end"] - o["start"] > r["end"] - r["start"]))
+    added = F.transform(F.filter("standing", longest), lambda r: F.struct(*[
         r[c].alias(c) for c in ("start", "place", "end", "kind")]))
-    return tested.select(
+    return tested.withColumn("standing", F.filter("random", stands)).select(
         *[c for c in carried if c not in drop], F.transform("base", strip).alias("base"),
         F.transform(F.array_sort(F.concat("base", added)), strip).alias("spans"))
 
@@ -222,7 +231,7 @@ def scan(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
 
     Columns: doc_id, base and spans (arrays of kind, start, end; positions in code points, sorted
     by start, then kind). base has the kinds assign, access and hex; spans has also ``random``: long
-    tokens with a digit and a letter that the battery does not reject and no base span meets.
+    tokens, or parts of them, that fit WORTH, that the battery does not reject and no base span meets.
     Rows stay as they are, repeated ones and those without doc_id too; no texts are in the result.
     An empty table gives an empty table.
     """

@@ -136,6 +136,21 @@ def test_random_tokens_are_told_from_words(spark):
     assert not any(got[i] for i in range(60, 140))
 
 
+def test_random_parts_of_mixed_tokens_and_keys_without_a_digit(spark):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    tried = [f"x /v1/api-keys/{key(letters + '0123456789', 40)} y" for _ in range(60)]
+    tried += [f"x {key(letters, 24)} y" for _ in range(40)]
+    words = [f"x /static/pages-of-the-site/the-{i}-same-old-name-of-documents/index y" for i in range(60)]
+    words += ["x Donaudampfschifffahrtsgesellschaft y", "x internationalisation/standardisation y"]
+    got = {r.doc_id: plain(r.spans) for r in secrets.scan(frame(spark, tried + words)).collect()}
+    covered = [any(a <= t.rindex("/") + 1 and b >= len(t) - 2 for _, a, b in got[i]) for i, t in enumerate(tried[:60])]
+    assert sum(covered) >= 57
+    assert sum(got[60 + i] == [("random", 2, 26)] for i in range(40)) >= 37
+    assert sum(bool(got[100 + i]) for i in range(len(words))) <= 3
+
+
 def test_redaction_keeps_rows_and_columns(spark, odd):
     got = secrets.redact(odd)
     assert got.columns == odd.columns and got.count() == odd.count()
