@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from loomline.llm import bpe, embeddings, html, language, mixing, ngram_lm, pii, quality, secrets, set_join
+from loomline.llm import (
+    bpe, embeddings, html, language, mixing, ngram_lm, pii, quality, search, secrets, set_join,
+)
 
 
 def queries() -> dict:
@@ -10,10 +12,10 @@ def queries() -> dict:
         pii.op1_pii, html.op2_html_text, secrets.op3_secret_scan, language.op4_language_id,
         mixing.op5_mix_sources, bpe.op6_byte_bpe, ngram_lm.op7_ngram_lm, set_join.op8_ngram_jaccard,
         embeddings.op9_embedding_dedup,
-        quality.op10_quality_rules,
+        quality.op10_quality_rules, search.op11_ranked_search,
     ]
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": mixing.OP5_SQL}
+    return {"op5_mix_sources": mixing.OP5_SQL, "op11_ranked_search": search.OP11_SQL}
