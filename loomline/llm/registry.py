@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from loomline.llm import (
-    bpe, embeddings, html, language, mixing, ngram_lm, pii, quality, search, secrets, set_join,
+    bpe, embeddings, html, language, mixing, ngram_lm, pii, prefix_trie, quality, search, secrets, set_join,
 )
 
 
@@ -12,10 +12,11 @@ def queries() -> dict:
         pii.op1_pii, html.op2_html_text, secrets.op3_secret_scan, language.op4_language_id,
         mixing.op5_mix_sources, bpe.op6_byte_bpe, ngram_lm.op7_ngram_lm, set_join.op8_ngram_jaccard,
         embeddings.op9_embedding_dedup,
-        quality.op10_quality_rules, search.op11_ranked_search,
+        quality.op10_quality_rules, search.op11_ranked_search, prefix_trie.op12_prefix_trie,
     ]
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": mixing.OP5_SQL, "op11_ranked_search": search.OP11_SQL}
+    return {"op5_mix_sources": mixing.OP5_SQL, "op11_ranked_search": search.OP11_SQL,
+            "op12_prefix_trie": prefix_trie.OP12_SQL}
