@@ -16,7 +16,7 @@ from loomline.llm.common import in_batches, only, parts, table, word_list, writt
 FAMILY = 20
 LONGEST_HEAD = 3
 #: Turns of the conversations that one task sorts and searches.
-TASK_TURNS = 200_000
+TASK_TURNS = 50_000
 #: Bytes of a turn in the sort key, and conversations whose ids travel as one piece.
 DIGEST = 16
 ENDS_PIECE = 65_536

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from loomline.llm import (
-    bpe, embeddings, html, language, mixing, ngram_lm, pii, prefix_trie, quality, search, secrets, set_join,
+    bpe, embeddings, html, language, mixing, ngram_lm, packing, pii, prefix_trie, quality, search, secrets, set_join,
 )
 
 
@@ -13,6 +13,7 @@ def queries() -> dict:
         mixing.op5_mix_sources, bpe.op6_byte_bpe, ngram_lm.op7_ngram_lm, set_join.op8_ngram_jaccard,
         embeddings.op9_embedding_dedup,
         quality.op10_quality_rules, search.op11_ranked_search, prefix_trie.op12_prefix_trie,
+        packing.op13_packing,
     ]
     return {q.__name__: q for q in found}
 
