@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import json
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ TIERS = (256, 512, 1024, 2048)
 #: Tokens (with padding) of a training step.
 STEP_TOKENS = 1 << 16
 #: Bytes of text (and rows) whose pieces one task packs.
-CELL_BYTES = 16 << 20
+CELL_BYTES = 4 << 20
 #: Words that a worker remembers, in each of two generations, and the longest of them in bytes.
 MEMORY = 400_000
 LONGEST_WORD = 64
@@ -55,9 +56,12 @@ class WordEncoder(dict):
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         self.older: dict[bytes, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.code = self.kind[1:].replace("u2", "H").replace("u4", "I")
+        self.tokenize = self.tokenizer.model.tokenize
         self.by_word = self._by_word(rules)
-        self.added = [t["content"] for t in rules.get("added_tokens", ())]
+        #: First characters of added tokens: words with one are left to the library.
+        self.openings = sorted({t["content"][0] for t in rules.get("added_tokens", ())})
         # Characters that no normalisation changes but lower-casing, the same in Unicode and here.
         self.simple = regex.compile("[!-~À-į]+").fullmatch
         self.split = regex.compile(SPLIT).findall
@@ -77,24 +81,30 @@ class WordEncoder(dict):
     def __missing__(self, word: bytes) -> bytes:
         found = self.older.get(word)
         if found is None:
-            found = np.array(self._ids(word.decode()), self.kind).tobytes()
+            found = self._ids(word.decode())
         if len(word) <= LONGEST_WORD:
             self[word] = found
         return found
 
-    def _ids(self, word: str) -> list[int]:
-        if not self.simple(word) or any(a in word for a in self.added):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        out: list[int] = []
-        for piece in self.split(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = [t.id for t in self.tokenizer.model.tokenize("".join(map(
-                    self.letters.__getitem__, piece.encode())))]
-                if len(piece) <= LONGEST_WORD:
-                    self.pieces[piece] = ids
-            out += ids
-        return out
+    def _ids(self, word: str) -> bytes:
+        plain = word.isascii() and word.isprintable() or self.simple(word)
+        if not plain or any(map(word.__contains__, self.openings)):
+            return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        word = word.lower()
+        if word.isalpha():
+            return self._piece(word)
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():  # what the pattern finds, without its cost
+            return self._piece(word[:-1]) + self._piece(word[-1])
+        return b"".join(map(self._piece, self.split(word)))
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            letters = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+            found = array(self.code, [t.id for t in self.tokenize(letters)]).tobytes()
+            if len(piece) <= LONGEST_WORD:
+                self.pieces[piece] = found
+        return found
 
     def encode(self, text: bytes) -> np.ndarray:
         """Ids of a whole text, as the tokenizer without special tokens at its ends gives them."""
@@ -103,6 +113,7 @@ class WordEncoder(dict):
         if len(self) > MEMORY:
             self.older = dict(self)
             self.clear()
+        if len(self.pieces) > MEMORY:
             self.pieces.clear()
         return np.frombuffer(b"".join(map(self.__getitem__, text.split())), self.kind)
 
