@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from array import array
 from collections.abc import Iterator
@@ -10,16 +11,24 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm.common import bound_batches, in_batches, only, slices
+from loomline.llm.unit_memory import STEP, Memory, gather, hashes, unit_starts
 
-#: Pre-tokens that a worker keeps encoded, and a share of it words; a full memory is emptied, so
-#: it is bounded and only saves time.
-MEMORY = 600_000
+#: Pre-tokens, and units of text with their ids, that a worker remembers in each of two
+#: generations: a full memory becomes the older one, so it is bounded and only saves time.
+PIECES = 300_000
+UNITS, UNIT_IDS = 2_000_000, 16_000_000
+#: Signs that end many words.
+ENDS = tuple(".,;:!?")
+# Fixed value: the pattern of which no match crosses a space between other characters than white space.
+BY_WORD = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 
 class PerfectHash:
@@ -83,35 +92,45 @@ class Bpe:
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes")
         self.split = regex.compile(pattern).findall
+        self.by_word = pattern == BY_WORD
         self.tokens = list(ranks)
         self.ids = list(ranks.values())
         self.whole = PerfectHash(self.tokens)
-        self.bytes_of = {i: t for t, i in ranks.items()}
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
         self.width = 1 << int(max(ranks.values())).bit_length()
-        #: (left id, right id) as one number -> id of both together
+        #: Bytes of all tokens by id, and where each ends; ids without a token have none.
+        by_id = [b""] * (max(ranks.values()) + 1)
+        for t, i in ranks.items():
+            by_id[i] = t
+        self.token_bytes = np.frombuffer(b"".join(by_id), np.uint8)
+        self.token_ends = np.concatenate([[0], np.cumsum([len(t) for t in by_id])])
+        self.digits_of = [str(i) for i in range(len(by_id))]
+        #: (left id, right id) as one number -> id of both together; also by two bytes
         self.merged = {
             ranks[t[:k]] * self.width + ranks[t[k:]]: i
             for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
+        self.first = [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes | None] = {}
+        self.older_pieces: dict[str, bytes] = {}
+        self.memory, self.older = Memory("i4"), Memory("i4")
 
     def merge(self, piece: bytes) -> list[int]:
         """Join the leftmost pair of lowest rank, again and again: a heap over a linked list.
 
-        A heap entry is rank * n + place of the left part; it holds as long as ``pair`` at that
-        place still has the rank.
+        A heap entry is the rank above the place of the left part; it holds as long as ``pair`` at
+        that place still has the rank.
         """
+        n, find, width, first = len(piece), self.merged.get, self.width, self.first
         ids = list(map(self.byte_ids.__getitem__, piece))
-        n, find, width = len(ids), self.merged.get, self.width
-        pair = [find(a * width + b, -1) for a, b in zip(ids, ids[1:])]
+        pair = [first[a << 8 | b] for a, b in zip(piece, piece[1:])]
         pair.append(-1)
-        heap = [r * n + i for i, r in enumerate(pair) if r >= 0]
+        heap = [r << 32 | i for i, r in enumerate(pair) if r >= 0]
         heapq.heapify(heap)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         pop, push = heapq.heappop, heapq.heappush
         while heap:
-            rank, i = divmod(pop(heap), n)
+            entry = pop(heap)
+            i, rank = entry & 0xFFFFFFFF, entry >> 32
             if pair[i] != rank:
                 continue  # joined with another part meanwhile
             j = after[i]
@@ -121,91 +140,134 @@ class Bpe:
                 before[k] = i
                 pair[i] = r = find(rank * width + ids[k], -1)
                 if r >= 0:
-                    push(heap, r * n + i)
+                    push(heap, r << 32 | i)
             else:
                 pair[i] = -1
             h = before[i]
             if h >= 0:
                 pair[h] = r = find(ids[h] * width + rank, -1)
                 if r >= 0:
-                    push(heap, r * n + h)
+                    push(heap, r << 32 | h)
         return [x for x in ids if x >= 0]
 
     def learn(self, pieces: set[str]) -> None:
         """Encode pre-tokens that the memory lacks: all at once by the hash, the rest by merging."""
-        new = list(pieces)
+        new = [p for p in pieces if p not in self.pieces]
+        if len(self.pieces) + len(new) > PIECES:  # all of these must stand in the younger generation
+            self.older_pieces, self.pieces, new = self.pieces, {}, list(pieces)
+        known = self.older_pieces.keys() & new
+        self.pieces.update(zip(known, map(self.older_pieces.__getitem__, known)))
+        new = [p for p in new if p not in known]
         raw = [p.encode() for p in new]
-        numbers = self.whole.find(raw).tolist()
-        ids = self.ids
-        for p, b, k in zip(new, raw, numbers):
-            found = [ids[k]] if self.tokens[k] == b else self.merge(b)
+        ids, tokens = self.ids, self.tokens
+        for p, b, k in zip(new, raw, self.whole.find(raw).tolist() if raw else ()):
+            found = [ids[k]] if tokens[k] == b else self.merge(b)
             self.pieces[p] = array("i", found).tobytes()
 
-    def _encoded(self, text: str) -> bytes:
-        """Ids of a text as 32-bit numbers, without the memory of words."""
-        pieces = self.split(text)
-        if unknown := set(pieces).difference(self.pieces):
-            self.learn(unknown)
-        return b"".join(map(self.pieces.__getitem__, pieces))
-
-    def _learn_words(self, words: set[str]) -> None:
-        """Words between single spaces are split alone: the pattern lets a match cross no such space.
-
-        That needs other characters than white space on both sides of the space. A word that is
-        empty or begins or ends with white space is marked with None.
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of pieces of text as 32-bit numbers; each is split by the pattern alone."""
+        split = []
+        for unit in units:
+            word = unit[1:] if unit[:1] == " " else unit
+            if word.isalpha():
+                split.append((unit,))
+            elif word[-1:] in ENDS and word[:-1].isalpha():  # what the pattern finds, without its cost
+                split.append((unit[:-1], unit[-1]))
+            else:
+                split.append(self.split(unit))
+        self.learn({p for s in split for p in s})
+        return [b"".join(map(self.pieces.__getitem__, s)) for s in split]
+
+    def _step(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number by unit: those in memory by hash, the others encoded and remembered."""
+        keys, checks = hashes(data, starts, ends)
+        unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        checked = checks[first]
+        if (checked[inverse] != checks).any():  # two units with one hash
+            coded = self.encode_units([data[a:b].tobytes().decode() for a, b in zip(starts, ends)])
+            return np.frombuffer(b"".join(coded), np.int32), np.array([len(c) // 4 for c in coded])
+        at, lengths, known = self.memory.find(unique, checked)
+        if len(self.memory.keys) + int((~known).sum()) > UNITS or self.memory.used > UNIT_IDS:
+            self.older, self.memory = self.memory, Memory("i4")
+            at, lengths, known = self.memory.find(unique, checked)
+        new = np.flatnonzero(~known)
+        if len(new):
+            old_at, old_lengths, old = self.older.find(unique[new], checked[new])
+            copied = gather(self.older.buffer, old_at[old], old_lengths[old].astype(np.int64))
+            learnt = new[~old]
+            coded = self.encode_units([data[a:b].tobytes().decode() for a, b in zip(
+                starts[first[learnt]].tolist(), ends[first[learnt]].tolist())])
+            new = np.concatenate([new[old], learnt])
+            lengths[new] = np.concatenate([old_lengths[old], np.array([len(c) // 4 for c in coded], np.int32)])
+            ids = np.concatenate([copied, np.frombuffer(b"".join(coded), np.int32)])
+            at[new] = self.memory.add(unique[new], checked[new], ids, lengths[new])
+        n = lengths[inverse].astype(np.int64)
+        return gather(self.memory.buffer, at[inverse], n), n
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and where each text ends (a 0 first).
+
+        Texts are cut into units at spaces that no match of the pattern crosses; with another
+        pattern a text is one unit.
         """
-        fine = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        split = [self.split(" " + w) for w in fine]
-        if unknown := {p for s in split for p in s}.difference(self.pieces):
-            self.learn(unknown)
-        for w, s in zip(fine, split):
-            self.words[w] = b"".join([self.pieces[p] for p in s])
-        for w in words.difference(fine):
-            self.words[w] = None
-
-    def encode(self, text: str) -> bytes:
-        if len(self.pieces) > MEMORY:
-            self.pieces.clear()
-        if len(self.words) > MEMORY * 2 // 3:
-            self.words.clear()
-        first, *words = text.split(" ")
-        if not words or not first or first[-1].isspace():
-            return self._encoded(text)
-        if unknown := set(words).difference(self.words):
-            self._learn_words(unknown)
-        try:
-            return self._encoded(first) + b"".join(map(self.words.__getitem__, words))
-        except TypeError:  # a word that is marked
-            return self._encoded(text)
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        raw = pc.fill_null(texts.cast(pa.large_binary()), b"")
+        offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+        body = raw.buffers()[2]
+        data = (np.frombuffer(body, np.uint8)[offsets[0]:offsets[-1]] if body is not None
+                else np.zeros(0, np.uint8))
+        offsets = offsets - offsets[0]
+        starts = unit_starts(data, offsets) if self.by_word else offsets[:-1][np.diff(offsets) > 0]
+        ends = np.append(starts[1:], len(data))[:len(starts)]
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        a = 0
+        while a < len(starts):
+            b = max(a + 1, int(np.searchsorted(ends, starts[a] + STEP, "right")))
+            begin = starts[a]
+            if ends[a] - begin > STEP:  # one very long unit
+                own = np.frombuffer(self.encode_units([data[begin:ends[a]].tobytes().decode()])[0], np.int32)
+                found = own, np.array([len(own)])
+            else:
+                found = self._step(data[begin:ends[b - 1]], starts[a:b] - begin, ends[a:b] - begin)
+            ids.append(found[0])
+            counts.append(found[1])
+            a = b
+        sums = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        return np.concatenate(ids), sums[np.searchsorted(starts, offsets)]
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of ids, one behind the other, and where each id's bytes end (a 0 first)."""
+        lengths = self.token_ends[ids + 1] - self.token_ends[ids]
+        if len(ids) and (ids.min() < 0 or not lengths.all()):
+            raise ValueError("ids that the vocabulary lacks")
+        return gather(self.token_bytes, self.token_ends[ids], lengths), np.concatenate([[0], np.cumsum(lengths)])
 
 
 @lru_cache(maxsize=2)
-def worker_bpe(path: str, pattern: str) -> Bpe:
-    """Built once per Python worker."""
+def loaded(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
 
 
+def shared(spark: SparkSession, path: str, pattern: str) -> Broadcast:
+    """Tables of a vocabulary for all workers, built once on the driver: their size is the vocabulary's."""
+    return spark.sparkContext.broadcast(loaded(path, pattern))
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ids (array of int) of every whole text; null and empty texts have no ids.
 
     Each match of ``pattern`` is encoded separately, without special tokens. Rows stay as they
-    are, also repeated ones and those without doc_id. No shuffle; ``path`` must be readable on the
-    workers. A text is encoded as a whole in one task.
+    are, also repeated ones and those without doc_id. No shuffle; the tables of the vocabulary are
+    broadcast. A text is encoded as a whole in one task.
     """
     rows = only(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
+    tables = shared(rows.sparkSession, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_bpe(path, pattern)
         for piece in slices(batches):
-            coded = [bpe.encode(t) if t else b"" for t in piece.column("text").to_pylist()]
-            ends = np.cumsum([0] + [len(c) // 4 for c in coded]).astype(np.int32)
-            ids = np.frombuffer(b"".join(coded), np.int32)
+            ids, ends = tables.value.encode(piece.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))],
+                [piece.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))],
                 ["doc_id", "ids"])
 
     return in_batches(rows, run, f"doc_id {kind}, ids array<int>")
@@ -214,22 +276,43 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """Add decoded (binary) to rows that have ids; null ids give null, unknown ones an error."""
     bound_batches(encoded.sparkSession)
+    tables = shared(encoded.sparkSession, path, pattern)
 
     @F.arrow_udf("binary")
     def decoded(column: pa.Array) -> pa.Array:
-        bpe = worker_bpe(path, pattern)
-        return pa.array([None if x is None else bpe.decode(x) for x in (
-            v.values.to_pylist() if v.is_valid else None for v in column)], pa.binary())
+        lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        data, ends = tables.value.decode(column.flatten().to_numpy())
+        ends = ends[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int64)
+        flat = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        return pc.if_else(column.is_valid(), flat, None).cast(pa.binary())
 
     return encoded.withColumn("decoded", decoded(F.col(ids)))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    both = decode(encode(docs, path, pattern), path, pattern)
-    return both.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens, and the SHA-256 of the ids and of the bytes that they decode to.
+
+    As ``encode`` and ``decode`` of its ids, in one step: the ids don't leave the task.
+    """
+    rows = only(docs, "doc_id", "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    tables = shared(rows.sparkSession, path, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = tables.value
+        digits = bpe.digits_of.__getitem__
+        for piece in slices(batches):
+            ids, ends = bpe.encode(piece.column("text"))
+            data, at = bpe.decode(ids)
+            of_ids, of_bytes = [], []
+            for a, b in zip(ends.tolist(), ends[1:].tolist()):
+                of_ids.append(hashlib.sha256(",".join(map(digits, ids[a:b].tolist())).encode()).hexdigest())
+                of_bytes.append(hashlib.sha256(data[at[a]:at[b]]).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), pa.array(np.diff(ends)), pa.array(of_ids, pa.string()),
+                 pa.array(of_bytes, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return in_batches(rows, run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def op6_byte_bpe(spark, sf_dir: str) -> DataFrame:

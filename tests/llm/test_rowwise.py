@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loomline.llm import bpe, html, language, pii, quality, secrets
@@ -223,10 +224,35 @@ def test_bpe_is_that_of_the_library(spark, texts, tiktoken_encoding):
 
 def test_bpe_with_a_small_memory(monkeypatch, texts, tiktoken_encoding):
     import public_tokenizers as P
-    monkeypatch.setattr(bpe, "MEMORY", 50)
+    for limit in ("PIECES", "UNITS", "UNIT_IDS"):
+        monkeypatch.setattr(bpe, limit, 50)
     coder = bpe.Bpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
-    for t in list(texts.values())[:40]:
-        assert np.frombuffer(coder.encode(t), np.int32).tolist() == tiktoken_encoding.encode_ordinary(t)
+    some = [None, "", *list(texts.values())[:40], ""]
+    for step in (1 << 20, 40):
+        monkeypatch.setattr(bpe, "STEP", step)
+        ids, ends = coder.encode(pa.array(["x", *some]).slice(1))
+        for t, a, b in zip(some, ends, ends[1:]):
+            assert ids[a:b].tolist() == tiktoken_encoding.encode_ordinary(t or "")
+
+
+def test_bpe_units_that_share_a_hash(monkeypatch, texts, tiktoken_encoding):
+    import public_tokenizers as P
+    real = bpe.hashes
+    coder = bpe.Bpe(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    monkeypatch.setattr(bpe, "hashes", lambda *a: [real(*a)[0] % np.uint64(5), real(*a)[1]])
+    for t in list(texts.values())[:20] + ["one", "two", "one two"]:
+        assert coder.encode(pa.array([t]))[0].tolist() == tiktoken_encoding.encode_ordinary(t)
+
+
+def test_bpe_with_another_pattern(tiktoken_encoding):
+    import public_tokenizers as P
+    import regex
+    coder = bpe.Bpe(P.path("byte_bpe_multi_50k.tiktoken"), r"[^e]+|e")
+    text = "the same  text over and over the same"
+    expected = [i for p in regex.findall(r"[^e]+|e", text) for i in coder.merge(p.encode())]
+    assert coder.encode(pa.array([text]))[0].tolist() == expected
+    with pytest.raises(ValueError):
+        coder.decode(np.array([-1]))
 
 
 def test_perfect_hash_is_minimal_and_perfect():
