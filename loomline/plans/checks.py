@@ -8,8 +8,11 @@ from loomline.plans.queries import (
     CODE_LANGUAGE,
     DATASET_LANGUAGE,
     FILE_NAMES,
+    PACKED_ROW,
     RUNS,
+    SAFE_SHARE,
     TOKENS_PER_STEP,
+    UNSAFE_SHARE,
     VAL_RATIO,
 )
 
@@ -618,6 +621,60 @@ select doc_id, count(*) as n_cited, count(found) as n_found,
   round(count(found) / count(*)::double, 9) as precision
 from cited left join there using (doc_id, fact) group by doc_id"""
 
+    # --- screens, retrieval, packing
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    terms = (f"regexp_extract_all(translate(coalesce(text, ''), {letters}), "
+             r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+    q["decontaminate_eval"] = f"""
+with dt as materialized (select row_number() over () as n, doc_id, {terms} as t from documents),
+it as (select item_id, {terms} as t from benchmark),
+grams as (
+  select distinct item_id, size, array_to_string(t[i:i + size - 1], ' ') as gram from (
+    select item_id, t, least(len(t), 13) as size, unnest(range(1, len(t) - least(len(t), 13) + 2)) as i
+    from it where len(t) >= 8)),
+places as (
+  select n, size, i, array_to_string(t[i:i + size - 1], ' ') as gram from (
+    select n, t, size, unnest(range(1, len(t) - size + 2)) as i
+    from dt, (select distinct size from grams) where len(t) >= size)),
+hits as (select n, i - 1 as start, size, item_id from places join grams using (size, gram)),
+covered as (select distinct n, start + unnest(range(size)) as w from hits),
+islands as (select n, min(w) as a, max(w) + 1 as b from (
+  select n, w, w - row_number() over (partition by n order by w) as g from covered) group by n, g),
+spans as (select n, sum(b - a)::bigint as n_covered, string_agg(a || ':' || b, ',' order by a) as spans
+  from islands group by n),
+shared as (select n, count(distinct item_id) as n_items from hits group by n)
+select doc_id, len(t) as n_words, coalesce(n_items, 0) as n_items, coalesce(n_covered, 0) as n_covered,
+  coalesce(spans, '') as spans, n_items is not null as contaminated
+from dt left join spans using (n) left join shared using (n)"""
+    q["safety_gate"] = f"""
+with docs as materialized (select row_number() over () as n, doc_id, text from documents),
+labelled as (select toxic, list_distinct({word_list('text')}) as w from documents join labels using (doc_id)),
+seen as (
+  select term, count(*) filter (toxic = 1) as n_unsafe, count(*) filter (toxic <> 1) as n_safe
+  from (select toxic, unnest(w) as term from labelled) group by term),
+terms as (
+  select term from seen where n_unsafe >= 5
+    and n_unsafe >= {UNSAFE_SHARE}::double * (select count(*) from labelled where toxic = 1)
+    and n_safe <= {SAFE_SHARE}::double * (n_unsafe + n_safe)),
+found as (
+  select n, count(*) as n_hits, count(distinct term) as n_terms, string_agg(distinct term, ',' order by term) as terms
+  from (select n, unnest({word_list('text')}) as term from docs)
+  semi join terms using (term) group by n)
+select doc_id, coalesce(n_hits, 0) as n_hits, coalesce(n_terms, 0) as n_terms,
+  case when n_terms >= 2 then 'reject' when n_terms = 1 then 'review' else 'pass' end as verdict,
+  coalesce(terms, '') as terms
+from docs left join found using (n)"""
+    q["vector_topk"] = """
+select query, rank::int as rank, id, cosine from (
+  select query, id, cosine, row_number() over (partition by query order by cosine desc, id) as rank from (
+    select a.vec_id as query, b.vec_id as id,
+      round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 9) as cosine
+    from embeddings a join embeddings b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id))
+where rank <= 10"""
+    q["pack_best_fit"] = f"""
+select doc_id, n as n_tokens, (n + {PACKED_ROW - 1}) // {PACKED_ROW} as n_pieces, true as gapless, true as fits
+from (select doc_id, octet_length(encode(coalesce(text, ''))) + 1 as n from documents)"""
+
     # --- streaming
     q["stream_shards"] = """
 select source, count(*) as n_rows,

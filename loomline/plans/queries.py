@@ -15,7 +15,9 @@ from loomline.functions import fixed_values as fv
 from loomline.functions.hashing import seeded_hash
 from loomline.functions.lookup import lookup
 from loomline.functions.tokenizers import BYTES
-from loomline.operators import caps, filters, records, sequence, stats, telemetry, tokens
+from loomline.operators import (
+    best_fit, caps, filters, records, retrieval, screening, sequence, stats, telemetry, tokens,
+)
 from loomline.plans import prepare
 from loomline.session import materialize, workspace, write_once
 from loomline.sources import samples, token_dataset, tree
@@ -712,6 +714,46 @@ def citation_precision(spark, d):
     return done.withColumn("precision", F.round("precision", 9))
 
 
+# --- screens, retrieval, packing, quality ----------------------------------------
+
+PACKED_ROW = 2048
+UNSAFE_SHARE, SAFE_SHARE = 0.05, 0.02
+
+
+def decontaminate_eval(spark, d):
+    return screening.decontaminate_eval(many_documents(spark, d), table(spark, d, "benchmark"))
+
+
+def safety_gate(spark, d):
+    """The terms are learnt from the labelled documents."""
+    terms = screening.unsafe_terms(documents(spark, d), table(spark, d, "labels"), UNSAFE_SHARE, SAFE_SHARE)
+    done = screening.safety_gate(many_documents(spark, d), [r.term for r in terms.select("term").collect()])
+    found = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["term"])))
+    return done.select("doc_id", "n_hits", "n_terms", "verdict", F.array_join(found, ",").alias("terms"))
+
+
+def vector_topk(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return retrieval.vector_topk(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+def pack_best_fit(spark, d):
+    """Bytes and an end token; per document what its pieces in the packed rows amount to."""
+    packed = best_fit.pack_best_fit(documents(spark, d), F.octet_length(F.coalesce("text", F.lit(""))) + 1, PACKED_ROW)
+    end = F.col("start") + F.col("length")
+    return packed.groupBy("doc_id").agg(
+        F.sum("length").alias("n_tokens"), F.count("*").alias("n_pieces"),
+        ((F.min("start") == 0) & (F.max(end) == F.sum("length"))).alias("gapless"),
+        (F.max(F.col("offset") + F.col("length")) <= PACKED_ROW).alias("fits"))
+
+
+def quality_model(spark, d):
+    from loomline.operators import quality_model as model
+
+    docs, labels = documents(spark, d), table(spark, d, "labels")
+    return model.quality_model(docs, model.fit_quality(docs, labels))
+
+
 # --- streaming ------------------------------------------------------------------
 
 
@@ -798,5 +840,9 @@ REGISTERED = [
     context_budget, assemble_rag_prompt, index_upsert_delete, eval_matrix, mix_by_ratio,
     flag_boilerplate, license_gate, rejection_sample, error_histogram, behavior_clusters,
     disagreement_select, citation_precision,
+    decontaminate_eval, safety_gate, vector_topk, pack_best_fit,
     stream_shards, stream_prepare, stream_cap_per_language, stream_run_metrics,
 ]
+
+#: Queries that SQL can't express: fitted models.
+MODELS = [quality_model]

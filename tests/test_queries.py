@@ -26,4 +26,5 @@ def test_entry(spark):
 
 def test_every_own_query_has_sql():
     assert {query.__name__ for query in registry.REGISTERED} == set(checks.sql())
+    assert {query.__name__ for query in registry.MODELS} <= set(contract.queries()) - set(checks.sql())
     assert set(contract.oracle_sql()) <= set(contract.queries())
