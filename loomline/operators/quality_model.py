@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.hashing import DEFAULT_SEED, unit_draw
 from loomline.functions.tokenizers import words
+from loomline.session import write_once
 
 BUCKETS = 1 << 12
 HIGHEST = 5
@@ -47,7 +48,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="t
     Gradients are summed over tasks in a tree; the driver holds BUCKETS weights.
     """
     known = labels.where(F.col(label_col).isNotNull()).select(id_col, F.col(label_col).cast("double").alias("_label"))
-    rows = features(docs.where(~held_out(id_col, seed=seed)).join(known, id_col), text_col).select("_words", *_FORM, "_label")
+    rows = features(docs.where(~held_out(id_col, seed=seed)).join(known, id_col), text_col)
+    rows = write_once(rows.select(F.array_distinct("_words").alias("_words"), *_FORM, "_label"), "quality-features")
     stages = [
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=BUCKETS, binary=True),
         VectorAssembler(inputCols=_FORM, outputCol="_form"),

@@ -123,7 +123,7 @@ def test_gate_verdicts(spark):
 
 
 def test_terms_learnt_from_labels_find_unlabelled_documents(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     train = labels.where("doc_id % 4 <> 2")
     terms_ = [r.term for r in screening.unsafe_terms(docs, train).collect()]
     assert 5 <= len(terms_) <= 100
