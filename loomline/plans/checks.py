@@ -287,9 +287,9 @@ select doc_id, len(tokens)::int as n_tokens,
 from encoded"""
     q["detokenize_audit"] = f"""
 with sized as (
-  select doc_id, hex(encode(text)) as hexed, octet_length(encode(text)) as n from documents
-  where text <> ''),
-cut as (select *, {h('cut', 'doc_id')} % n + 1 as spot from sized)
+  select doc_id, hex(encode(coalesce(text, ''))) as hexed, octet_length(encode(coalesce(text, ''))) as n
+  from documents),
+cut as (select *, {h('cut', 'doc_id')} % greatest(n, 1) + 1 as spot from sized)
 select doc_id, not (spot < n and substring(hexed, (2 * spot + 1)::bigint, 1) in ('8', '9', 'A', 'B'))
     as ok_in_runs, true as ok_raw
 from cut"""
@@ -548,15 +548,19 @@ chunks as (select doc_id, start, tokens[start + 1 : start + 512] as chunk from c
 select doc_id, (start // 256)::int as chunk_no, start::int as start, len(chunk)::int as n_tokens,
   md5({joined('chunk')}) as chunk_md5 from chunks"""
     retrieved = f"""
+worded as (select source, doc_id, string_split(text, ' ') as words from documents),
+chunks as (
+  select source, doc_id, (start // 32)::int as chunk_no, words[start + 1 : start + 64] as chunk
+  from (select *, unnest(range(0, len(words), 32)) as start from worded)),
 ranked as (
-  select source, doc_id, split_part(text, chr(10), 1) as chunk,
-    row_number() over (partition by source order by {h('rank', 'doc_id')}, doc_id) as rank from documents),
+  select source, doc_id, chunk_no, array_to_string(chunk, ' ') as chunk, len(chunk) as length,
+    row_number() over (partition by source order by {h('rank', "doc_id || ':' || chunk_no")}, doc_id, chunk_no) as rank
+  from chunks),
 sized as (
-  select *, sum(octet_length(encode(chunk))) over (partition by source order by rank) as running
-  from ranked where rank <= 20),
-kept as (select * from sized where running <= 1024 - 256 - octet_length(encode(source)))"""
+  select *, sum(length) over (partition by source order by rank) as running from ranked where rank <= 20),
+kept as (select * from sized where running <= 1024 - 256 - 1)"""
     q["context_budget"] = f"""
-with {retrieved} select source, rank::int as rank, doc_id, running::bigint as running from kept"""
+with {retrieved} select source, rank::int as rank, doc_id, chunk_no, running::bigint as running from kept"""
     q["assemble_rag_prompt"] = f"""
 with {retrieved}
 select source, count(*) as n_chunks, '参考资料：' || chr(10) || string_agg(chunk, chr(10) order by rank)
@@ -615,11 +619,14 @@ with scored as (
     ({h('critic2', 'doc_id')} % 101)::double as second_score from documents)
 select *, abs(first_score - second_score) as difference from scored where abs(first_score - second_score) > 40"""
     q["citation_precision"] = f"""
-with cited as (select distinct doc_id, unnest({word_list('text')}) as fact from documents),
-there as (select distinct doc_id, unnest({word_list("split_part(text, chr(10), 1)")}) as fact, true as found from documents)
-select doc_id, count(*) as n_cited, count(found) as n_found,
-  round(count(found) / count(*)::double, 9) as precision
-from cited left join there using (doc_id, fact) group by doc_id"""
+with cited as (
+  select distinct conv_id || ':' || turn as answer, unnest({word_list('text')}) as fact
+  from conversations where role = 'assistant'),
+there as (
+  select distinct conv_id || ':' || (turn + 1) as answer, unnest({word_list('text')}) as fact, true as found
+  from conversations)
+select answer, count(*) as n_cited, count(found) as n_found, round(count(found) / count(*)::double, 9) as precision
+from cited left join there using (answer, fact) group by answer"""
 
     # --- screens, retrieval, packing
     letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -301,8 +301,9 @@ def tokenize_corpus(spark, d):
 
 def detokenize_audit(spark, d):
     """A language token is put behind a random byte; it may cut a character."""
-    encoded = tokens.tokenize_corpus(many_documents(spark, d).where("text != ''"))
-    at = (F.pmod(seeded_hash("cut", "doc_id"), F.col("n_tokens")) + 1).cast("int")
+    filled = many_documents(spark, d).withColumn("text", F.coalesce("text", F.lit("")))
+    encoded = tokens.tokenize_corpus(filled)
+    at = (F.pmod(seeded_hash("cut", "doc_id"), F.greatest("n_tokens", F.lit(1))) + 1).cast("int")
     marked = encoded.withColumn("_at", at).withColumn("tokens", F.concat(
         F.slice("tokens", F.lit(1), F.col("_at")), F.array(F.lit(fv.OTHER_LANGUAGE)),
         F.slice("tokens", F.col("_at") + 1, F.col("n_tokens")),
@@ -621,16 +622,20 @@ def chunk_sliding(spark, d):
 
 
 def _retrieved(spark, d) -> DataFrame:
-    """Twenty documents per source (the question) in hash order; a line is what is retrieved of each."""
-    rows = documents(spark, d).select(
-        "source", "doc_id", F.substring_index("text", "\n", 1).alias("chunk"))
-    ranked = records.top_ranked(rows, "source", [seeded_hash("rank", "doc_id"), "doc_id"], 20)
-    sized = ranked.withColumn("length", F.octet_length("chunk"))
-    return records.context_budget(sized, "source", "length", query_length=F.octet_length("source"))
+    """Chunks of 64 words, one every 32, of all whole documents; the first twenty of a source (the
+    question) in hash order are what is retrieved, and as many of them as fit are kept."""
+    worded = documents(spark, d).select("source", "doc_id", F.split("text", " ").alias("words"))
+    chunks = records.chunk_sliding(worded.select(F.struct("source", "doc_id").alias("of"), "words"), 64, 32, "of", "words")
+    rows = chunks.select("of.source", "of.doc_id", "chunk_no", "chunk")
+    drawn = seeded_hash("rank", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_no").cast("string")))
+    ranked = records.top_ranked(rows, "source", [drawn, "doc_id", "chunk_no"], 20)
+    sized = ranked.select("source", "doc_id", "chunk_no", "rank", F.array_join("chunk", " ").alias("chunk"),
+                          F.size("chunk").alias("length"))
+    return records.context_budget(sized, "source", "length", query_length=F.lit(1))
 
 
 def context_budget(spark, d):
-    return _retrieved(spark, d).select("source", "rank", "doc_id", "running")
+    return _retrieved(spark, d).select("source", "rank", "doc_id", "chunk_no", "running")
 
 
 def assemble_rag_prompt(spark, d):
@@ -706,11 +711,13 @@ def disagreement_select(spark, d):
 
 
 def citation_precision(spark, d):
-    """A document's words are the facts cited, its first line is what was retrieved."""
-    rows = documents(spark, d).select("doc_id", "text")
-    cited = rows.select("doc_id", F.explode(stats.words("text")).alias("fact"))
-    there = rows.select("doc_id", F.explode(stats.words(F.substring_index("text", "\n", 1))).alias("fact"))
-    done = records.citation_precision(cited, there, "doc_id", "fact")
+    """The words of an answer are the facts cited, those of the turn before are what was retrieved."""
+    turns = table(spark, d, "conversations")
+    cited = turns.where("role = 'assistant'").select(
+        F.concat_ws(":", "conv_id", "turn").alias("answer"), F.explode(stats.words("text")).alias("fact"))
+    there = turns.select(F.concat_ws(":", F.col("conv_id"), F.col("turn") + 1).alias("answer"),
+                         F.explode(stats.words("text")).alias("fact"))
+    done = records.citation_precision(cited, there, "answer", "fact")
     return done.withColumn("precision", F.round("precision", 9))
 
 
@@ -750,7 +757,7 @@ def pack_best_fit(spark, d):
 def quality_model(spark, d):
     from loomline.operators import quality_model as model
 
-    docs, labels = documents(spark, d), table(spark, d, "labels")
+    docs, labels = many_documents(spark, d), table(spark, d, "labels")
     return model.quality_model(docs, model.fit_quality(docs, labels))
 
 
@@ -758,16 +765,19 @@ def quality_model(spark, d):
 
 
 def _arriving(spark, rows: DataFrame, order: str, batches: int = 6) -> DataFrame:
-    """Stream of a table that comes as ``batches`` files in the given order, one file per micro-batch."""
+    """Stream of a table that comes in ``batches`` arrivals in the given order, one per micro-batch.
+
+    An arrival is as many files as there are cores, so each is read by many tasks; small ones are one
+    file. Rows without a place in the order are in the first arrival.
+    """
     landing = workspace(spark, "landing")
-    cuts = rows.select(F.col(order).cast("double").alias("at")).approxQuantile(
-        "at", [i / batches for i in range(1, batches)], 0.001)
-    for i, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
-        at = F.col(order).cast("double")
-        wanted = F.lit(True) if low is None else at > low
-        part = rows.where(wanted if high is None else wanted & (at <= high))
-        part.coalesce(1).write.parquet(f"{landing}/arrival={i}")
-    return streams.read_arriving(spark, landing, rows.schema, "*.parquet", files_per_batch=1).select(*rows.columns)
+    at = F.col(order).cast("double")
+    cuts = rows.select(at.alias("at")).approxQuantile("at", [i / batches for i in range(1, batches)], 0.001)
+    files = max(1, min(spark.sparkContext.defaultParallelism, rows.count() // (batches * 1000)))
+    arrival = sum((F.coalesce(at > cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    for i in range(batches):
+        rows.where(arrival == i).repartition(files).write.parquet(f"{landing}/arrival={i}")
+    return streams.read_arriving(spark, landing, rows.schema, "*.parquet", files_per_batch=files).select(*rows.columns)
 
 
 def _documents_stream(spark, d) -> DataFrame:
