@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -18,8 +19,12 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu "
     "nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
-#: Elements whose content is no text of the page.
-DROPPED = "script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas|audio|video|title|button"
+#: Elements whose content is no text of the page: RAW ones hold no tags, in code (the first two)
+#: their own name may stand; of the others those in OWN_END can end with their first tag.
+RAW = ("script", "style", "textarea", "title")
+HIDDEN = ("noscript", "template", "select", "svg", "math", "iframe", "canvas", "audio", "video", "button")
+OWN_END = frozenset(("svg", "math"))
+HEADINGS = frozenset(f"h{i}" for i in range(1, 10))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 #: Elements around the whole page: their names speak of the page, not of a part of it.
@@ -45,13 +50,17 @@ STATES = frozenset("closed disabled enabled layout off on open page template the
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<({DROPPED})(?=[\s/>])[^>]*+>.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)""",
-    re.S | re.I)
+    re.S)
+_OPEN = {name: re.compile(rf"<{name}(?=[\s/>])", re.I) for name in (*RAW, *HIDDEN)}
+_CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for name in (*RAW, *HIDDEN)}
+_BLOCK_EDGE = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK_TAGS))})(?=[\s/>])", re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
+#: Words of the plain blocks of a page without main blocks from which on they are its text.
+SHORT_TEXT = 10
 #: Furniture by degrees: a wrapper that only its name or <form> makes furniture, a part of OTHERS_NAMES, a tag.
 WRAPPER, OTHERS, SEMANTIC = -1, -2, -3
 
@@ -109,17 +118,56 @@ def _place(tag: str, attributes: str, around: int) -> int:
     return 1 if ARTICLE_NAMES.intersection(names) else around
 
 
+class _Hidden:
+    """Where elements without text end in a page. What is found ahead is kept, so all of it is read once."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ahead: dict[tuple[bool, str], tuple[int, int]] = {}
+
+    def _next(self, closing: bool, name: str, at: int) -> tuple[int, int]:
+        """Start and end of the next tag of this name from ``at`` on; behind the page if there is none."""
+        found = self.ahead.get((closing, name), (-1, -1))
+        if found[0] < at:
+            m = (_CLOSE if closing else _OPEN)[name].search(self.page, at)
+            found = self.ahead[closing, name] = m.span() if m else (len(self.page) + 1, len(self.page) + 1)
+        return found
+
+    def end(self, name: str, at: int, self_closing: bool) -> int:
+        """The end of an element whose first tag ends at ``at``.
+
+        Its closing tag. Without one, or if another of its kind begins before it, a self-closing
+        element is empty, code takes the rest of the page, a title or text field ends at the next tag
+        and others end where the next block begins or ends.
+        """
+        close, opened = self._next(True, name, at), self._next(False, name, at)
+        closed = close[0] < len(self.page)
+        if self_closing and (name in OWN_END or not closed or opened[0] < close[0]):
+            return at
+        if closed and (name in RAW or name in OWN_END or opened[0] > close[0]):
+            return close[1]
+        if name in RAW[:2]:
+            return len(self.page)
+        if name in RAW:
+            edge = self.page.find("<", at)
+            return edge if edge >= 0 else len(self.page)
+        edge = _BLOCK_EDGE.search(self.page, at)
+        return edge.start() if edge else len(self.page)
+
+
 def blocks(page: str) -> list[Block]:
     """Cut a page into flat blocks of text.
 
     References are decoded in text only, white space becomes one space. Comments, declarations
-    and the elements in DROPPED have no text; an element left open ends with its parent, one of
-    DROPPED or a comment left open takes the rest of the page.
+    and the elements in RAW and HIDDEN have no text (see ``_Hidden``); an element left open ends
+    with its parent, a comment left open takes the rest of the page. Time is linear in the page.
     """
     out: list[Block] = []
     pieces: list[tuple[str, bool]] = []
     open_tags: list[tuple[str, int]] = []
-    links = 0
+    count: Counter[str] = Counter()  # of open tags by name
+    hidden = _Hidden(page)
+    headings = 0
 
     def end_block() -> None:
         if not pieces:
@@ -128,43 +176,49 @@ def blocks(page: str) -> list[Block]:
         if text:
             linked = len("".join(p for p, in_link in pieces if in_link).split())
             place = open_tags[-1][1] if open_tags else 0
-            heading = int(any(len(t) == 2 and t[0] == "h" and t[1].isdigit() for t, _ in open_tags))
-            out.append(Block(text, len(text.split()), linked, max(place, -1), heading, place == WRAPPER))
+            out.append(Block(text, len(text.split()), linked, max(place, -1), int(headings > 0), place == WRAPPER))
         pieces.clear()
 
+    def close() -> str:
+        nonlocal headings
+        tag, _ = open_tags.pop()
+        count[tag] -= 1
+        headings -= tag in HEADINGS
+        return tag
+
     def add(raw: str) -> None:
         if raw:
-            pieces.append((html.unescape(raw) if "&" in raw else raw, links > 0))
+            pieces.append((html.unescape(raw) if "&" in raw else raw, count["a"] > 0))
 
     at = 0
-    for m in _TAG.finditer(page):
+    while (m := _TAG.search(page, at)) is not None:
         add(page[at:m.start()])
         at = m.end()
-        tag = m.group(3)
-        if tag is None:
-            if m.group(1):
+        if m.group(2) is None:
+            continue
+        tag = m.group(2).lower()
+        closing = m.group(1) == "/"
+        if tag in _OPEN:
+            if not closing:
                 pieces.append((" ", False))
+                at = hidden.end(tag, at, m.group(3).endswith("/"))
             continue
-        tag = tag.lower()
-        closing = m.group(2) == "/"
         if tag in BLOCK_TAGS:
             end_block()
         elif tag == "br":
-            pieces.append((" ", links > 0))
+            pieces.append((" ", count["a"] > 0))
         if tag in VOID:
             continue
         if not closing:
             if tag == "p" and open_tags and open_tags[-1][0] == "p":
-                open_tags.pop()
+                close()
             around = open_tags[-1][1] if open_tags else 0
-            open_tags.append((tag, _place(tag, m.group(4), around)))
-            links += tag == "a"
-        elif any(t == tag for t, _ in open_tags):
-            while open_tags:
-                t, _ = open_tags.pop()
-                links -= t == "a"
-                if t == tag:
-                    break
+            open_tags.append((tag, _place(tag, m.group(3), around)))
+            count[tag] += 1
+            headings += tag in HEADINGS
+        elif count[tag]:
+            while close() != tag:
+                pass
     add(page[at:])
     end_block()
     return out
@@ -301,12 +355,20 @@ def train(labelled=None) -> Tree:
 
 
 def main_text(page: str, tree: Tree) -> str:
-    """The page's main blocks; if names of wrappers leave none, their blocks are judged without the names."""
+    """The page's main blocks; if names of wrappers leave none, their blocks are judged without the names.
+
+    A page that still has none may be a short one: its blocks outside furniture of which less than
+    half of the words are links, if they are two or more with SHORT_TEXT words together.
+    """
     found = blocks(page)
     chosen = tree.predict(features(found))
     if not chosen.any() and any(b.wrapped for b in found):
         found = [replace(b, place=0) if b.wrapped else b for b in found]
         chosen = tree.predict(features(found))
+    if not chosen.any():
+        plain = np.array([b.place == 0 and 2 * b.linked < b.words for b in found], bool)
+        if plain.sum() > 1 and sum(b.words for b, p in zip(found, plain) if p) >= SHORT_TEXT:
+            chosen = plain
     return "\n".join(b.text for b, keep in zip(found, chosen) if keep)
 
 
