@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +25,8 @@ SHARE_BYTES = 16 << 20
 HASH_BITS = 48
 #: Shingles of sets that are joined in one piece; larger groups are joined block by block.
 PIECE_SHINGLES = 2_000_000
+#: Shingles of a group from which on its sets are compared with one of them, its leader, first.
+LED_SHINGLES = 50_000
 
 
 def least_overlap(m: int, n: int, percent: int = PERCENT) -> int:
@@ -127,12 +128,14 @@ def _shared(dealt: DataFrame) -> DataFrame:
 class Joiner:
     """Joins sets that come in the order of their size; knows components, not all links.
 
-    ``index`` has for each shingle of a prefix the sets that hold it there, in blocks by component,
-    each ascending in size. A set skips whole blocks: those of its own component (the answers of
-    the sets it links with are its answers as far as components go), and by position in the size
-    order those too small. With a set it links with (its leader) it also has the leader's answers:
-    where the leader's overlap with a third set is known, overlap(set, third) is at most that
-    plus what the set has beyond the leader, and the third is skipped if that is too little.
+    ``index`` has for each shingle the sets with it in their prefix: by size, then by the number of
+    elements behind it, then in blocks by component. A set skips by position: two sets that meet
+    first at a shingle have no element before it in common, so at most that one and the fewer of
+    the elements behind it; whole sizes and whole lists are passed over where that is too little. It
+    skips blocks of its own component: the answers of the sets it links with are its answers as far
+    as components go. With a set it links with (its leader) it also has the leader's answers: where
+    the leader's overlap with a third set is known, overlap(set, third) is at most that plus what
+    the set has beyond the leader, and the third is skipped if that is too little.
     """
 
     def __init__(self, percent: int = PERCENT):
@@ -141,9 +144,11 @@ class Joiner:
         self.items: list[frozenset] = []
         self.root: list[int] = []
         self.failed: list[dict[int, int]] = []  # by set: overlap with sets that it doesn't link with
-        self.index: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+        self.index: dict[int, dict[int, dict[int, dict[int, list[int]]]]] = {}
+        self.latest: dict[int, int] = {}  # by shingle
         self.links: list[tuple[int, int]] = []
-        self.compared = self.derived = 0
+        self.compared = self.derived = self.met = 0
+        self.known = -1
 
     def find(self, x: int) -> int:
         while self.root[x] != x:
@@ -151,16 +156,6 @@ class Joiner:
             x = self.root[x]
         return x
 
-    def _blocks(self, shingle: int) -> dict[int, list[tuple[int, int, int]]]:
-        """The shingle's blocks under their components' present roots."""
-        blocks = self.index.get(shingle)
-        if blocks and any(self.root[r] != r for r in blocks):
-            merged: dict[int, list[tuple[int, int, int]]] = {}
-            for r, entries in blocks.items():
-                merged.setdefault(self.find(r), []).extend(entries)
-            blocks = self.index[shingle] = {r: sorted(e) for r, e in merged.items()}
-        return blocks or {}
-
     def _compare(self, x: int, y: int) -> int:
         """Common elements of two sets; a link joins their components, else the number is kept."""
         self.compared += 1
@@ -173,66 +168,95 @@ class Joiner:
         return common
 
     def _leader(self, y: int, smallest: int, prefix: list[int]) -> tuple[int, int, set[int]]:
-        """(leader or -1, elements beyond it, sets compared): the last set of a block that y meets most often."""
+        """(leader or -1, elements beyond it, sets compared): of the latest sets at its shingles that y meets most often."""
         met: dict[int, int] = {}
         for shingle in prefix:
-            for block in self._blocks(shingle).values():
-                if block[-1][0] >= smallest:
-                    met[block[-1][1]] = met.get(block[-1][1], 0) + 1
+            x = self.latest.get(shingle, -1)
+            if x >= 0 and self.sizes[x] >= smallest:
+                met[x] = met.get(x, 0) + 1
         if not met:
             return -1, 0, set()
         x = max(met, key=lambda i: (met[i], i))
+        if self.find(x) == self.find(y):
+            return -1, 0, set()
         common = self._compare(x, y)
         linked = x not in self.failed[y]
         return (x if linked else -1), len(self.items[y]) - common, {x}
 
-    def add(self, size: int, ordered: list[int]) -> None:
-        """Add a set of ``size`` elements of which ``ordered`` may be shared, rarest first."""
+    @staticmethod
+    def _under_roots(find, blocks: dict[int, list[int]]) -> dict[int, list[int]]:
+        """Blocks under their components' present roots."""
+        if all(find(r) == r for r in blocks):
+            return blocks
+        merged: dict[int, list[int]] = {}
+        for r, entries in blocks.items():
+            merged.setdefault(find(r), []).extend(entries)
+        return merged
+
+    def add(self, size: int, ordered: list[int], known: bool = False) -> None:
+        """Add a set of ``size`` elements of which ``ordered`` may be shared, rarest first.
+
+        All ``known`` sets are in one component already.
+        """
         y = len(self.sizes)
-        items = frozenset(ordered)
         self.sizes.append(size)
-        self.items.append(items)
+        self.items.append(frozenset(ordered))
         self.root.append(y)
         self.failed.append({})
+        if known:
+            if self.known >= 0:
+                self.root[y] = self.find(self.known)
+            self.known = y
         smallest = -(-self.percent * size // 100)
         prefix = ordered[:max(0, len(ordered) - smallest + 1)]
         leader, beyond, tested = self._leader(y, smallest, prefix)
         for place, shingle in enumerate(prefix):
-            for r, block in self._blocks(shingle).items():
-                if self.find(r) == self.find(y):
+            behind = len(ordered) - place - 1
+            for n, lists in reversed(self.index.get(shingle, {}).items()):
+                if n < smallest:
+                    break  # sizes ascend
+                needed = least_overlap(n, size, self.percent)
+                if 1 + behind < needed:
                     continue
-                first = bisect_left(block, (smallest,))
-                for n, x, left in reversed(block[first:]):
-                    if x in tested:
+                for left, blocks in lists.items():
+                    if 1 + left < needed:
                         continue
-                    needed = least_overlap(n, size, self.percent)
-                    tested.add(x)
-                    if place + 1 + min(left, len(ordered) - place - 1) < needed:
-                        continue  # by position: before this place, here and behind it
-                    if leader >= 0:
-                        known = self.failed[leader].get(x, self.failed[x].get(leader))
-                        if known is not None and known + beyond < needed:
-                            self.derived += 1
-                            continue
-                    common = self._compare(x, y)
-                    if common >= needed:
-                        if leader < 0:
-                            leader, beyond = x, len(ordered) - common
-                        break
+                    blocks = lists[left] = self._under_roots(self.find, blocks)
+                    for r, block in blocks.items():
+                        if self.find(r) != self.find(y):
+                            leader, beyond = self._meet(y, block, needed, leader, beyond, tested)
         mine = self.find(y)
         for place, shingle in enumerate(prefix):
-            block = self._blocks(shingle)
-            self.index.setdefault(shingle, block).setdefault(mine, []).append(
-                (size, y, len(ordered) - place - 1))
+            lists = self.index.setdefault(shingle, {}).setdefault(size, {})
+            lists.setdefault(len(ordered) - place - 1, {}).setdefault(mine, []).append(y)
+            self.latest[shingle] = y
+
+    def _meet(self, y: int, block: list[int], needed: int, leader: int, beyond: int,
+              tested: set[int]) -> tuple[int, int]:
+        """Compare y with the sets of a block until one links; returns its leader and what it has beyond it."""
+        for x in reversed(block):
+            self.met += 1
+            if x in tested:
+                continue
+            tested.add(x)
+            if leader >= 0:
+                known = self.failed[leader].get(x, self.failed[x].get(leader))
+                if known is not None and known + beyond < needed:
+                    self.derived += 1
+                    continue
+            common = self._compare(x, y)
+            if common >= needed:
+                return (leader, beyond) if leader >= 0 else (x, len(self.items[y]) - common)
+        return leader, beyond
 
 
 def _join_pieces(cells: DataFrame) -> DataFrame:
     """Verified links (a, b) that connect what is connected, for rows sorted by cell and size."""
-    def finish(rows: list[tuple[int, int, list[int]]]) -> Iterator[pa.RecordBatch]:
+    def finish(rows: list[tuple[int, int, list[int], bool]]) -> Iterator[pa.RecordBatch]:
         joiner = Joiner()
         ids = [r[0] for r in rows]
-        for _, size, ordered in rows:
-            joiner.add(size, ordered)
+        for _, size, ordered, known in rows:
+            joiner.add(size, ordered, known)
         if joiner.links:
             a, b = zip(*joiner.links)
             yield pa.RecordBatch.from_arrays(
@@ -244,12 +268,12 @@ def _join_pieces(cells: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                columns = [piece.column(c).to_pylist() for c in ("cell", "fp", "n_shingles", "ordered")]
-                for cell, fp, n, ordered in zip(*columns):
+                columns = [piece.column(c).to_pylist() for c in ("cell", "fp", "n_shingles", "ordered", "known")]
+                for cell, *row in zip(*columns):
                     if cell != current:
                         yield from finish(held)
                         held, current = [], cell
-                    held.append((fp, n, ordered))
+                    held.append(row)
         yield from finish(held)
 
     return in_batches(cells, run, "a bigint, b bigint")
@@ -268,9 +292,11 @@ def cluster(docs: DataFrame) -> DataFrame:
     Equal sets are one. Shingles are dealt out by hash, packed and counted by chunk beforehand; a
     shingle that only one set has can't be common, so a set with fewer than 75 % shared shingles
     links with nothing and no more is read of it. The others are joined by prefixes of their rarest
-    shared shingles: sets with a common prefix shingle form groups, a group is joined in one
-    piece, or, if it has more than PIECE_SHINGLES, block by block in pieces that hold any two of
-    its sets together. No pair is written but links that connect a group.
+    shared shingles: sets with a common prefix shingle form groups. A small group is joined in one
+    piece. Of a large one every set is compared with its leader first; those that link with it need
+    no comparison among each other, and what is left is joined block by block in pieces that hold
+    any two sets together of which one does not link with the leader. No pair is written but links
+    that connect a group.
     """
     rows = only(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint"), "text")
     listed = written(fingerprints(rows), "set-join")
@@ -308,32 +334,63 @@ def _links(candidates: DataFrame) -> DataFrame:
         F.col("fp").alias("a"), F.col("pivot").alias("b")).distinct())
     grouped = materialize(candidates.select("fp", F.size("ordered").alias("size")).join(
         near, F.col("fp") == F.col("node")).select("fp", F.col("root").alias("grp"), "size"))
-    blocks = grouped.groupBy("grp").agg(
-        F.ceil(F.sum("size") / PIECE_SHINGLES).alias("blocks"))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    cells = (grouped.join(blocks, "grp").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-             .filter("blocks = 1 or own != other")  # two blocks together hold each one's pairs too
-             .select("fp", F.xxhash64("grp", F.least("own", "other"), F.greatest("own", "other")).alias("cell")))
-    return materialize(_join_pieces(
-        cells.join(candidates, "fp").repartition("cell").sortWithinPartitions("cell", "n_shingles", "fp")))
+    leaders = materialize(grouped.groupBy("grp").agg(
+        F.sum("size").alias("total"), F.min_by("fp", F.xxhash64("fp")).alias("leader")).filter(
+        F.col("total") > LED_SHINGLES).select("grp", "leader"))
+    small = grouped.join(leaders, "grp", "left_anti").select("fp", F.xxhash64("grp").alias("cell"), F.lit(False).alias("known"))
+    led = _led(candidates, grouped, leaders)
+    cells = small.union(_led_cells(led))
+    pieces = _join_pieces(
+        cells.join(candidates, "fp").select("cell", "fp", "n_shingles", "ordered", "known")
+        .repartition("cell").sortWithinPartitions("cell", "n_shingles", "fp"))
+    return materialize(pieces.union(led.filter("known and fp != leader").select(
+        F.col("fp").alias("a"), F.col("leader").alias("b"))))
+
+
+def _led(candidates: DataFrame, grouped: DataFrame, leaders: DataFrame) -> DataFrame:
+    """fp, grp, size, leader and known (links with the leader) of the sets of large groups."""
+    heads = leaders.join(candidates, F.col("leader") == F.col("fp")).select(
+        "grp", F.col("n_shingles").alias("n_head"), F.col("ordered").alias("head"))
+    sets = grouped.join(leaders, "grp").join(candidates.select("fp", "n_shingles", "ordered"), "fp").join(heads, "grp")
+    common = F.size(F.array_intersect("ordered", "head"))
+    known = 100 * common >= PERCENT * (F.col("n_shingles") + F.col("n_head") - common)
+    return materialize(sets.select("fp", "grp", "size", "leader", known.alias("known")))
+
+
+def _led_cells(led: DataFrame) -> DataFrame:
+    """fp, cell and known of large groups: cells in which any two sets meet that are not both known.
+
+    Known sets are connected already. They are dealt into blocks of LED_SHINGLES, each with every block
+    of the others; of those any two blocks meet in a cell of their own.
+    """
+    size = lambda of: F.sum(F.when(of, F.col("size")).otherwise(0))
+    blocks = led.groupBy("grp").agg(
+        F.ceil(size(F.col("known")) / LED_SHINGLES).alias("known_blocks"),
+        F.ceil(size(~F.col("known")) / PIECE_SHINGLES).alias("other_blocks")).filter("other_blocks > 0")
+    rows = led.join(blocks, "grp")
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("fp"), F.col(n))
+    known = rows.filter("known").select("fp", "known", "grp", own("known_blocks").alias("i"), upto("other_blocks").alias("j"))
+    others = rows.filter("not known").withColumn("j", own("other_blocks"))
+    mixed = known.union(others.select("fp", "known", "grp", upto("known_blocks").alias("i"), "j"))
+    apart = others.filter("other_blocks > 1").withColumn("i", upto("other_blocks")).filter("i != j")
+    return mixed.select("fp", F.xxhash64("grp", F.lit("known"), "i", "j").alias("cell"), "known").union(
+        apart.select("fp", F.xxhash64("grp", F.lit("others"), F.least("i", "j"), F.greatest("i", "j")).alias("cell"), "known"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the document that names it.
+    """The rows of ``docs`` without near copies: of each component the first row.
 
-    Of rows with one doc_id (repeated rows) that with the smallest hash of its text stays; rows
-    without doc_id stay.
+    Rows are told apart by their place, not by doc_id: repeated rows are copies, rows with one doc_id
+    and unlike texts both stay, rows without doc_id take part. Rows with an empty set all stay.
+    ``docs`` is read several times and must come in the same order, as a table of files does.
     """
     places = [f"_{i}" for i in range(len(docs.columns))]
-    doc_id, text = (places[docs.columns.index(c)] for c in ("doc_id", "text"))
-    gone = cluster(docs).filter("component_id != doc_id").select("doc_id").distinct()
-    rows = docs.toDF(*places)
-    left = rows.join(gone, rows[doc_id].cast("bigint") == gone["doc_id"], "left_anti")
-    alone = F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id())
-    first = Window.partitionBy(doc_id, "alone").orderBy(F.xxhash64(text))
-    return left.withColumn("alone", alone).withColumn("n", F.row_number().over(first)).filter(
-        "n = 1").select(*places).toDF(*docs.columns)
+    text = places[docs.columns.index("text")]
+    rows = docs.toDF(*places).withColumn("row", F.monotonically_increasing_id())
+    found = cluster(rows.select(F.col("row").alias("doc_id"), F.col(text).alias("text")))
+    gone = found.filter("component_id != doc_id").select(F.col("doc_id").alias("row"))
+    return rows.join(gone, "row", "left_anti").select(*places).toDF(*docs.columns)
 
 
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

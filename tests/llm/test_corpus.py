@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -87,8 +88,10 @@ def test_set_join_is_exact(spark, texts, monkeypatch):
     tried += [f"{shared} own {rng.random()} {rng.random()}" for _ in range(30)] + ["a b c", "A  b C", "a b", "", " "]
     tried += [" ".join(f"c{j}" for j in range(i, i + 40)) for i in range(0, 60, 3)]  # a chain of links
     rows = list(enumerate(tried, 1000)) + list(texts.items())
-    for piece, share in ((2_000_000, 16 << 20), (1500, 1 << 15)):  # groups joined whole, and block by block
+    # groups joined whole, with a leader, and block by block
+    for piece, led, share in ((2_000_000, 10**9, 16 << 20), (2_000_000, 500, 16 << 20), (1500, 400, 1 << 15)):
         monkeypatch.setattr(set_join, "PIECE_SHINGLES", piece)
+        monkeypatch.setattr(set_join, "LED_SHINGLES", led)
         monkeypatch.setattr(set_join, "SHARE_BYTES", share)
         docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
         assert sorted(map(tuple, set_join.cluster(docs).collect())) == brute_join(rows)
@@ -108,6 +111,26 @@ def test_joiner_derives_answers_and_skips_blocks():
     assert len({joiner.find(i) for i in range(80)}) == 2
 
 
+def test_template_pages_are_not_compared_with_each_other():
+    for vary in (0, 6):
+        rng, joiner = random.Random(1), set_join.Joiner()
+        own = [10 + (rng.randint(0, vary) if vary else 0) for _ in range(8000)]
+        began = time.process_time()
+        for i, n in sorted(enumerate(own), key=lambda x: x[1]):  # in pairs of copies, thirty shingles are everybody's
+            joiner.add(30 + n, [1000 + i // 2 * 100 + k for k in range(n)] + list(range(30)))
+        assert time.process_time() - began < 10 and joiner.compared < 3 * 8000
+        assert len(joiner.links) == 4000 and all(not f or len(f) < 10 for f in joiner.failed)
+
+
+def test_deduplicated_decides_by_row(spark):
+    a, b = "one two three four five six seven", "other words make up this very text"
+    rows = [(1, a), (2, a + " eight"), (3, b),  # the second has three of four shingles in common with the first
+            (3, a), (None, b), (None, "a third one"), (4, ""), (4, ""), (5, None), (6, a)]
+    left = set_join.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()
+    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, [
+        (1, a), (3, b), (None, "a third one"), (4, ""), (4, ""), (5, None)]))
+
+
 def test_set_join_odd_rows(spark, odd, nothing):
     got = set_join.cluster(odd).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(str(r.doc_id) for r in odd.collect())
