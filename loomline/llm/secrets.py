@@ -34,11 +34,32 @@ ALPHABETS = {
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
     "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
+#: For evidence against words: a base62 token without a digit is told by its letters alone.
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 #: Share of wrong rejections among the tokens that are rejected as not random.
 FALSE_DISCOVERIES = 0.01
+#: Classes of characters: small vowels and consonants, capital letters, digits, and separators.
+CLASSES = {"v": "aeiouy", "c": "bcdfghjklmnpqrstvwxz", "U": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "d": "0123456789", "o": "+/-_"}
+#: How often a word ends at a character of a name such as setUserName2, whatever the corpus says.
+WORD_END = 0.15
+#: What the words of any text are like, as counts beside those of the corpus: pairs of classes.
+USUAL_PAIRS = {"vv": 60, "vc": 430, "vU": 5, "vd": 5, "cv": 250, "cc": 240, "cU": 5, "cd": 5, "Uv": 130, "Uc": 170,
+               "UU": 180, "Ud": 20, "dv": 10, "dc": 20, "dU": 15, "dd": 300}
+#: Letters of a thousand of any text, counted beside those of the corpus, and the weight of both
+#: together against all letters alike.
+USUAL_LETTERS = {"a": 82, "b": 15, "c": 28, "d": 43, "e": 127, "f": 22, "g": 20, "h": 61, "i": 70, "j": 2, "k": 8,
+                 "l": 40, "m": 24, "n": 67, "o": 75, "p": 19, "q": 1, "r": 60, "s": 63, "t": 91, "u": 28, "v": 10,
+                 "w": 24, "x": 2, "y": 20, "z": 1}
+LETTER_WEIGHT = 0.8
+#: Share of joined words among the tokens that are taken for secrets.
+WORDS_AMONG_SECRETS = 0.05
+#: Steps per unit in which logarithms of evidence are counted.
+STEPS_PER_NAT = 8
 #: Steps per power of ten in which p-values are counted, and the number of steps.
 STEPS_PER_TEN, MOST_STEPS = 50, 1000
 BLOCK = 256
+#: Spans that are looked through at once for those that meet another.
+SPAN_BLOCK = 64
 
 
 def _running(lengths: Column, blocks: Column, i: Column) -> Column:
@@ -103,6 +124,14 @@ def normal_tail(z: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(poly * F.exp(-x * x), F.lit(1e-20)))
 
 
+def encoding_of(body: Column) -> Column:
+    """The first of ALPHABETS that holds all characters; null where none does."""
+    out = F.lit(None).cast("string")
+    for name, chars in reversed(ALPHABETS.items()):
+        out = F.when(F.translate(body, chars, "") == "", name).otherwise(out)
+    return out
+
+
 def randomness(token: Column) -> Column:
     """Struct (stratum, p) of a token: p is small if it isn't random text of its encoding.
 
@@ -111,11 +140,8 @@ def randomness(token: Column) -> Column:
     encoding and the power of two of the length. Null where no alphabet fits.
     """
     body = F.rtrim(token, F.lit("="))
-    fits = lambda chars: F.translate(body, chars, "") == ""
-    encoding, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, chars in reversed(ALPHABETS.items()):
-        encoding = F.when(fits(chars), name).otherwise(encoding)
-        alphabet = F.when(fits(chars), chars).otherwise(alphabet)
+    encoding = encoding_of(body)
+    alphabet = F.element_at(F.create_map(*[F.lit(x) for item in ALPHABETS.items() for x in item]), encoding)
 
     def tests(s: Column) -> Column:
         """Of a struct: body, encoding, alphabet."""
@@ -180,6 +206,118 @@ def cut_offs(tested: DataFrame, level: float = FALSE_DISCOVERIES) -> dict[str, f
     return {r[0]: r[1] for r in passed.groupBy("stratum").agg(F.max("largest_p")).collect()}
 
 
+def class_steps(texts: DataFrame) -> dict[str, float]:
+    """What words are like, over all texts: by pair of classes xy (of v, c, U, d) the share of y among
+    what follows x, and by small letter its share among those of its class.
+
+    Tokens that are tested are left out, USUAL_PAIRS are added. Pairs of different classes are counted
+    as strings, those of one class by what is left, so a text is read a few times in the JVM and one
+    row comes back.
+    """
+    others = F.when(F.col("text").rlike(TOKEN), F.regexp_replace("text", TOKEN, " ")).otherwise(F.col("text"))
+    words = F.translate(
+        F.concat(F.lit(" "), F.regexp_replace(others, "[^A-Za-z0-9]+", " ")),
+        "".join(CLASSES[c] for c in "vcUd"), "".join(c * len(CLASSES[c]) for c in "vcUd"))
+    held = texts.select(words.alias("w"), others.alias("t"))
+
+    def number(x: str, of: str = "w") -> Column:
+        return F.sum((F.length(of) - F.length(F.replace(of, F.lit(x), F.lit("")))) / len(x))
+
+    pairs = [x + y for x in " vcUd" for y in "vcUd" if x != y]
+    names = ["v", "c", "U", "d", *pairs]  # columns by place: names of columns ignore case
+    counted = [number(x) for x in names] + [number(x, "t") for x in USUAL_LETTERS]
+    found = held.agg(*[x.alias(f"_{i}") for i, x in enumerate(counted)]).first()
+    count = {k: float(n or 0) for k, n in zip(names, found)}
+    letters = {x: float(n or 0) + USUAL_LETTERS[x] for x, n in zip(USUAL_LETTERS, found[len(names):])}
+    for y in "vcUd":
+        count[y + y] = count[y] - sum(count[x + y] for x in " vcUd" if x != y)
+    out = {}
+    for x in "vcUd":
+        of = {x + y: count[x + y] + USUAL_PAIRS[x + y] for y in "vcUd"}
+        out |= {pair: n / sum(of.values()) for pair, n in of.items()}
+    for x in "vc":
+        total = sum(letters[c] for c in CLASSES[x])
+        out |= {c: LETTER_WEIGHT * letters[c] / total + (1 - LETTER_WEIGHT) / len(CLASSES[x]) for c in CLASSES[x]}
+    return out
+
+
+def evidence(body: Column, encoding: Column, steps: dict[str, float]) -> Column:
+    """Logarithm of how much likelier a token is as random text of its encoding than as joined words.
+
+    Of joined words a class of characters follows another as in the words of the corpus, and letters
+    are as frequent as there, or, where a word ends, any
+    class alike; behind a separator a word begins. Words may also be in capitals throughout: what
+    speaks less for a secret counts. The ratio is an e-value: its mean is one at most over joined words.
+    """
+    def word(pair: str, capitals: bool) -> float:
+        x, y = pair
+        if x == "o":
+            return 0.04 if y == "o" else 0.24
+        if capitals and y in "vcU":  # a capital letter goes on as a small one does, a small one is rare
+            small = sum(steps[("c" if x == "U" else x) + z] for z in "vc") if x in "Ud" else 0.0
+            like = small if y == "U" else 0.0
+        else:
+            like = steps.get(pair, 0.0)
+        return (1 - WORD_END) * like + WORD_END / len(CLASSES)
+
+    def table(capitals: bool) -> Column:
+        weights = {}
+        for name, chars in (ALPHABETS | {"letters": LETTERS}).items():
+            shares = {c: sum(x in of for x in chars) / len(chars) for c, of in CLASSES.items()}
+            weights |= {f"{name}:{x}{y}": math.log(shares[y] / word(x + y, capitals))
+                        for x in CLASSES for y in CLASSES if shares[x] and shares[y]}
+        return F.create_map(*[F.lit(v) for item in weights.items() for v in item])
+
+    encoding = F.when((encoding == "base62") & ~body.rlike("[0-9]"), "letters").otherwise(encoding)
+    classes = F.translate(body, "".join(CLASSES.values()), "".join(c * len(of) for c, of in CLASSES.items()))
+    one = F.array(F.struct(classes.alias("c"), F.concat(encoding, F.lit(":")).alias("e")))
+
+    letters = {c: math.log(1 / len(CLASSES[x]) / steps[c]) for x in "vc" for c in CLASSES[x]}
+
+    def against(capitals: bool) -> Column:
+        weights = table(capitals)
+        each = F.create_map(*[F.lit(v) for c, w in letters.items() for v in (c.upper() if capitals else c, w)])
+        pairs = F.get(F.transform(one, lambda s: F.aggregate(
+            F.sequence(F.lit(1), F.greatest(F.length(s["c"]) - 1, F.lit(1))), F.lit(0.0),
+            lambda a, i: a + F.coalesce(F.element_at(
+                weights, F.concat(s["e"], F.substring(s["c"], i, 2))), F.lit(0.0)))), 0)
+        return pairs + F.aggregate(F.split(body, ""), F.lit(0.0), lambda a, c: a + F.coalesce(
+            F.element_at(each, c), F.lit(0.0)))
+
+    return F.least(against(False), against(True))
+
+
+def least_evidence(tested: DataFrame, level: float = WORDS_AMONG_SECRETS) -> float:
+    """The evidence from which on tokens are taken for secrets rather than joined words.
+
+    The step-up rule for e-values over all tokens: with k of m tokens at or above it, it is at least
+    the logarithm of m / (level * k). Over counts in steps; infinite if no token has enough.
+    """
+    step = F.floor(F.col("evidence") * STEPS_PER_NAT).cast("int")
+    counts = sorted(tested.groupBy(step.alias("step")).count().collect(), reverse=True)  # one row a step
+    m, above, out = sum(r["count"] for r in counts), 0, math.inf
+    for r in counts:
+        above += r["count"]
+        if r["step"] / STEPS_PER_NAT >= math.log(m / (level * above)):
+            out = r["step"] / STEPS_PER_NAT
+    return out
+
+
+def _blocks_of(spans: Column) -> Column:
+    """Sorted spans in blocks, each with its first start and last end, so that most are passed over."""
+    parts_ = F.when(F.size(spans) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / SPAN_BLOCK).cast("int")),
+        lambda b: F.slice(spans, b * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)))).otherwise(F.array())
+    return F.transform(parts_, lambda p: F.struct(
+        p.alias("spans"), F.get(p, 0)["start"].alias("first"), F.array_max(F.transform(p, lambda s: s["end"])).alias("last")))
+
+
+def _meets(blocks: str, start: Column, end: Column, also) -> Column:
+    """Whether a span in blocks overlaps [start, end) and ``also`` holds of it."""
+    return F.exists(blocks, lambda b: (b["first"] < end) & (start < b["last"]) & F.exists(
+        b["spans"], lambda s: (s["start"] < end) & (start < s["end"]) & also(s)))
+
+
 def _scan(rows: DataFrame, level: float, drop: tuple[str, ...] = ()) -> DataFrame:
     """The columns of ``rows`` (text among them, not null) with base and spans."""
     carried = rows.columns
@@ -202,26 +340,32 @@ def _scan(rows: DataFrame, level: float, drop: tuple[str, ...] = ()) -> DataFram
         *carried,
         F.array_sort(F.concat(*[F.transform(F.filter(k, kept[k]), named(k)) for k in KINDS[:3]])).alias("base"),
         F.filter(F.array_distinct(F.concat("random", *PARTS)), kept["random"]).alias("random"))
-    free = sorted_.select(*carried, "base", F.filter("random", lambda r: ~F.exists(
-        "base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))).alias("random"))
+    free = sorted_.withColumn("blocks", _blocks_of(F.col("base"))).select(*carried, "base", F.filter(
+        "random", lambda r: ~_meets("blocks", r["start"], r["end"], lambda s: F.lit(True))).alias("random"))
+    steps = class_steps(rows)
+    body = lambda r: F.rtrim(r["match"], F.lit("="))
     tested = written(free.select(*[c for c in carried if c not in drop], "base", F.filter(
         F.transform("random", lambda r: F.struct(
             r["start"].alias("start"), F.lit(3).alias("place"), r["end"].alias("end"),
-            F.lit("random").alias("kind"), randomness(r["match"]).alias("test"))),
+            F.lit("random").alias("kind"), randomness(r["match"]).alias("test"),
+            evidence(body(r), encoding_of(body(r)), steps).alias("evidence"))),
         lambda r: r["test"].isNotNull()).alias("random")), "secrets")
-    cuts = cut_offs(tested.select(F.explode("random.test").alias("t")).select("t.*"), level)
+    tokens = tested.select(F.explode("random").alias("r"))
+    cuts = cut_offs(tokens.select("r.test.*"), level)
+    enough = least_evidence(tokens.select("r.evidence"))
     rejected = F.lit(False)
-    stands = lambda r: ~F.coalesce(_any(
+    stands = lambda r: (r["evidence"] >= enough) & ~F.coalesce(_any(
         [(r["test"]["stratum"] == s) & (r["test"]["p"] <= p) for s, p in sorted(cuts.items())],
         rejected), rejected)
     strip = lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     # of tokens in one another only the longest
-    longest = lambda r: ~F.exists("standing", lambda o: (
+    longest = lambda r: ~_meets("blocks", r["start"], r["end"], lambda o: (
         o["start"] <= r["start"]) & (r["end"] <= o["end"]) & (o["end"] - o["start"] > r["end"] - r["start"]))
     added = F.transform(F.filter("standing", longest), lambda r: F.struct(*[
         r[c].alias(c) for c in ("start", "place", "end", "kind")]))
-    return tested.withColumn("standing", F.filter("random", stands)).select(
+    standing = tested.withColumn("standing", F.array_sort(F.filter("random", stands)))
+    return standing.withColumn("blocks", _blocks_of(F.col("standing"))).select(
         *[c for c in carried if c not in drop], F.transform("base", strip).alias("base"),
         F.transform(F.array_sort(F.concat("base", added)), strip).alias("spans"))
 
@@ -231,7 +375,9 @@ def scan(docs: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
 
     Columns: doc_id, base and spans (arrays of kind, start, end; positions in code points, sorted
     by start, then kind). base has the kinds assign, access and hex; spans has also ``random``: long
-    tokens, or parts of them, that fit WORTH, that the battery does not reject and no base span meets.
+    tokens, or parts of them, that fit WORTH, that the battery does not reject as random text, that
+    evidence tells from joined words (both with false-discovery control over all tokens of the
+    table) and that no base span meets.
     Rows stay as they are, repeated ones and those without doc_id too; no texts are in the result.
     An empty table gives an empty table.
     """

@@ -26,7 +26,7 @@ HASH_BITS = 48
 #: Shingles of sets that are joined in one piece; larger groups are joined block by block.
 PIECE_SHINGLES = 2_000_000
 #: Shingles of a group from which on its sets are compared with one of them, its leader, first.
-LED_SHINGLES = 50_000
+LED_SHINGLES = 10_000
 
 
 def least_overlap(m: int, n: int, percent: int = PERCENT) -> int:

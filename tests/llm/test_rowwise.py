@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 
 import numpy as np
@@ -152,6 +153,48 @@ def test_random_parts_of_mixed_tokens_and_keys_without_a_digit(spark):
     assert sum(bool(got[100 + i]) for i in range(len(words))) <= 3
 
 
+def names_and_keys(rng, n):
+    words = ("set user name value list get http client factory builder config index parser token stream json "
+             "request handler default message buffer").split()
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    parts = lambda: [rng.choice(words) for _ in range(rng.randint(4, 6))]
+    number = lambda: str(rng.randint(1, 99))
+    names = ["".join(w.title() for w in parts()) + number() for _ in range(n)]
+    names += ["_".join(parts()) + "_" + number() for _ in range(n)] + ["-".join(parts()).upper() + number() for _ in range(n)]
+    names += ["/" + "/".join(parts()) + number() for _ in range(n)]
+    keys = ["".join(rng.choice(chars) for _ in range(k)) for k in (20, 24, 32, 40, 64) for _ in range(n // 2)]
+    return names, keys
+
+
+def test_identifiers_are_no_secrets_among_planted_keys(spark):
+    """In the documents of sf0.01: precision and recall of the tokens that are added, on planted ones."""
+    names, keys = names_and_keys(random.Random(12), 100)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    planted = [(r.doc_id, f"{r.text or ''} {t} more text", t, t in keys) for r, t in zip(docs, names + keys)]
+    rest = [(r.doc_id, r.text) for r in docs[len(planted):]]
+    rows = spark.createDataFrame([(d, t) for d, t, _, _ in planted] + rest, "doc_id bigint, text string")
+    got = {r.doc_id: [(a, b) for k, a, b in plain(r.spans) if k == "random"] for r in secrets.scan(rows).collect()}
+    at = {d: (t.rindex(token), t.rindex(token) + len(token)) for d, t, token, _ in planted}
+    found = {d: at[d] in got[d] for d, _, _, _ in planted}
+    caught = sum(found[d] for d, _, _, key in planted if key)
+    alarms = sum(any(a < at[d][1] and at[d][0] < b for a, b in got[d]) for d, _, _, key in planted if not key)
+    assert caught >= 0.9 * len(keys) and alarms <= 0.02 * len(names)
+    assert caught >= 0.9 * (caught + alarms)
+
+
+def test_secret_scan_of_long_mixed_text_is_not_quadratic(spark):
+    rng = random.Random(5)
+    names, keys = names_and_keys(rng, 20)
+    unit = lambda n: " ".join(rng.choice([rng.choice(names), rng.choice(keys), "0123456789abcdef" * 2, "token=abcdefghijklmno"])
+                              for _ in range(n))
+    seconds = []
+    for n in (3000, 12_000):
+        began = time.perf_counter()
+        secrets.scan(frame(spark, [unit(n)])).write.format("noop").mode("overwrite").save()
+        seconds.append(time.perf_counter() - began)
+    assert seconds[1] < 8 * seconds[0]
+
+
 def test_redaction_keeps_rows_and_columns(spark, odd):
     got = secrets.redact(odd)
     assert got.columns == odd.columns and got.count() == odd.count()
