@@ -234,7 +234,10 @@ class Bpe:
         sums = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         return np.concatenate(ids), sums[np.searchsorted(starts, offsets)]
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def decode(self, ids: list[int] | np.ndarray) -> bytes:
+        return self.decoded(np.asarray(ids, np.int64))[0].tobytes()
+
+    def decoded(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of ids, one behind the other, and where each id's bytes end (a 0 first)."""
         lengths = self.token_ends[ids + 1] - self.token_ends[ids]
         if len(ids) and (ids.min() < 0 or not lengths.all()):
@@ -281,7 +284,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> Dat
     @F.arrow_udf("binary")
     def decoded(column: pa.Array) -> pa.Array:
         lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-        data, ends = tables.value.decode(column.flatten().to_numpy())
+        data, ends = tables.value.decoded(column.flatten().to_numpy())
         ends = ends[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int64)
         flat = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(ends), pa.py_buffer(data)])
         return pc.if_else(column.is_valid(), flat, None).cast(pa.binary())
@@ -303,7 +306,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         digits = bpe.digits_of.__getitem__
         for piece in slices(batches):
             ids, ends = bpe.encode(piece.column("text"))
-            data, at = bpe.decode(ids)
+            data, at = bpe.decoded(ids)
             of_ids, of_bytes = [], []
             for a, b in zip(ends.tolist(), ends[1:].tolist()):
                 of_ids.append(hashlib.sha256(",".join(map(digits, ids[a:b].tolist())).encode()).hexdigest())
