@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.common import in_batches, only, slices, span_digest, written
+from loomline.llm.common import in_batches, only, parts, slices, span_digest, written
 from loomline.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -19,6 +22,12 @@ LEAST_SEEDS = 5
 LEAST_SCORE = 0.8
 #: What an unknown instance counts against a pattern, where a known one counts up to 1 for it.
 UNKNOWN_WEIGHT = 0.05
+#: A context must be followed (or preceded) by a seed or another instance in this share of its places in all texts.
+LEAST_PULL = 0.1
+#: Contexts that are counted in one reading of the texts; more take more readings.
+MOST_CONTEXTS = 100_000
+#: Characters that a word of a context has at most.
+MOST_WORD = 64
 #: Digits that a run of groups has at most to be one identifier; longer ones are lists of numbers.
 MOST_RUN_DIGITS = 32
 
@@ -29,6 +38,12 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACE = " \t\n\x0b\x0c\r"
+#: Words of a context: letters and digits, so that quotes, brackets, colons and equals signs make no difference.
+_CONTEXT_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_CONTEXT_GAP = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
+_NUMBER = re.compile(r"[0-9]+")
+#: A key name that is joined to its value by = or a colon.
+_KEY = re.compile(r"""[^\W\d_][^\W\d]*(?:-[^\W\d]+)*[=:]++["'(\[{<]*+(?!/)""")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -96,27 +111,63 @@ def _name(instance: str) -> str:
     return instance if len(instance) <= 64 else hashlib.sha256(instance.encode("utf-8", "replace")).hexdigest()
 
 
-def _context(text: str, start: int) -> str | None:
-    """The two words before a position, lower-cased, digits as 9; None without a word before."""
-    left = text[max(0, start - 120):start]
-    words = _WORD.findall(left)
-    if start > 120 and words and left[0] not in _SPACE and len(words) <= 2:
-        return None  # the words are longer than what was looked at
-    words = words[-2:]
-    return re.sub(r"[0-9]+", "9", " ".join(words).lower()) if words else None
+class _Surroundings:
+    """Words of a text by position. They are found once, when the first context is asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.starts, self.ends = text, None, None
+
+    def _word(self, i: int) -> str | None:
+        if 0 <= i < len(self.starts) and self.ends[i] - self.starts[i] <= MOST_WORD:
+            return _NUMBER.sub("9", self.text[self.starts[i]:self.ends[i]].lower())
+        return None
+
+    def contexts(self, start: int, end: int) -> list[dict]:
+        """One and two words before and after a place, each with its nearest word alone as core."""
+        if self.starts is None:
+            self.starts, self.ends = array("q"), array("q")
+            for m in _CONTEXT_WORD.finditer(self.text):
+                self.starts.append(m.start())
+                self.ends.append(m.end())
+        i, k, out = bisect_right(self.ends, start) - 1, bisect_left(self.starts, end), []
+        near, far = self._word(i), self._word(i - 1)
+        if near:
+            core = f"{near} _"
+            out += [(core, core)] + ([(f"{far} {core}", core)] if far else [])
+        near, far = self._word(k), self._word(k + 1)
+        if near:
+            core = f"_ {near}"
+            out += [(core, core)] + ([(f"{core} {far}", core)] if far else [])
+        return [dict(zip(("context", "core"), x)) for x in out]
+
+
+def count_contexts(texts: list[str], wanted: frozenset[tuple[str, ...]]) -> Counter:
+    """How often each wanted word, or pair of words, stands in the texts."""
+    found = Counter()
+    for text in texts:
+        at, last = 0, []
+        while at < len(text):  # in pieces that end between two words
+            gap = _CONTEXT_GAP.search(text, at + (1 << 20))
+            end = gap.end() if gap else len(text)
+            words = _CONTEXT_WORD.findall(_NUMBER.sub("9", text[at:end].lower()))
+            found.update(filter(wanted.__contains__, zip(words)))
+            found.update(filter(wanted.__contains__, zip(last + words, words if last else words[1:])))
+            at, last = end, words[-1:] or last
+    return found
 
 
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Seeds, and other tokens that hold a digit or an @, each with the words before it.
+    """Seeds, and other tokens that hold a digit or an @, each with its contexts: words before and after it.
 
-    A token is cut at white space and freed from punctuation around it; groups of digits joined by
-    spaces, dots, hyphens or brackets are one token. Those that meet a base span are left out.
+    A token is cut at white space and freed from punctuation around it and from a key name before = or a
+    colon; groups of digits joined by spaces, dots, hyphens or brackets are one token. Those that meet a
+    base span, and places without a word beside them, are left out.
     """
-    out = []
+    out, around = [], _Surroundings(text)
     for start, kind, end in base:
-        context = _context(text, start)
-        if context:
-            out.append((start, end, KINDS[kind], context, text[start:end].lower(), True))
+        contexts = around.contexts(start, end)
+        if contexts:
+            out.append((start, end, KINDS[kind], contexts, text[start:end].lower(), True))
     taken, i, done = sorted((a, b) for a, _, b in base), 0, -1
     runs = _RUN.finditer(text)
     run = next(runs, None)
@@ -144,19 +195,23 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
             done = word.end()
             token = word.group()
             lead = len(token) - len(token.lstrip("\"'([{<.,:;!?+="))
+            key = _KEY.match(token, lead)
+            if key and _DIGIT.search(token, key.end()):
+                lead = key.end()
             body = token[lead:].rstrip("\"')]}>.,:;!?=")
             start, end = start + lead, start + lead + len(body)
             if not _DIGIT.search(body) or not free(start, end):
                 continue
-        context = _context(text, start)
-        if context:
-            out.append((start, end, None, context, body.lower(), False))
-    names = ("start", "end", "kind", "context", "instance", "seed")
+        contexts = around.contexts(start, end)
+        if contexts:
+            out.append((start, end, None, contexts, body.lower(), False))
+    names = ("start", "end", "kind", "contexts", "instance", "seed")
     return [dict(zip(names, x)) | {"instance": _name(x[4]), "shape": _shape(x[4][:4096])} for x in out]
 
 
 _OCCURRENCES = pa.list_(pa.struct([
-    ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("context", pa.string()),
+    ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()),
+    ("contexts", pa.list_(pa.struct([("context", pa.string()), ("core", pa.string())]))),
     ("instance", pa.string()), ("seed", pa.bool_()), ("shape", pa.string())]))
 _BASE = pa.list_(pa.struct([("start", pa.int32()), ("place", pa.int32()), ("end", pa.int32())]))
 
@@ -177,43 +232,46 @@ def read(docs: DataFrame) -> DataFrame:
                 ["doc_id", "base", "occurrences"])
 
     return in_batches(rows, run, f"doc_id {kind}, base array<struct<start:int,place:int,end:int>>, occurrences "
-        "array<struct<start:int,end:int,kind:string,context:string,instance:string,seed:boolean,shape:string>>")
+        "array<struct<start:int,end:int,kind:string,contexts:array<struct<context:string,core:string>>,"
+        "instance:string,seed:boolean,shape:string>>")
+
+
+def _shapes() -> Column:
+    """The shapes that a context of an occurrence o stands with: the occurrence's, and '' for any."""
+    return F.array(F.lit(""), F.col("o.shape"))
 
 
 def edges(found: DataFrame) -> DataFrame:
-    """The graph: (pattern, kind, instance, seed, n), summed before the shuffle.
+    """The graph: (context, core, shape, instance, seed, kind, other_kind, n), summed before the shuffle.
 
-    A pattern is a pair of context and shape; its kind is that of the seeds it stands with. Each
-    occurrence gives one edge, instances are compared in lower case.
+    A pattern is a pair of context and shape; its kind is that of the seeds it stands with. Contexts are
+    one or two words before an instance, or after it. Each occurrence gives one edge per pattern.
+    Instances are compared in lower case.
     """
-    one = found.select(F.explode("occurrences").alias("o")).select("o.*")
-    return one.groupBy("context", "shape", "instance").agg(
-        F.max("seed").alias("seed"), F.max("kind").alias("kind"), F.count(F.lit(1)).alias("n"))
+    one = found.select(F.explode("occurrences").alias("o")).select("o", F.explode("o.contexts").alias("c"))
+    return one.select("c.context", "c.core", F.explode(_shapes()).alias("shape"), "o.instance", "o.seed", "o.kind").groupBy(
+        "context", "core", "shape", "instance").agg(
+        F.max("seed").alias("seed"), F.max("kind").alias("kind"), F.min("kind").alias("other_kind"),
+        F.count(F.lit(1)).alias("n"))
 
 
-def bootstrap(graph: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+def bootstrap(links: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """Patterns that are taken up, with kind and score, from the graph's edges.
 
     An instance is known if it is a seed (weight 1), or stands with a pattern that is taken up (weight:
-    the best such score), of one kind only. For a pattern only what another context made known counts, so
-    none confirms itself. A pattern's score is the weight of its known instances over that weight, one, and
-    UNKNOWN_WEIGHT for every other instance; it is taken up with LEAST_SEEDS known instances, all of one
-    kind, and ``least_score``. Every round looks at all patterns again, until one takes up no new pattern,
-    and so no new instance. What is taken up stays, so this ends. Contexts alone are patterns too:
-    shape '' stands for any, so that identifiers of unseen shapes are found.
+    the best such score), of one kind only. For a pattern only what a context with another nearest word (or
+    the other side) made known counts, so none confirms itself. A pattern's score is the weight of its known
+    instances over that weight, one, and UNKNOWN_WEIGHT for every other instance; it is taken up with
+    LEAST_SEEDS known instances, all of one kind, and ``least_score``. Every round looks at all patterns
+    again, until one takes up no new pattern, and so no new instance. What is taken up stays, so this ends.
     """
-    either = graph.select(
-        F.col("context"), F.explode(F.array(F.lit(""), F.col("shape"))).alias("shape"),
-        "instance", "seed", "kind", "n")
-    links = materialize(either.groupBy("context", "shape", "instance").agg(
-        F.max("seed").alias("seed"), F.max("kind").alias("kind"), F.min("kind").alias("other_kind")))
     known, taken, before = None, None, 0
     while True:
         seen = links.withColumns({
             "most": F.col("kind"), "least": F.col("other_kind"),
             "weight": F.when(F.col("seed"), 1.0)})
         if known is not None:
-            elsewhere = ~F.col("seed") & ((F.col("first") != F.col("context")) | (F.col("last") != F.col("context")))
+            elsewhere = ~F.col("seed") & ((F.col("first") != F.col("core")) | (F.col("last") != F.col("core")))
             seen = links.join(known, "instance", "left").withColumns({
                 "most": F.coalesce("kind", F.when(elsewhere, F.col("known_kind"))),
                 "least": F.coalesce("other_kind", F.when(elsewhere, F.col("known_kind"))),
@@ -236,30 +294,79 @@ def bootstrap(graph: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
         if n == before:
             return taken
         before = n
-        known = materialize(links.filter(~F.col("seed")).select("context", "shape", "instance").join(
+        known = materialize(links.filter(~F.col("seed")).select("context", "core", "shape", "instance").join(
             taken, ["context", "shape"]).groupBy("instance").agg(
                 F.max("kind").alias("known_kind"), F.min("kind").alias("other"), F.max("score").alias("known_weight"),
-                F.min("context").alias("first"), F.max("context").alias("last"),
+                F.min("core").alias("first"), F.max("core").alias("last"),
             ).filter("known_kind = other").drop("other"))
 
 
+def places(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(context, total): in how many places of all whole texts the words of each context stand.
+
+    At most about MOST_CONTEXTS contexts, of two short words each, go to the tasks at a time; there are as
+    many readings of the texts as that takes. A task sends one row per context it met.
+    """
+    spark, counted = docs.sparkSession, None
+    blocks = parts(contexts.count(), MOST_CONTEXTS)
+    for block in range(blocks):
+        mine = contexts.filter(F.pmod(F.xxhash64("context"), F.lit(blocks)) == block).collect()
+        names: dict[tuple[str, ...], list[str]] = {}
+        for r in mine:
+            names.setdefault(tuple(r["context"].removeprefix("_ ").removesuffix(" _").split(" ")), []).append(r["context"])
+        shared = spark.sparkContext.broadcast(names)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            wanted, found = frozenset(shared.value), Counter()
+            for piece in slices(batches):
+                found.update(count_contexts([t for t in piece.column("text").to_pylist() if t], wanted))
+            rows = [(name, n) for words, n in found.items() for name in shared.value[words]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.int64())],
+                ["context", "total"])
+
+        part = written(in_batches(only(docs, "text"), run, "context string, total bigint").groupBy("context").agg(
+            F.sum("total").alias("total")), "pii-places")
+        counted = part if counted is None else counted.unionByName(part)
+    return counted
+
+
+def patterns(docs: DataFrame, graph: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """Patterns taken up whose contexts are drawn to identifiers.
+
+    The graph alone can't tell "phone" from "the": in a large corpus some seeds stand behind every
+    frequent word. So the contexts that a first bootstrapping takes up are counted in the texts; only
+    those that stand beside an instance in LEAST_PULL of their places go into the final bootstrapping.
+    """
+    links = materialize(graph)
+    first = bootstrap(links, least_score)
+    contexts = first.select("context").distinct()
+    if contexts.isEmpty():
+        return first
+    beside = links.join(contexts, "context", "left_semi").groupBy("context", "shape").agg(F.sum("n").alias("n")) \
+        .groupBy("context").agg(F.sum(F.when(F.col("shape") != "", F.col("n"))).alias("n"))
+    drawn = beside.join(places(docs, contexts), "context").filter(F.col("n") >= LEAST_PULL * F.col("total"))
+    return bootstrap(materialize(links.join(drawn.select("context"), "context", "left_semi")), least_score)
+
+
 def find(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """Personal data of every whole text: doc_id, base and spans (arrays of kind, start, end).
 
     Positions are code points; both arrays are sorted by start, then by the kinds' order. base are
-    the fixed patterns' matches, spans has also the tokens that stand behind a high-scoring context
+    the fixed patterns' matches, spans has also the tokens that stand beside a high-scoring context
     pattern, with that pattern's kind. Null and empty texts have none. Rows stay as they are, also
     repeated ones and those without doc_id; an empty table gives an empty table.
 
-    The texts are read once; what is written are spans and tokens with digits. Patterns and
-    discovered tokens meet by joins on the context, which are as small as the tokens are rare.
+    What is written are spans and tokens with digits. The texts are read once more to count the contexts
+    that come into question. Patterns and discovered tokens meet by joins on the context, which are as
+    small as the tokens are rare.
     """
     seen = written(read(docs).select(F.monotonically_increasing_id().alias("row"), "*"), "pii")
-    patterns = bootstrap(edges(seen), least_score)
+    taken = patterns(docs, edges(seen), least_score)
     tokens = seen.select("row", F.explode("occurrences").alias("o")).filter("not o.seed").select(
-        "row", "o.context", F.explode(F.array(F.lit(""), F.col("o.shape"))).alias("shape"),
-        "o.start", "o.end")
-    hits = tokens.join(patterns.select("context", "shape", "kind", "score"), ["context", "shape"])
+        "row", "o", F.explode("o.contexts").alias("c")).select(
+        "row", "c.context", F.explode(_shapes()).alias("shape"), "o.start", "o.end")
+    hits = tokens.join(taken.select("context", "shape", "kind", "score"), ["context", "shape"])
     order = F.element_at(F.create_map(*[F.lit(x) for k, v in enumerate(KINDS) for x in (v, k)]), F.col("kind"))
     # one kind per token: that of the best pattern
     best = hits.groupBy("row", "start", "end").agg(

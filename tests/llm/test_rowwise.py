@@ -112,6 +112,59 @@ def test_pii_instances_of_any_length_and_of_digit_groups(spark):
     assert [got[40 + i] for i in range(len(unseen))] == [[("phone", 11, 11 + len(x))] for x in unseen]
 
 
+def with_planted_identifiers(texts, seed=11, seeds=40, unseen=25):
+    """Texts with seeds, unseen identifiers and look-alikes at random words, and the spans of the unseen ones."""
+    rng = random.Random(seed)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    known = {
+        "email": lambda: f"u{number(5)}@mail{number(3)}.example.org",
+        "phone": lambda: f"+1 ({number(3)}) 555-{number(4)}",
+    }
+    other = {"email": lambda: f"u{number(5)}(at)mail{number(3)}", "phone": lambda: f"0{number(3)}/{number(7)}"}
+    around = [("email", "Kontaktadresse {} "), ("email", "mail={} "), ("email", "schreib an: {} "), ("phone", "Rufnummer: {} "),
+              ("phone", "you can reach her by {} "), ("phone", "{} anrufbar "), ("phone", '"mobil": "{}" ')]
+    plants = [(kind, form, make, False) for kind, form in around for make in [known[kind]] * seeds]
+    plants += [(kind, form, make, True) for kind, form in around for make in [other[kind]] * unseen]
+    clean = ["Bestellung {} ", "kostet {} Euro ", "the {} of ", "of the {} und "]
+    plants += [(None, form, lambda: number(rng.randint(2, 13)), False) for form in clean for _ in range(60)]
+    texts, spans = list(texts), []
+    chosen = rng.sample(range(len(texts)), len(plants))
+    for i, (kind, form, make, counts) in zip(chosen, plants):
+        text, value = texts[i], make()
+        gaps = [j + 1 for j, c in enumerate(text) if c == " "] or [0]
+        at = rng.choice(gaps)
+        texts[i] = text[:at] + form.format(value) + text[at:]
+        start = at + form.index("{}")
+        if counts:
+            spans.append((i, kind, start, start + len(value)))
+    return texts, spans
+
+
+def test_pii_precision_and_recall_of_planted_identifiers(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    tried, planted = with_planted_identifiers([r.text for r in documents.orderBy("doc_id").collect() if r.text])
+    rows = pii.find(frame(spark, tried)).collect()
+    found = {(r.doc_id, *x) for r in rows for x in set(plain(r.spans)) - set(plain(r.base))}
+    right = found & set(planted)
+    assert len(right) >= 0.9 * len(planted) and len(right) >= 0.9 * len(found)
+
+
+def test_pii_contexts_are_words_on_both_sides():
+    around = pii._Surroundings('Call (Mr.) Ä12: "x9", then ' + "w" * 65)
+    assert [c["context"] for c in around.contexts(17, 19)] == ["ä9 _", "mr ä9 _", "_ then"]
+    assert around.contexts(0, 27) == [] and pii._Surroundings("").contexts(0, 0) == []
+    wanted = frozenset([("the",), ("of", "the"), ("the", "the")])
+    assert pii.count_contexts(["Of the, THE\nof (the) 1", "the"], wanted) == {
+        ("the",): 4, ("of", "the"): 2, ("the", "the"): 1}
+
+
+def test_pii_frequent_words_are_no_context(spark):
+    """Seeds stand behind a frequent word by chance: numbers behind it stay clean."""
+    seeds = [f"in the user{i}@mail{i}.example.org it" for i in range(40)]
+    texts = seeds + ["in the house it is the one " * 30] * 40 + ["in the 4111111111 it"]
+    assert not pii.find(frame(spark, texts)).filter("doc_id >= 40 and size(spans) > 0").count()
+
+
 def test_secret_base_is_the_patterns(spark, texts):
     tried = random_texts(["token", "Secret", "api_key", "APIKEY", "password", "=", ":", " ", '"', "'", "AKIA", "Z9",
                           "0a", "deadbeef", "x", ".", "token=api:", "K"]) + list(texts.values())
