@@ -197,5 +197,27 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+#: Every pair of usable vectors is compared. Ids are taken to be unique, as in the given tables.
+OP9_SQL = f"""
+WITH RECURSIVE rows AS (
+    SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+good AS (
+    SELECT vec_id, v FROM rows WHERE vec_id IS NOT NULL AND v IS NOT NULL
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {THRESHOLD}),
+reach AS (
+    SELECT vec_id AS node, vec_id AS other FROM good
+    UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+roots AS (SELECT node, MIN(other) AS root FROM reach GROUP BY node),
+degrees AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, COALESCE(d.n, 0) AS n_links, COALESCE(c.root, r.vec_id) AS component_id,
+    COALESCE(r.vec_id = COALESCE(c.root, r.vec_id), FALSE) AS kept
+FROM rows r LEFT JOIN degrees d ON r.vec_id = d.a LEFT JOIN roots c ON r.vec_id = c.node
+"""
+
+
 def op9_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

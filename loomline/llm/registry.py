@@ -19,5 +19,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": mixing.OP5_SQL, "op11_ranked_search": search.OP11_SQL,
+    return {"op5_mix_sources": mixing.OP5_SQL, "op8_ngram_jaccard": set_join.OP8_SQL,
+            "op9_embedding_dedup": embeddings.OP9_SQL, "op11_ranked_search": search.OP11_SQL,
             "op12_prefix_trie": prefix_trie.OP12_SQL}

@@ -393,5 +393,32 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     return rows.join(gone, "row", "left_anti").select(*places).toDF(*docs.columns)
 
 
+#: Documents that share a shingle are compared, over whole texts. Ids are taken to be unique, as in the given tables.
+OP8_SQL = f"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+        ELSE array_to_string(list_slice(w, i, i + 4), ' ') END AS s
+    FROM (SELECT doc_id, w, UNNEST(range(1, GREATEST(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS n FROM shingles a JOIN shingles b
+    ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+pairs AS (
+    SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+    WHERE 100 * shared.n >= {PERCENT} * (x.n + y.n - shared.n)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+    SELECT DISTINCT a AS node, a AS other FROM links
+    UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+roots AS (SELECT node, MIN(other) AS root FROM reach GROUP BY node)
+SELECT d.doc_id, CAST(COALESCE(s.n, 0) AS BIGINT) AS n_shingles,
+    CAST(COALESCE(r.root, d.doc_id) AS BIGINT) AS component_id
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN roots r ON d.doc_id = r.node
+"""
+
+
 def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     return cluster(spark.read.parquet(f"{sf_dir}/documents.parquet"))
