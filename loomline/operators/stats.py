@@ -5,7 +5,7 @@ Units are always named: ``nats`` for natural logarithms, ``bits`` for base two.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -239,3 +239,28 @@ def token_budget(runs: DataFrame, tokens_on_hand: Column, tokens_per_param: int
         "shortfall_factor": required / tokens_on_hand,
         "enough": tokens_on_hand >= required,
     })
+
+
+def diversity_grid(df: DataFrame, dimensions: Mapping[str, Sequence], target: int = 1) -> DataFrame:
+    """Coverage of all combinations of the dimensions' values, and of every subset of the dimensions.
+
+    One row per cell of the cube: the dimensions (null: all values; ``level`` says which, as the cube's grouping
+    number), ``n_rows``, ``n_cells`` of the grid in it, ``n_empty`` of them, and ``n_short``: the rows that its cells lack to
+    have ``target`` each. Combinations that occur but aren't on the grid count in ``n_rows`` and ``n_outside``, not
+    as cells; a missing value stands as ``(none)``. Rows are combined before the shuffle; the grid is a literal list.
+    """
+    names = list(dimensions)
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)")).alias(c)
+    counted = df.groupBy(*[value(c) for c in names]).agg(F.count("*").alias("n"))
+    grid = df.sparkSession.range(1).select()
+    for c in names:
+        grid = grid.select("*", F.explode(F.array(*[F.lit(str(v)) for v in dict.fromkeys(dimensions[c])])).alias(c))
+    cells = grid.withColumn("cell", F.lit(1)).join(counted, names, "full").select(
+        *names, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("cell", F.lit(0)).alias("cell"))
+    lack = F.when(F.col("cell") == 1, F.greatest(F.lit(target) - F.col("n"), F.lit(0))).otherwise(0)
+    return cells.cube(*names).agg(
+        F.grouping_id().cast("bigint").alias("level"), F.sum("n").alias("n_rows"),
+        F.sum("cell").cast("bigint").alias("n_cells"),
+        F.count(F.when((F.col("cell") == 1) & (F.col("n") == 0), 1)).alias("n_empty"),
+        F.sum(lack).cast("bigint").alias("n_short"),
+        F.sum(F.when(F.col("cell") == 0, F.col("n")).otherwise(0)).alias("n_outside"))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import keyword
+
 from loomline.functions import fixed_values as fv
+from loomline.operators import code_style
 from loomline.plans.queries import (
     BLOCK,
     CODE_LANGUAGE,
     DATASET_LANGUAGE,
     FILE_NAMES,
+    GRID,
+    GRID_TARGET,
     PACKED_ROW,
     RUNS,
     SAFE_SHARE,
@@ -135,6 +140,37 @@ scores as (
   from words group by lang, word)"""
 
 
+def literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def literals(values) -> str:
+    return ", ".join(literal(v) for v in values)
+
+
+def matches(token: str, pattern: str) -> str:
+    return f"regexp_matches({token}, {literal(pattern)})"
+
+
+def n_tokens(condition: str) -> str:
+    return f"len(list_filter(t, lambda x: {condition}))"
+
+
+#: The documents as source texts, and their tokens with the line break before each text.
+LEXED = f"""
+code_texts as (
+  select doc_id, 'import os' || chr(10) || chr(10) || 'def part(a1, name):' || chr(10) || '    \"\"\"Part of '
+    || coalesce(lang, '') || '\"\"\"' || chr(10) || '    return f''{{a1}} # {{name}}''' || chr(10)
+    || case when {h('print', 'doc_id')} % 2 = 0
+      then replace(assigned, '. ', chr(10) || chr(9) || 'print(name, "# none")' || chr(10) || '    ')
+      else assigned end as text
+  from (select doc_id, lang, regexp_replace(text, '([a-z]{{4,}}) ([a-z]{{4,}})',
+    '\\1 = \\2.strip(tmp2)  # \\1', 'g') as assigned from documents)),
+lexed as (
+  select doc_id, text, regexp_extract_all(chr(10) || coalesce(text, ''), {literal(code_style.LEXER)}) as t
+  from code_texts)"""
+
+
 def candidates(score: str, top_k: int | None, top_p: float) -> str:
     ranked = f"select grp, item, {score} as score from scores"
     if top_k is not None:
@@ -682,6 +718,97 @@ where rank <= 10"""
 select doc_id, n as n_tokens, (n + {PACKED_ROW - 1}) // {PACKED_ROW} as n_pieces, true as gapless, true as fits
 from (select doc_id, octet_length(encode(coalesce(text, ''))) + 1 as n from documents)"""
 
+    # --- source texts
+    a_name = matches("x", f"^(?:{code_style.NAME})$")
+    comment = f"(x like '#%' or {matches('x', '^' + code_style.DOCSTRING)})"
+    q["style_noise"] = f"""
+with {LEXED}, counted as (
+  select doc_id, {n_tokens(f"{a_name} and x not in ({literals(keyword.kwlist)})")} as n_names,
+    {n_tokens(matches('x', code_style.WEAK_NAME))} as n_weak_names,
+    {n_tokens(matches('x', '^' + code_style.DEBUG_PRINT))} as n_prints, {n_tokens(comment)} as n_comments,
+    {n_tokens(matches('x', '^' + chr(92) + 'n[ ' + chr(92) + 't]*' + chr(92) + 't'))} as n_tab_lines,
+    {n_tokens(matches('x', '^' + chr(92) + 'n[ ' + chr(92) + 't]* '))} as n_blank_lines,
+    len(string_split(coalesce(text, ''), chr(10))) as n_lines
+  from lexed)
+select *, n_prints > 0 or (n_tab_lines > 0 and n_blank_lines > 0) or n_weak_names > 0.2::double * n_names
+  or (n_comments = 0 and n_lines >= 20) as noisy from counted"""
+    renamed = f"({a_name} and x not in ({literals(code_style.KEPT_NAMES)}) and not list_contains(kept, x))"
+    q["degrade_pairs"] = f"""
+with {LEXED}, known as (
+  select doc_id, text, t, regexp_extract_all(array_to_string(list_filter(t, lambda x:
+    {matches('x', '^' + code_style.IMPORT)} or {matches('x', '^[rR]?[fF][rR]?["' + chr(39) + ']')}), ' '),
+    {literal(code_style.NAME)}) as kept from lexed where text is not null),
+copies as (
+  select doc_id, text, {n_tokens(comment)} as n_dropped, {n_tokens(renamed)} as n_renamed,
+    substr(array_to_string(list_transform(t, lambda x: case when x like '#%' then ''
+      when {comment} then regexp_extract(x, '^\n[ \t]*') || '""'
+      when {renamed} then 'v' || substring(md5('0:' || x), 1, 12) else x end), ''), 2) as rejected
+  from known)
+select doc_id, n_dropped, n_renamed, md5(text) as chosen_md5, md5(rejected) as rejected_md5
+from copies where text <> rejected"""
+    q["normalize_pairs"] = f"""
+with dirty as (
+  select doc_id, case {h('dirt', 'doc_id')} % 5
+    when 0 then replace(text, '. ', '.  ' || repeat(chr(10), 4)) when 1 then replace(text, chr(10), chr(13) || chr(10))
+    when 2 then replace(text, '. ', '.' || chr(10) || chr(9)) when 3 then text || chr(10) else text end as dirty
+  from documents),
+lines as (
+  select *, string_split(replace(regexp_replace(dirty, '\r\n|\r', chr(10), 'g'), chr(9), '    '), chr(10)) as lines
+  from dirty where dirty is not null),
+trimmed as (select *, array_to_string(list_transform(lines, lambda x: rtrim(x, ' ')), chr(10)) as whole from lines),
+short as (select *, regexp_replace(whole, '\n{{4,}}', repeat(chr(10), 3), 'g') as short from trimmed),
+clean as (
+  select *, case when rtrim(short, chr(10)) = '' then '' else rtrim(short, chr(10)) || chr(10) end as clean from short)
+select doc_id, len(regexp_extract_all(dirty, '\r\n|\r')) as n_line_ends,
+  length(dirty) - length(replace(dirty, chr(9), '')) as n_tabs,
+  len(list_filter(lines, lambda x: rtrim(x, ' ') <> x)) as n_trailing,
+  len(regexp_extract_all(whole, '\n{{4,}}')) as n_blank_runs, clean <> short as ended,
+  md5(dirty) as dirty_md5, md5(clean) as clean_md5
+from clean where clean <> dirty"""
+    ends = [-1, *code_style.LINE_CLASSES, 1 << 60]
+    classes = range(len(ends) - 1)
+    each_class = ", ".join(
+        f"coalesce(list_sum(list_filter(n, lambda x: x > {low} and x <= {high})), 0)::bigint as c{k}"
+        for k, low, high in zip(classes, ends, ends[1:]))
+    apart = " + ".join(f"abs(c{k}::double / n_chars - t{k}::double / total)" for k in classes)
+    q["flag_generated"] = f"""
+with texts as (
+  select doc_id, coalesce(case {h('generated', 'doc_id')} % 5 when 0 then replace(text, chr(10), ' ')
+    when 1 then replace(regexp_replace(text, '[a-z]', '7', 'g'), ' ', chr(10))
+    when 2 then '# Code generated by a tool. DO NOT EDIT.' || chr(10) || text else text end, '') as text
+  from documents),
+lines as (select doc_id, text, string_split(text, chr(10)) as lines from texts),
+measured as (select *, list_transform(lines, lambda x: length(x)) as n from lines),
+classes as (
+  select doc_id, len(lines) as n_lines, list_max(n) as longest_line, len(regexp_extract_all(text, '\\p{{L}}')) as n_letters,
+    list_sum(n)::bigint as n_chars, array_to_string(lines[1:5], chr(10)) as head, {each_class} from measured),
+corpus as (select {', '.join(f'sum(c{k}) as t{k}' for k in classes)}, greatest(sum(n_chars), 1) as total from classes),
+far as (
+  select *, case when n_chars > 0 then round(({apart}) / 2, 6) else 0.0::double end as distance
+  from classes, corpus)
+select doc_id, n_lines, longest_line, n_letters, n_chars, distance,
+  case when {matches('head', code_style.GENERATED_MARK)} then 'marked'
+    when distance >= 0.5 and longest_line >= 1000 then 'minified'
+    when distance >= 0.5 and n_letters < 0.25 * n_chars then 'data' end as reason
+from far"""
+    names = ", ".join(GRID)
+    axes = ", ".join(f"(select unnest([{literals(values)}]) as {c})" for c, values in GRID.items())
+    q["diversity_grid"] = f"""
+with labelled as (
+  select coalesce(lang, '(none)') as lang, case when n_chars < 500 then 'short' when n_chars < 5000 then 'medium'
+      when n_chars < 20000 then 'long' else 'very long' end as size,
+    coalesce(quality::varchar, 'unknown') as quality, coalesce(toxic::varchar, '(none)') as toxic
+  from documents left join labels using (doc_id)),
+counted as (select {names}, count(*) as n from labelled group by {names}),
+cells as (
+  select {names}, coalesce(n, 0) as n, coalesce(cell, 0) as cell
+  from (select *, 1 as cell from {axes}) full join counted using ({names}))
+select {names}, grouping({names})::bigint as level, sum(n)::bigint as n_rows, sum(cell)::bigint as n_cells,
+  count(*) filter (cell = 1 and n = 0) as n_empty,
+  sum(case when cell = 1 then greatest({GRID_TARGET} - n, 0) else 0 end)::bigint as n_short,
+  sum(case when cell = 0 then n else 0 end)::bigint as n_outside
+from cells group by cube ({names})"""
+
     # --- streaming
     q["stream_shards"] = """
 select source, count(*) as n_rows,

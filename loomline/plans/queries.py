@@ -16,7 +16,7 @@ from loomline.functions.hashing import seeded_hash
 from loomline.functions.lookup import lookup
 from loomline.functions.tokenizers import BYTES
 from loomline.operators import (
-    best_fit, caps, filters, records, retrieval, screening, sequence, stats, telemetry, tokens,
+    best_fit, caps, code_style, filters, records, retrieval, screening, sequence, stats, telemetry, tokens,
 )
 from loomline.plans import prepare
 from loomline.session import materialize, workspace, write_once
@@ -754,6 +754,64 @@ def pack_best_fit(spark, d):
         (F.max(F.col("offset") + F.col("length")) <= PACKED_ROW).alias("fits"))
 
 
+# --- source texts -----------------------------------------------------------------
+
+
+def _code_texts(spark, d) -> DataFrame:
+    """The documents as source texts: word pairs become assignments with comments, some sentences debug output."""
+    assigned = F.regexp_replace("text", "([a-z]{4,}) ([a-z]{4,})", "$1 = $2.strip(tmp2)  # $1")
+    printed = F.replace(assigned, F.lit(". "), F.lit('\n\tprint(name, "# none")\n    '))
+    head = F.concat(F.lit("import os\n\ndef part(a1, name):\n    \"\"\"Part of "), F.coalesce("lang", F.lit("")),
+                    F.lit("\"\"\"\n    return f'{a1} # {name}'\n"))
+    texts = F.concat(head, F.when(seeded_hash("print", "doc_id") % 2 == 0, printed).otherwise(assigned))
+    return documents(spark, d).select("doc_id", texts.alias("text"))
+
+
+def style_noise(spark, d):
+    return code_style.style_noise(_code_texts(spark, d)).drop("text")
+
+
+def degrade_pairs(spark, d):
+    return code_style.degrade_pairs(_code_texts(spark, d)).select(
+        "doc_id", "n_dropped", "n_renamed", F.md5("chosen").alias("chosen_md5"), F.md5("rejected").alias("rejected_md5"))
+
+
+def normalize_pairs(spark, d):
+    """Of each five documents, one gets blank lines and blanks at line ends, one foreign line ends, one tabs."""
+    kind = seeded_hash("dirt", "doc_id") % 5
+    dirty = (F.when(kind == 0, F.replace(F.col("text"), F.lit(". "), F.lit(".  \n\n\n\n")))
+             .when(kind == 1, F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n")))
+             .when(kind == 2, F.replace(F.col("text"), F.lit(". "), F.lit(".\n\t")))
+             .when(kind == 3, F.concat("text", F.lit("\n"))).otherwise(F.col("text")))
+    return code_style.normalize_pairs(documents(spark, d).select("doc_id", dirty.alias("text"))).select(
+        "doc_id", "n_line_ends", "n_tabs", "n_trailing", "n_blank_runs", "ended",
+        F.md5("dirty").alias("dirty_md5"), F.md5("clean").alias("clean_md5"))
+
+
+def flag_generated(spark, d):
+    """Of each five documents, one comes in one line, one as digits, one with a generator's mark."""
+    kind = seeded_hash("generated", "doc_id") % 5
+    text = (F.when(kind == 0, F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))
+            .when(kind == 1, F.replace(F.regexp_replace("text", "[a-z]", "7"), F.lit(" "), F.lit("\n")))
+            .when(kind == 2, F.concat(F.lit("# Code generated by a tool. DO NOT EDIT.\n"), "text"))
+            .otherwise(F.col("text")))
+    return code_style.flag_generated(documents(spark, d).select("doc_id", text.alias("text")))
+
+
+GRID = {"lang": ["en", "de", "fr", "es", "it"], "size": ["short", "medium", "long"],
+        "quality": ["0", "1", "unknown"], "toxic": ["0", "1"]}
+GRID_TARGET = 20
+
+
+def diversity_grid(spark, d):
+    labelled = documents(spark, d).join(table(spark, d, "labels"), "doc_id", "left")
+    size = (F.when(F.col("n_chars") < 500, "short").when(F.col("n_chars") < 5000, "medium")
+            .when(F.col("n_chars") < 20000, "long").otherwise("very long"))
+    rows = labelled.select("lang", size.alias("size"), F.coalesce(F.col("quality").cast("string"), F.lit(
+        "unknown")).alias("quality"), "toxic")
+    return stats.diversity_grid(rows, GRID, GRID_TARGET)
+
+
 def quality_model(spark, d):
     from loomline.operators import quality_model as model
 
@@ -851,6 +909,7 @@ REGISTERED = [
     flag_boilerplate, license_gate, rejection_sample, error_histogram, behavior_clusters,
     disagreement_select, citation_precision,
     decontaminate_eval, safety_gate, vector_topk, pack_best_fit,
+    style_noise, degrade_pairs, normalize_pairs, flag_generated, diversity_grid,
     stream_shards, stream_prepare, stream_cap_per_language, stream_run_metrics,
 ]
 
