@@ -175,53 +175,71 @@ def test_mixing_large_means_and_odd_rows(spark, odd, nothing):
     assert mixing.replicate(nothing).count() == 0
 
 
-def test_language_model_is_kneser_ney(spark, monkeypatch):
-    monkeypatch.setattr(ngram_lm, "PAIR_SHARE_BYTES", 1 << 16)
-    monkeypatch.setattr(ngram_lm, "WORD_SHARE_BYTES", 1 << 17)
-    monkeypatch.setattr(ngram_lm, "CHUNK_BYTES", 1 << 16)
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_is_kneser_ney(spark, monkeypatch, order):
+    for name, size in (("PAIR_SHARE_BYTES", 1 << 16), ("WORD_SHARE_BYTES", 1 << 17), ("CHUNK_BYTES", 1 << 16),
+                       ("SPLIT_BYTES", 1 << 13), ("NARROW", 3)):
+        monkeypatch.setattr(ngram_lm, name, size)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    got = {r.doc_id: r for r in ngram_lm.op7_ngram_lm(spark, SF).collect()}
     end = "</s>"
     tokens = {r.doc_id: words(lower(r.text or "")) + [end] for r in docs.collect()}
     known = [i for i in tokens if zlib.crc32(str(i).encode()) % 7 != 2]
-    c, pairs = collections.Counter(), collections.Counter()
+    if order == 3:
+        got = {r.doc_id: r for r in ngram_lm.op7_ngram_lm(spark, SF).collect()}
+    else:
+        model = ngram_lm.train(docs.where(F.crc32(F.col("doc_id").cast("string")) % 7 != 2), order=2)
+        got = {r.doc_id: r for r in ngram_lm.score(docs, model).collect()}
+    c, pairs, triples = collections.Counter(), collections.Counter(), collections.Counter()
     for i in known:
         c.update(tokens[i])
-        pairs.update(zip([end] + tokens[i][:-1], tokens[i]))
+        pairs.update(zip([end] + tokens[i], tokens[i]))
+        triples.update(zip([end, end] + tokens[i], [end] + tokens[i], tokens[i]))
     n, v = sum(c.values()), len(c)
+    if order == 3:
+        pairs = collections.Counter((b, w) for _, b, w in triples)
     of = lambda counts: ngram_lm.discounts_of([sum(x == k for x in counts) for k in (1, 2, 3, 4)])
-    follows = collections.Counter(w for _, w in pairs)
-    d, e = of(list(pairs.values())), of(list(follows.values()))
     cut = lambda x, by: (0, *by)[min(x, 3)]
-    left = collections.Counter()
+    follows = collections.Counter(w for _, w in pairs)
+    d, e, f = of(list(pairs.values())), of(list(follows.values())), of(list(triples.values()))
+    total, left, total3, left3 = (collections.Counter() for _ in range(4))
     for (u, _), x in pairs.items():
+        total[u] += x
         left[u] += cut(x, d)
+    for (t, u, _), x in triples.items():
+        total3[t, u] += x
+        left3[t, u] += cut(x, f)
     rest = sum(cut(x, e) for x in follows.values()) / len(pairs)
     q = lambda w: max(follows[w] - cut(follows[w], e), 0) / len(pairs) + rest / (v + 1)
 
-    def p(u, w):
-        if u not in c:
-            return q(w)
-        return max(pairs[u, w] - cut(pairs[u, w], d), 0) / c[u] + left[u] / c[u] * q(w)
+    def p(t, u, w):
+        x = pairs[u, w]
+        below = (max(x - cut(x, d), 0) + left[u] * q(w)) / total[u] if u in total else q(w)
+        if order == 2 or (t, u) not in total3:
+            return below
+        x = triples[t, u, w]
+        return (max(x - cut(x, f), 0) + left3[t, u] * below) / total3[t, u]
 
-    assert sum(p("the", w) for w in c) + left["the"] / c["the"] * rest / (v + 1) == pytest.approx(1)
+    for t, u in ((end, end), max(total3, key=total3.get), ("none", "the"), ("none", "none")):
+        assert sum(p(t, u, w) for w in c) + p(t, u, "no such word") == pytest.approx(1)
     for i, own in tokens.items():
         r = got[i]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(w in c for w in own), n)
-        assert r.held_out == (i not in known)
+        assert (r.n_tokens, r.n_known) == (len(own), sum(w in c for w in own))
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in own), rel=1e-9)
-        assert r.score == pytest.approx(
-            sum(math.log10(p(u, w)) for u, w in zip([end] + own[:-1], own)), rel=1e-9)
+        assert r.score == pytest.approx(sum(
+            math.log10(p(t, u, w)) for t, u, w in zip([end, end] + own, [end] + own, own)), rel=1e-9)
+        if order == 3:
+            assert r.train_tokens == n and r.held_out == (i not in known)
 
 
-def test_language_model_odd_rows(spark, odd, nothing):
-    model = ngram_lm.train(odd)
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_odd_rows(spark, odd, nothing, order):
+    model = ngram_lm.train(odd, order=order)
     rows = ngram_lm.score(odd, model).collect()
     assert len(rows) == odd.count() and all(r.score < 0 for r in rows)
     same = [r.score for r in rows if r.doc_id == 5]
     assert same[0] == pytest.approx(same[1])
     assert ngram_lm.score(nothing, model).count() == 0
-    empty = ngram_lm.score(odd, ngram_lm.train(nothing)).collect()
+    empty = ngram_lm.score(odd, ngram_lm.train(nothing, order=order)).collect()
     assert all(r.n_known == 0 and r.score == pytest.approx(0) for r in empty)
 
 
