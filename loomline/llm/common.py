@@ -94,6 +94,16 @@ def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(name, str(rows))
 
 
+def drop_finished_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete a query's shuffle files when it has ended, from now on, unless the session says otherwise.
+
+    A job of several written tables would else hold the shuffles of all of them until it ends.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if spark.conf.get(name, None) in (None, "false"):
+        spark.conf.set(name, "true")
+
+
 def in_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` in small batches; the worker gives memory back at the end of a task."""
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
