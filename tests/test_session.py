@@ -53,3 +53,14 @@ def test_workspace_folders_can_be_discarded(spark):
     assert os.path.isdir(path)
     ours.discard(spark, path)
     assert not os.path.isdir(path)
+
+
+def test_the_shared_folder_needs_no_scheme_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "local-cluster[2,1,512]")
+    shared = session.shared_dir(spark)
+    assert not shared.startswith("file:")
+    path = session.workspace(spark, "tokens")
+    assert session.qualified(spark, path) == path
+    for outside in (f"{shared}-other/x", f"{shared}/../x"):
+        with pytest.raises(ValueError, match="scheme"):
+            session.qualified(spark, outside)
