@@ -14,7 +14,7 @@ from loomline.functions.lookup import lookup
 from loomline.functions.tokenizers import TOKENS
 from loomline.operators.filters import char_length_ok
 from loomline.operators.ordering import smallest_ids
-from loomline.session import materialize
+from loomline.session import bound_batches, materialize
 
 
 def cap_examined(df: DataFrame, max_samples: int, id_col="doc_id", text_col="text",
@@ -121,6 +121,7 @@ def quarantine_failures(df: DataFrame, tokenizer, content_col="content") -> tupl
 
     Every record is tried once; the outcome is written, and both tables read it.
     """
+    bound_batches(df.sparkSession)
     others = [name for name in df.columns if name != content_col]
     tried = df.withColumn("_attempt", attempt_encode(F.col(content_col), tokenizer))
     failed = F.col("_attempt.error").isNotNull()
@@ -134,6 +135,7 @@ def quarantine_failures(df: DataFrame, tokenizer, content_col="content") -> tupl
 
 def quarantine_report(df: DataFrame, tokenizer, content_col="content") -> DataFrame:
     """Rows and tokens per outcome, ``ok`` or the error name, in one pass."""
+    bound_batches(df.sparkSession)
     attempt = df.select(attempt_encode(F.col(content_col), tokenizer).alias("attempt"))
     return attempt.groupBy(F.coalesce("attempt.error", F.lit("ok")).alias("outcome")).agg(
         F.count("*").alias("n_rows"),

@@ -1,11 +1,12 @@
 import base64
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loomline.functions import fixed_values as fv
 from loomline.functions.tokenizers import BYTES, BpeTokenizer
-from loomline.operators import tokens
+from loomline.operators import caps, tokens
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +113,62 @@ def test_context_equals_the_turn_by_turn_loop(spark, block_size):
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     got = tokens.conversation_context(df.repartition(5), block_size, turns_per_bucket=7).collect()
     assert {(r.conv_id, r.turn): r.context for r in got} == expected
+
+
+ROWS, BYTES_HELD = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def unbounded(spark):
+    """A session in which no operator has bounded the batches yet."""
+    before = {name: spark.conf.get(name, None) for name in (ROWS, BYTES_HELD)}
+    for name in before:
+        spark.conf.unset(name)
+    yield spark
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("operator", ["encode_document", "tokenize_corpus", "build_completion_prompt",
+                                      "build_fim_prompt", "quarantine_report", "quarantine_failures"])
+def test_texts_come_to_python_in_bounded_batches(unbounded, operator):
+    class Sized:
+        """The token of a text is the size of its batch; more than it may hold fails."""
+
+        def encode(self, text):
+            @F.arrow_udf("array<int>")
+            def sizes(texts: pa.Array) -> pa.Array:
+                return Sized().encode_batch(texts)
+
+            return sizes(text)
+
+        def encode_batch(self, texts):
+            sizes = [len(texts), texts.nbytes]
+            if sizes[0] > 1000 or sizes[1] > 9 << 20:
+                raise SystemExit(f"a batch of {sizes}")
+            return pa.array([[1]] * len(texts), pa.list_(pa.int32()))
+
+    rows = unbounded.range(4000).coalesce(1).select("id", F.when(F.col("id") < 3000, "x").otherwise(
+        F.repeat(F.lit("long "), 10_000)).alias("text"))
+    rows = rows.withColumns({"content": F.encode("text", "UTF-8"), "prefix": F.col("text"), "suffix": F.lit(""),
+                             "lang": F.lit("python")})
+    if operator == "quarantine_report":
+        assert caps.quarantine_report(rows, Sized()).first()["n_rows"] == 4000
+    elif operator == "quarantine_failures":
+        assert caps.quarantine_failures(rows.select("id", "content"), Sized())[0].count() == 4000
+    else:
+        done = getattr(tokens, operator)(rows, Sized())
+        assert done.agg(F.count(F.col(done.columns[-1]))).first()[0] == 4000
+
+
+def test_tokens_are_decoded_in_bounded_batches(unbounded):
+    df = unbounded.createDataFrame([([104, 105], "hi")], "tokens array<int>, text string")
+    assert tokens.detokenize_audit(df).first().round_trips
+    assert int(unbounded.conf.get(ROWS)) <= 1000 and int(unbounded.conf.get(BYTES_HELD)) <= 8 << 20
+
+
+def test_a_session_keeps_its_own_smaller_batches(unbounded):
+    unbounded.conf.set(ROWS, "7")
+    unbounded.conf.set(BYTES_HELD, "4096")
+    tokens.tokenize_corpus(unbounded.createDataFrame([("hi",)], "text string"))
+    assert (unbounded.conf.get(ROWS), unbounded.conf.get(BYTES_HELD)) == ("7", "4096")
