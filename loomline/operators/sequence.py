@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions import fixed_values as fv
@@ -103,50 +103,65 @@ def split_stream_at_eot(blocks: DataFrame, group: Sequence[str] = ("split",), eo
     is piece 0, and so on, so a stream without end tokens does not become one
     row. :func:`stream_documents` has one row per document.
 
-    ``blocks`` is written once, since two passes need it.
+    ``blocks`` is written once, since two passes need it. The first counts the end tokens of stretches of
+    blocks; in the second every stretch comes to one task, with the few blocks behind it that its last
+    pieces may reach into. So the tokens are shuffled once, and where only lengths are read, not at all.
     """
     blocks = write_once(blocks.select(*group, "block_no", "tokens"), "blocks")
-    keys = [*group, "block_no"]
-    tokens = F.col("tokens")
-    ends = F.filter(
+    tokens, block = F.col("tokens"), F.col("block_no")
+    stretch = max(1024, 16 * blocks_per_piece)
+    ends = F.when(F.array_contains(tokens, eot), F.filter(
         F.transform(tokens, lambda t, i: F.when(t == eot, i + 1)), lambda i: i.isNotNull()
+    )).otherwise(F.array().cast("array<int>"))
+    own = F.floor(block / stretch)
+    reached = block - own * stretch < blocks_per_piece - 1
+    dealt = blocks.select(
+        *group, "block_no", "tokens", F.size(tokens).alias("_size"), ends.alias("_ends"),
+        F.when(F.get(tokens, F.size(tokens) - 1) == eot, block + 1).otherwise(block).alias("_next"),
+        F.explode(F.when(reached, F.array(own, own - 1)).otherwise(F.array(own))).alias("_stretch"),
     )
-    # Only the number of ends per block goes through the running sums, not the tokens.
-    n_ends = F.size(F.filter(tokens, lambda t: t == eot)).cast("bigint")
-    next_begins = F.col("block_no") + (F.element_at(tokens, -1) == eot).cast("bigint")
-    counts = materialize(blocks.select(
-        *keys, n_ends.alias("_n"), F.when(n_ends > 0, next_begins).alias("_next"),
-        F.floor(F.col("block_no") / 1024).alias("_bucket"),
+    keys = [*group, "_stretch"]
+    n_ends = F.size("_ends").cast("bigint")
+    begins = F.when(n_ends > 0, F.col("_next"))
+    inside = F.col("_stretch") == own
+    totals = {"_docs_before": ("sum", "_n"), "_begun": ("max", "_last")}
+    counts = materialize(dealt.groupBy(*keys).agg(
+        F.sum(F.when(inside, n_ends)).alias("_n"), F.max(F.when(inside, begins)).alias("_last"),
     ))
-    counted = totals_before(
-        counts, "_bucket", ["block_no"],
-        {
-            "_docs_before": ("sum", F.col("_n")),
-            "_begun": ("max", F.col("_next")),
-        },
-        group=group, fanout=4096,
-    ).drop("_n", "_next", "_bucket")
-    marked = blocks.select(*keys, "tokens", ends.alias("_ends")).join(counted, keys)
+    earlier = totals_before(
+        counts.withColumn("_coarse", F.floor(F.col("_stretch") / 4096)), "_coarse", ["_stretch"],
+        {f"_carry{name}": (kind, F.col(value)) for name, (kind, value) in totals.items()}, group=group,
+    ).select(*keys, "_carry_docs_before", "_carry_begun")
+    before = Window.partitionBy(*keys).orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    marked = dealt.withColumns({
+        "_docs_here": F.sum(n_ends).over(before), "_begun_here": F.max(begins).over(before),
+    }).join(earlier, keys).withColumns({
+        "_docs_before": F.coalesce("_carry_docs_before", zero) + F.coalesce("_docs_here", zero),
+        "_begun": F.coalesce(F.greatest("_carry_begun", "_begun_here"), zero),
+    })
     starts = F.concat(F.array(F.lit(0)), F.col("_ends"))
-    stops = F.concat(F.col("_ends"), F.array(F.size("tokens")))
+    stops = F.concat(F.col("_ends"), F.array(F.col("_size")))
+    goes_on = F.col("_nth") == 0  # from the block before; the other documents begin in this one
     pieces = (
         marked.select(
-            *keys, "tokens", "_docs_before", "_begun",
+            *keys, "block_no", "tokens", "_docs_before", "_begun",
             F.posexplode(F.arrays_zip(starts.alias("a"), stops.alias("b"))).alias("_nth", "_cut"),
         )
         .where("_cut.b > _cut.a")
+        .withColumn("piece_no", F.when(goes_on, F.floor((block - F.col("_begun")) / blocks_per_piece))
+                    .otherwise(F.lit(0)).cast("bigint"))
+        .where(F.floor(F.when(goes_on, F.col("_begun") + F.col("piece_no") * blocks_per_piece)
+                       .otherwise(block) / stretch) == F.col("_stretch"))
         .select(
-            *group, "block_no",
-            (F.col("_docs_before") + F.col("_nth")).alias("doc_no"),
-            F.when(F.col("_nth") > 0, F.lit(0)).otherwise(
-                F.floor((F.col("block_no") - F.coalesce("_begun", F.lit(0))) / blocks_per_piece)
-            ).cast("bigint").alias("piece_no"),
+            *keys, "block_no", (F.col("_docs_before") + F.col("_nth")).alias("doc_no"), "piece_no",
+            (F.col("_cut.b") - F.col("_cut.a")).alias("_length"),
             F.slice("tokens", F.col("_cut.a") + 1, F.col("_cut.b") - F.col("_cut.a")).alias("_piece"),
         )
     )
-    return pieces.groupBy(*group, "doc_no", "piece_no").agg(
-        _join_pieces("block_no", "_piece").alias("tokens")
-    ).withColumn("n_tokens", F.size("tokens"))
+    return pieces.groupBy(*keys, "doc_no", "piece_no").agg(
+        _join_pieces("block_no", "_piece").alias("tokens"), F.sum("_length").cast("int").alias("n_tokens"),
+    ).drop("_stretch")
 
 
 def stream_documents(pieces: DataFrame, group: Sequence[str] = ("split",)) -> DataFrame:

@@ -150,3 +150,40 @@ def test_pad_and_mask(spark, extra):
     assert row.x == fitted[:-1]
     assert row.y == [-1 if t == fv.FIM_PAD else t for t in fitted[1:]]
     assert len(row.x) == len(row.y) == size - 1
+
+
+@pytest.mark.parametrize("per_piece, missing", [(8, ()), (100, ()), (1, ()), (8, range(900, 2100))])
+def test_documents_over_stretches_of_blocks(spark, per_piece, missing):
+    """5,000 blocks: documents, and pieces of them, lie over the ends of the stretches of 1,024 or more blocks."""
+    ends = {3, 4, 700, 2046, 2047, 2048, 4097, 6145, 9000, 9999}
+    token = F.when(F.col("pos").isin(sorted(ends)), fv.EOT).otherwise(F.col("pos") % 7)
+    stream = spark.range(10_003).select(F.lit("train").alias("split"), F.col("id").alias("pos"),
+                                        token.cast("int").alias("token"))
+    blocks = sequence.blocks_of_stream(stream, 2).where(~F.col("block_no").isin([*missing]) if missing else F.lit(True))
+    wanted, doc, begun = {}, 0, 0
+    for pos in range(10_003):
+        if pos // 2 in missing:
+            continue
+        wanted.setdefault((doc, (pos // 2 - begun) // per_piece), []).append(fv.EOT if pos in ends else pos % 7)
+        if pos in ends:
+            doc, begun = doc + 1, pos // 2 + pos % 2
+    found = sequence.split_stream_at_eot(blocks, blocks_per_piece=per_piece)
+    got = {(r.doc_no, r.piece_no): r for r in found.collect()}
+    assert {k: r.tokens for k, r in got.items()} == wanted
+    assert all(r.n_tokens == len(r.tokens) for r in got.values())
+    sizes = {r.doc_no: (r.n_pieces, r.n_tokens) for r in sequence.stream_documents(found).collect()}
+    assert sizes == {d: (sum(k[0] == d for k in wanted), sum(len(v) for k, v in wanted.items() if k[0] == d))
+                     for d in {k[0] for k in wanted}}
+
+
+def test_a_split_shuffles_its_tokens_once_and_lengths_without_them(spark):
+    def shuffles(df):
+        lines = df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString()
+        return [x for x in lines[1].splitlines() if "Exchange hashpartitioning" in x], lines[0]
+
+    blocks = spark.createDataFrame([("train", 0, [1, fv.EOT]), ("train", 1, [2])],
+                                   "split string, block_no long, tokens array<int>")
+    found = sequence.split_stream_at_eot(blocks)
+    assert not any("doc_no" in x for x in shuffles(found)[0])
+    assert "slice(" not in shuffles(sequence.stream_documents(found))[1]
+    assert "slice(" in shuffles(found)[1]
