@@ -9,6 +9,7 @@ from __future__ import annotations
 import builtins
 import keyword
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,26 @@ DEBUG_PRINT = r"(?:print|console\.log)[ \t]*\("
 #: so a quote in a comment or a # in a string means nothing.
 LEXER = "|".join((DOCSTRING, IMPORT, r"\n[ \t]*", STRING, r"#[^\n]*", DEBUG_PRINT, NAME, r"\." + NAME,
                   r"[0-9][A-Za-z0-9_.]*", r"[^A-Za-z0-9_\x{80}-\x{10FFFF}.\"'#\n]+", r"[\s\S]"))
+
+
+def _one_of(words: Sequence[str]) -> str:
+    """A pattern for any of some words, by their first letter: most others are out after one character."""
+    first = sorted({w[0] for w in words})
+    return "|".join(f"{c}(?:{'|'.join(sorted((w[1:] for w in words if w[0] == c), reverse=True))})" for c in first)
+
+
 #: Names without meaning: a letter with a number, or a placeholder.
 WEAK_NAME = r"^(?:[a-z][0-9]+|(?:tmp|temp|foo|bar|baz|qux|var|val|aa|bb|xx)[0-9]*)$"
+#: The same tokens with groups: the first quote of a docstring and the white space before it, that before an import and
+#: before another line, what begins a comment, the parenthesis of debug output, the first character of a weak name, twice,
+#: and that of another name that is no keyword.
+_IN_NAME = r"[A-Za-z0-9_\x{80}-\x{10FFFF}]"
+MARKED_LEXER = "|".join((
+    r"(\n[ \t]*)" r'[rRuU]?(?:(")""[\s\S]*?"""|' r"(')''[\s\S]*?''')", r"(\n[ \t]*)(?:from|import)[ \t][^#\n]*",
+    r"(\n[ \t]*)", STRING, r"(#)[^\n]*", r"(?:print|console\.log)[ \t]*(\()",
+    f"(?:{_one_of(keyword.kwlist)})(?!{_IN_NAME})",
+    f"(?={WEAK_NAME[1:-1]}" r"[\x{85}\x{2028}\x{2029}]?" f"(?!{_IN_NAME}))(([a-z])){_IN_NAME}*",
+    f"({NAME[:NAME.index(']') + 1]}){_IN_NAME}*", LEXER.split(f"|{NAME}|", 1)[1]))
 #: Names that a worse copy keeps, so that it still runs.
 KEPT_NAMES = tuple(sorted({*keyword.kwlist, *dir(builtins), "self", "cls"}))
 
@@ -42,8 +61,17 @@ def lexed(text: Column) -> Column:
 
     Repetitions are possessive here: the same matches, and no recursion on long strings.
     """
-    pattern = LEXER.replace(r"\\\n]*)*", r"\\\n]*)*+")
-    return F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(pattern), F.lit(0))
+    return F.regexp_extract_all(F.concat(F.lit("\n"), text), F.lit(_possessive(LEXER)), F.lit(0))
+
+
+def _possessive(pattern: str) -> str:
+    return pattern.replace(r"\\\n]*)*", r"\\\n]*)*+")
+
+
+def _marks(text: Column) -> Column:
+    """Of each token of a text a ``;`` and the groups of MARKED_LEXER; no group can hold a ``;``."""
+    groups = "".join(f"${k}" for k in range(1, 11))
+    return F.regexp_replace(F.concat(F.lit("\n"), text), F.lit(_possessive(MARKED_LEXER)), F.lit(";" + groups))
 
 
 def _count(tokens: Column, test) -> Column:
@@ -73,18 +101,22 @@ def style_noise(df: DataFrame, max_weak: float = 0.2, min_lines: int = 20, text_
     and comments are told apart first, so a name in a comment is none. A text is noisy with debug output, with
     both kinds of indent, with more than ``max_weak`` weak names, or with ``min_lines`` lines and no comment.
     """
-    lexed_once = df.withColumn("_t", lexed(_text(text_col)))
-    name = lambda t: t.rlike(f"^(?:{NAME})$") & ~t.isin(keyword.kwlist)
-    indent = lambda t, ch: t.startswith("\n") & t.rlike(f"^\\n[ \\t]*{ch}")
-    counted = lexed_once.withColumns({
-        "n_names": _count(F.col("_t"), name),
-        "n_weak_names": _count(F.col("_t"), lambda t: t.rlike(WEAK_NAME)),
-        "n_prints": _count(F.col("_t"), lambda t: t.rlike(f"^{DEBUG_PRINT}")),
-        "n_comments": _count(F.col("_t"), lambda t: t.startswith("#") | t.rlike(f"^{DOCSTRING}")),
-        "n_tab_lines": _count(F.col("_t"), lambda t: indent(t, r"\t")),
-        "n_blank_lines": _count(F.col("_t"), lambda t: indent(t, " ")),
+    marked = df.withColumn("_t", _marks(_text(text_col)))
+    count = lambda pattern: F.regexp_count("_t", F.lit(pattern)).cast("bigint")
+    # Nothing but a mark holds its character, so removing that counts the marks. What is left then are names.
+    without = lambda text, mark: F.replace(text, F.lit(mark))
+    seen = lambda mark: (F.length("_t") - F.length(without(F.col("_t"), mark))).cast("bigint")
+    letters = reduce(without, ";(#\"'\n \t", F.col("_t"))
+    counted = marked.withColumns({
+        "n_names": F.length(letters).cast("bigint"),
+        "n_weak_names": count(";[a-z][a-z]"),
+        "n_prints": seen("("),
+        "n_comments": seen("#") + seen('"') + seen("'"),
+        "n_tab_lines": count(r"\n *\t"),
+        "n_blank_lines": count(r"\n\t* "),
         "n_lines": (F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"))) + 1).cast("bigint"),
-    }).drop("_t").withColumn("n_lines", F.coalesce("n_lines", F.lit(1).cast("bigint")))
+    }).drop("_t").withColumns({"n_lines": F.coalesce("n_lines", F.lit(1).cast("bigint")),
+                               "n_names": F.col("n_names") - F.col("n_weak_names")})  # those stand there twice
     return counted.withColumn("noisy", (F.col("n_prints") > 0)
                               | ((F.col("n_tab_lines") > 0) & (F.col("n_blank_lines") > 0))
                               | (F.col("n_weak_names") > max_weak * F.col("n_names"))

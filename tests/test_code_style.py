@@ -1,5 +1,6 @@
 import ast
 import io
+import keyword
 import re
 import tokenize
 
@@ -137,3 +138,31 @@ def test_grid_of_all_combinations(spark):
     assert len(got) == 4 + 2 + 3 + 3 + 1  # cells, outside, by a, by b, all
     nothing = stats.diversity_grid(df.where("false"), {"a": ["x", "y"], "b": ["1"]}).collect()
     assert sum(r.n_empty for r in nothing if r.a and r.b) == 2
+
+
+def _counts(tokens):
+    """The counts of style_noise, token by token."""
+    some = lambda pattern: sum(bool(re.search(pattern, t)) for t in tokens)
+    sub = lambda pattern: re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: "\\U" + m[1].zfill(8), pattern)
+    return {"n_names": sum(bool(re.search(f"^(?:{sub(code_style.NAME)})\\Z", t)) and not keyword.iskeyword(t) for t in tokens),
+            "n_weak_names": some(code_style.WEAK_NAME[:-1] + r"[\x85\u2028\u2029]?\Z"), "n_prints": some("^" + code_style.DEBUG_PRINT),
+            "n_comments": some("^#") + some("^" + code_style.DOCSTRING),
+            "n_tab_lines": some("^\\n[ \\t]*\\t"), "n_blank_lines": some("^\\n[ \\t]* ")}
+
+
+WORDS = ["a1", "tmp2", "tmp2x", "if", "iffy", "None", "val", "é", "\U0001f600", "print(", "print (", ".a1", "f", "0x1", ";", "import ",
+         '"""', "'''", '"', "'", "\\", "#", "\n", "\n\t", "\n ", " ", "(", "a1\u2028", "x\u0085", "$1", "from "]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(WORDS), max_size=25).map("".join), max_size=30))
+def test_marks_count_as_the_tokens_do(spark, texts):
+    df = spark.createDataFrame(list(enumerate([*texts, SOURCE, "".join(WORDS)])), DOCS)
+    found = code_style.style_noise(df).withColumn("t", code_style.lexed(df.text)).collect()
+    for r in found:
+        assert {k: r[k] for k in _counts([])} == _counts(r.t), r.text
+
+
+def test_style_noise_makes_no_list_of_tokens(spark):
+    plan = code_style.style_noise(spark.createDataFrame([(1, "x")], DOCS))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
