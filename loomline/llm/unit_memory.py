@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Bytes of text that are hashed in one step.
+from loomline.llm.words import polynomials
+
+#: Bytes of text whose units are looked up in one step.
 STEP = 4 << 20
 _RNG = np.random.default_rng(11)
 _TABLES = _RNG.integers(1, 2**63, (2, 256), dtype=np.uint64)
 _BASES = (0x9FB21C651E98DF25, 0xC13FA9A902A6328F)  # odd, so they have inverses modulo 2 to the 64
-_powers: dict[int, np.ndarray] = {}
 
 _BLANK = np.zeros(256, bool)  # white space, and first bytes of characters that may be white space
 _BLANK[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -39,22 +40,11 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.union1d(texts, spaces[~blank])
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, STEP + 1), base, np.uint64)
-        steps[0] = 1
-        have = _powers[base] = np.cumprod(steps)
-    return have[:n]
-
-
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """Two independent 64-bit hashes of byte ranges: polynomials, as differences of running sums."""
+    """Two independent 64-bit hashes of byte ranges that ascend: polynomials in their bytes."""
     out = []
     for table, base in zip(_TABLES, _BASES):
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(table[data] * _power(base, len(data)), out=sums[1:])
-        x = (sums[ends] - sums[starts]) * _power(pow(base, -1, 1 << 64), len(data) + 1)[starts]
+        x = polynomials(data, starts, ends, table, base)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         out.append(x ^ (x >> np.uint64(27)))
     return out

@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loomline.llm import embeddings, graph, mixing, ngram_lm, set_join
+from loomline.llm import embeddings, graph, mixing, ngram_lm, set_join, unit_memory
 from loomline.llm import words as hashed
 from tests.llm.conftest import DOCS, SF, lower, words
 
@@ -36,6 +37,48 @@ def test_shingle_sets_have_the_right_sizes(texts, monkeypatch):
         assert [len(s) for s in got] == [len(shingles(t)) for t in tried]
 
 
+def traced(run):
+    """MB that stand at most and that stay."""
+    tracemalloc.start()
+    try:
+        run()
+        stays, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    return most / 1e6, stays / 1e6
+
+
+def test_hashing_needs_little_memory_beside_the_text(monkeypatch):
+    monkeypatch.setattr(hashed, "_powers", {})
+    data = np.random.default_rng(3).integers(97, 123, 4 << 20).astype(np.uint8)
+    data[5::6] = 32
+    ends = np.arange(6, len(data), 6)
+    most, stays = traced(lambda: unit_memory.hashes(data, ends - 6, ends))
+    assert most < 40 and stays < 10  # two results of 6 MB; they were 224 and 134
+    text = pa.array([data[:2 << 20].tobytes().decode()])
+    most, stays = traced(lambda: [len(words) for _, words, _ in hashed.hashed_words(text)])
+    assert most < 40 and stays < 10  # they were 82 and 34
+
+
+def test_hashes_do_not_depend_on_the_blocks(texts, monkeypatch):
+    tried = pa.array(["x" * 300, None, " ", *texts.values(), "a " * 200])
+    data = np.frombuffer("".join(texts.values()).encode(), np.uint8)[:20_000]
+    ends = np.sort(np.random.default_rng(4).choice(np.arange(1, len(data) + 1), 900, replace=False))
+    starts = np.append(0, ends[:-1])
+    found = []
+    for block in (1 << 30, 1 << 18, 50, 1):
+        monkeypatch.setattr(hashed, "_powers", {})
+        monkeypatch.setattr(hashed, "BLOCK", min(block, 1 << 22))
+        sets = [s.tolist() for s in hashed.shingle_sets(tried)]
+        found.append((sets, [x.tolist() for x in unit_memory.hashes(data, starts, ends)]))
+    assert all(x == found[0] for x in found)
+    # the polynomial itself, of one range
+    value = 0
+    for byte in reversed(data[starts[7]:ends[7]].tolist()):
+        value = (value * hashed._BASE + int(hashed._BYTE[byte])) % (1 << 64)
+    assert int(hashed.polynomials(data, starts, ends, hashed._BYTE, hashed._BASE)[7]) == value
+
+
 def components_of(links, ids):
     root = {i: i for i in ids}
 
