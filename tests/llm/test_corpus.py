@@ -282,6 +282,36 @@ def test_language_model_odd_rows(spark, odd, nothing, order):
     assert all(r.n_known == 0 and r.score == pytest.approx(0) for r in empty)
 
 
+def test_registered_language_model_reads_two_words_before(spark, tmp_path):
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    known = [i for i in range(100) if not held(i)][:60]
+    probes = dict(zip([i for i in range(100) if held(i)], ["a x b", "a x d", "c x d", "c x b"]))
+    texts = [(i, "a x b" if k % 2 else "c x d") for k, i in enumerate(known)] + list(probes.items()) + [(None, "a x b"), (None, "c x d")]
+    spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in texts], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = ngram_lm.op7_ngram_lm(spark, str(tmp_path)).collect()
+    score = {probes[r.doc_id]: r.score for r in rows if r.held_out}
+    # by one word before all four are alike
+    assert score["a x b"] == pytest.approx(score["c x d"]) and score["a x d"] == pytest.approx(score["c x b"])
+    assert score["a x b"] > score["a x d"] + 1
+    # a text without an id isn't held out, so it is learned from
+    assert len(rows) == len(texts) and {r.held_out for r in rows if r.doc_id is None} == {False}
+    assert {r.train_tokens for r in rows} == {4 * (len(known) + 2)}
+
+
+def test_language_model_looks_up_in_steps(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = ngram_lm.train(docs, order=3)
+    scores = lambda: {r.doc_id: r.score for r in ngram_lm.score(docs, model).collect()}
+    once = scores()
+    assert max(ngram_lm._lookups(model, model.n_tokens)) == 1
+    for name, size in (("CHUNK_BYTES", 1 << 14), ("SPLIT_BYTES", 1 << 14), ("LOOKUP_RUNS", 500)):
+        monkeypatch.setattr(ngram_lm, name, size)
+    assert min(ngram_lm._lookups(model, model.n_tokens)[:-1]) > 1
+    assert scores() == pytest.approx(once, rel=1e-12)
+    model = ngram_lm.Model(0, 0, None, [0], 1, 10**7, None, None, order=3, splits=[0, 2], split_tokens=[10, 10**7])
+    assert ngram_lm._lookups(model, 10**7)[0] == 1 < ngram_lm._lookups(model, 10**7)[1]
+
+
 def test_language_model_files_in_other_stores_are_copied(tmp_path, monkeypatch):
     stored = ngram_lm.store(str(tmp_path), "a", {"x": np.arange(5, dtype="<i8")})
     real = ngram_lm.open_filesystem
